@@ -24,9 +24,12 @@ def best_per(
     sort = F.coalesce(F.when(~F.isnan(number), number), F.lit(float("inf")))
     ready = df.withColumns({key: entity, "__sort": sort})
     best = keep_first(ready, [key], ["__sort", order]).drop("__sort")
-    if renumber:
-        best = row_numbers(best, [], [key], "__pos").withColumn(renumber, F.col("__pos") - 1).drop("__pos")
-    return best
+    if not renumber:
+        return best
+    # every entity has exactly one best row, so the numbers need the entity names only
+    names = row_numbers(df.select(entity.alias("__entity")).distinct(), [], ["__entity"], "__pos")
+    numbered = best.join(names, best[key] == names["__entity"]).drop("__entity")
+    return numbered.withColumn(renumber, F.col("__pos") - 1).drop("__pos")
 
 
 def best_scored(df: DataFrame, key: str, score: str, order: str, values: Sequence[str]) -> DataFrame:

@@ -54,9 +54,9 @@ def _signatures(bits: pd.Series, parts: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def shared_bits(a: Column, b: Column) -> Column:
-    both = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(y)))
-    return F.aggregate(both, F.lit(0), lambda acc, x: acc + x)
+def shared_bits(a: str, b: str, n_words: int) -> Column:
+    """Common bits of two word arrays."""
+    return sum((F.bit_count(F.col(a)[i].bitwiseAND(F.col(b)[i])) for i in range(n_words)), F.lit(0))
 
 
 def fingerprint_groups(df: DataFrame, row_id: str, bits: str) -> tuple[DataFrame, DataFrame]:
@@ -64,8 +64,11 @@ def fingerprint_groups(df: DataFrame, row_id: str, bits: str) -> tuple[DataFrame
     representative of every row.  Pairs are computed between representatives only, so a bit set
     with many copies costs as much as one."""
     keyed = df.select(row_id, F.array_sort(F.array_distinct(bits)).alias("bits"))
-    reps = keyed.groupBy("bits").agg(F.min(row_id).alias("rep"), F.count(F.lit(1)).alias("copies"))
-    return reps, keyed.join(reps.select("bits", "rep"), "bits").select(row_id, "rep")
+    # the digest stands for the bits wherever rows are grouped or joined
+    digests = keyed.select(row_id, F.sha2(F.array_join(F.col("bits").cast("array<string>"), ","), 256).alias("digest"))
+    reps = digests.groupBy("digest").agg(F.min(row_id).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    sets = keyed.join(reps.select("rep", "copies"), keyed[row_id] == F.col("rep")).select("rep", "bits", "copies")
+    return sets, digests.join(reps, "digest").select(row_id, "rep")
 
 
 def _size_classes(t: float, largest: int) -> list[int]:
@@ -101,8 +104,9 @@ def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bit
     n_parts = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("tag") + 1)
     signed = tagged.withColumn("signatures", _signatures("bits", n_parts))
     inline = n_words <= INLINE_WORDS
-    carried = ["rep", "size", "class", "tag", *(["words"] if inline else [])]
-    rows = signed.select(*carried, F.posexplode("signatures").alias("part", "signature"))
+    # short fingerprints travel as plain columns, which keeps the comparison inside generated code
+    carried = [F.col("words")[i].alias(f"w{i}") for i in range(n_words)] if inline else []
+    rows = signed.select("rep", "size", "class", "tag", *carried, F.posexplode("signatures").alias("part", "signature"))
     a = rows.select([F.col(c).alias(f"a_{c}") for c in rows.columns])
     b = rows.select([F.col(c).alias(f"b_{c}") for c in rows.columns])
     same_key = (
@@ -113,11 +117,13 @@ def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bit
         & ((F.col("a_class") == F.col("a_tag")) | (F.col("b_class") == F.col("b_tag")))
         & (F.least("a_size", "b_size") >= F.lit(threshold - 1e-12) * F.greatest("a_size", "b_size"))
     )
-    shared = shared_bits(F.col("a_words"), F.col("b_words"))
+    if inline:
+        shared = sum((F.bit_count(F.col(f"a_w{i}").bitwiseAND(F.col(f"b_w{i}"))) for i in range(n_words)), F.lit(0))
+    else:
+        shared = shared_bits("a_words", "b_words", n_words)
     similarity = shared / (F.col("a_size") + F.col("b_size") - shared)
     reached = similarity >= F.lit(threshold)
     if inline:
-        # short fingerprints travel with their keys and are compared inside the join
         pairs = a.join(b, same_key & allowed & reached).select("a_rep", "b_rep", similarity.alias("similarity")).distinct()
     else:
         # long ones are fetched once per distinct candidate pair

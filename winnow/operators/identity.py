@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from winnow.operators.ranks import row_numbers
+from winnow.operators.ranks import IN_TASK_ROWS, row_numbers
 
 # The index format and the group name used when none is given.
 INDEX_PREFIX = "LP"
@@ -64,14 +64,19 @@ def has_many_groups(df: DataFrame, group: str) -> bool:
 
 
 def assign_index(
-    df: DataFrame, group: str | None, order: str, prefix: str = INDEX_PREFIX, out: str = "candidate_idx"
+    df: DataFrame,
+    group: str | None,
+    order: str,
+    prefix: str = INDEX_PREFIX,
+    out: str = "candidate_idx",
+    in_task: int = IN_TASK_ROWS,
 ) -> DataFrame:
     """``prefix-0001-00001``: group number by first appearance, then a counter inside the group."""
     name = F.coalesce(F.col(group).cast("string"), F.lit(DEFAULT_GROUP)) if group else F.lit(DEFAULT_GROUP)
     base = df.withColumn("__group", name)
     firsts = base.groupBy("__group").agg(F.min(order).alias("__first"))
-    numbers = row_numbers(firsts, [], ["__first", "__group"], "__number").select("__group", "__number")
-    counted = row_numbers(base, ["__group"], [order], "__counter")
+    numbers = row_numbers(firsts, [], ["__first", "__group"], "__number", in_task).select("__group", "__number")
+    counted = row_numbers(base, ["__group"], [order], "__counter", in_task)
     text = F.format_string(
         f"{prefix}-%0{GROUP_WIDTH}d-%0{COUNTER_WIDTH}d", F.col("__number"), F.col("__counter")
     )

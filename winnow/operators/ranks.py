@@ -15,10 +15,17 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from winnow.functions.numbers import sort_key
-from winnow.session import shuffle_parts
+from winnow.session import shuffle_parts, small_or_same
 
 ALL = "(all)"
 
+# A group of at most this many rows is sorted or counted inside one task; larger ones are cut.
+IN_TASK_ROWS = 1_000_000
+
+# Ranges are only numbers in an aggregation, so there can be more of them than tasks.
+MIN_RANGES = 128
+RANGES_PER_TASK = 4
+
 
 def _splits(cuts: Sequence[float] | None) -> list[float]:
     inner = sorted({float(c) for c in (cuts or []) if c is not None and c == c and abs(c) != float("inf")})
@@ -32,11 +39,11 @@ def _probs(parts: int) -> list[float]:
 
 def with_ranges(df: DataFrame, keys: dict[str, Column], names: dict[str, str]) -> DataFrame:
     """Add ``names[c]``: the range number of key ``c``; missing keys get -1."""
-    parts = shuffle_parts(df.sparkSession)
+    parts = max(MIN_RANGES, RANGES_PER_TASK * shuffle_parts(df.sparkSession))
     tmp = {c: f"__key_{i}" for i, c in enumerate(keys)}
     keyed = df.withColumns({tmp[c]: k for c, k in keys.items()})
     row = keyed.agg(
-        *[F.percentile_approx(tmp[c], _probs(parts), 10 * parts).alias(tmp[c]) for c in keys]
+        *[F.percentile_approx(tmp[c], _probs(parts), 8 * parts).alias(tmp[c]) for c in keys]
     ).first()
     out = {c: f"__cut_{i}" for i, c in enumerate(keys)}
     cutter = Bucketizer(
@@ -56,13 +63,25 @@ def null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rank") -> DataFrame:
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group: a counting pass over the group columns only."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
+def row_numbers(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rank", in_task: int = IN_TASK_ROWS
+) -> DataFrame:
     """Add the exact 1-based row number per group in ascending order (missing first).
 
     ``order`` must identify a row within its group.  Its first column should be nearly unique:
-    rows that tie on it share a range.
+    rows that tie on it share a range.  Tables whose largest group has been counted and fits a task
+    use a plain window.
     """
     group = list(group)
+    if largest_group(df, group) <= in_task:
+        whole = W.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        return df.withColumn(out, F.row_number().over(whole).cast("long"))
     cut = with_ranges(df, {"o": sort_key(df, order[0])}, {"o": "__range"})
     counts = cut.groupBy(*group, "__range").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy(*group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
@@ -71,6 +90,7 @@ def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
         F.col("__range").alias("__r"),
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
     )
+    offsets = small_or_same(offsets)
     inside = W.partitionBy(*group, "__range").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     cond = cut["__range"] == offsets["__r"]
     for i, c in enumerate(group):
@@ -99,14 +119,26 @@ def melt(df: DataFrame, keep: Sequence[str], cols: Sequence[str], extra: dict[st
 
 
 def quantiles(
-    df: DataFrame, cols: Sequence[str], probs: dict[str, float], group: str | None = None, overall: bool = False
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: dict[str, float],
+    group: str | None = None,
+    overall: bool = False,
+    in_task: int = IN_TASK_ROWS,
 ) -> DataFrame:
     """Exact interpolated quantiles per (group, metric): one column per entry of ``probs``.
 
-    Pass 1 counts rows per value range, pass 2 reads again but shuffles only the ranges that hold
-    a wanted rank, and those as (value, count).  No group is ever gathered or sorted as a whole.
+    If the largest group has more than ``in_task`` rows: pass 1 counts rows per value range, pass 2
+    reads again but shuffles only the ranges that hold a wanted rank, and those as (value, count).
+    No group is gathered or sorted as a whole.  Otherwise the built-in exact percentile is used.
     """
     keep = [group] if group else []
+    if largest_group(df, [] if overall else keep) <= in_task:
+        small = melt(df, keep, cols)
+        small = with_overall(small, group) if group and overall else small
+        points = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs.values()]))
+        found = small.groupBy(*keep, "metric").agg(points.alias("p"))
+        return found.select(*keep, "metric", *[F.col("p")[i].alias(k) for i, k in enumerate(probs)])
     names = {c: f"__range_{i}" for i, c in enumerate(cols)}
     slim = df.select(*keep, *[c for c in dict.fromkeys(cols)])
     cut = with_ranges(slim, {c: F.col(c).cast("double") for c in cols}, names)
@@ -128,6 +160,7 @@ def quantiles(
     wanted = spans.filter(
         F.exists(F.array(*ranks), lambda r: (r >= F.col("start")) & (r < F.col("stop")))
     ).select(*[F.col(c).alias(f"w_{c}") for c in [*by, "range"]], "start", "total")
+    wanted = small_or_same(wanted)
     cond = reduce(lambda a, b: a & b, [long[c].eqNullSafe(wanted[f"w_{c}"]) for c in [*by, "range"]])
     values = (
         long.join(wanted, cond)

@@ -27,9 +27,14 @@ class Rule:
     description: str
     pattern: str
     literal: bool = False
+    # text every match must contain; looked for first because it is much cheaper than the pattern
+    anchor: str | None = None
 
     def test(self, text: Column) -> Column:
-        return text.contains(self.pattern) if self.literal else text.rlike(self.pattern)
+        if self.literal:
+            return text.contains(self.pattern)
+        found = text.rlike(self.pattern)
+        return F.when(text.contains(self.anchor), found).otherwise(F.lit(False)) if self.anchor else found
 
 
 def load_rules(df: DataFrame, include: Sequence[str], exclude: dict[str, Sequence[str]] | None = None) -> DataFrame:
@@ -96,3 +101,14 @@ def rule_masks(matched: DataFrame, names: Sequence[str], hits: str = "hits", rea
     out = matched.withColumns({**flags, **why})
     cols = list(flags)
     return out.withColumns({"pass": all_flags(cols), "pass_any": all_flags(cols, "any")})
+
+
+def match_tokens(df: DataFrame, row_id: str, tokens: str, rules: DataFrame) -> DataFrame:
+    """Rules that are single tokens: (row_id, rule_set, description) hits by an equi-join.
+
+    ``rules`` has rule_set, description, token.  The cost does not grow with the number of rules times
+    rows, so this is the way for catalogues too large for ``match_rules``.
+    """
+    distinct = df.select(row_id, F.explode(F.array_distinct(tokens)).alias("token"))
+    hits = distinct.join(rules.select("rule_set", "description", "token"), "token")
+    return hits.select(row_id, "rule_set", "description").distinct()

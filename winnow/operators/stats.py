@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.numbers import as_bound, ratio
-from winnow.operators.ranks import ALL, melt, quantiles, with_overall
+from winnow.operators.ranks import ALL, IN_TASK_ROWS, melt, quantiles, with_overall
 
 FIVE = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}
 
@@ -36,9 +36,9 @@ def describe(df: DataFrame, cols: Sequence[str], group: str, single_std: float |
     return moments.join(middle, [group, "metric"], "left")
 
 
-def five_numbers(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
+def five_numbers(df: DataFrame, cols: Sequence[str], group: str, in_task: int = IN_TASK_ROWS) -> DataFrame:
     """Exact minimum, quartiles and maximum per group and metric."""
-    return quantiles(df, cols, FIVE, group)
+    return quantiles(df, cols, FIVE, group, in_task=in_task)
 
 
 def group_means(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:

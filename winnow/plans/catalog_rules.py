@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from winnow.functions.text import words
 from winnow.operators import combine, masks
-from winnow.operators.rules import Rule, load_rules, match_rules, rule_hits, rule_masks, rules_from
+from winnow.operators.rules import Rule, load_rules, match_rules, match_tokens, rule_hits, rule_masks, rules_from
 from winnow.plans.registry import Tables, query
 
 RULES = (
@@ -90,7 +91,7 @@ def q_rule_catalogue(t: Tables) -> DataFrame:
 @query(
     "q_rules_from_table",
     """with n as (select distinct p_name as w from part where p_type = 'ECONOMY')
-       select o_orderkey, count(w) as hits from (select o_orderkey, p_name as txt from orders join lineitem on l_orderkey = o_orderkey
+       select o_orderkey, count(w) as hits from (select l_orderkey as o_orderkey, p_name as txt from lineitem
          join part on l_partkey = p_partkey) x left join n on contains(txt, w) group by 1""",
 )
 def q_rules_from_table(t: Tables) -> DataFrame:
@@ -99,11 +100,28 @@ def q_rules_from_table(t: Tables) -> DataFrame:
         F.lit("names").alias("rule_set_name"), F.col("p_name").alias("description"), F.col("p_name").alias("smarts")
     ).distinct()
     rules = rules_from(catalogue)
-    texts = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).join(
-        t.part, F.col("l_partkey") == F.col("p_partkey")
+    hits = match_rules(t.part, "p_name", rules).select("p_partkey", F.size("hits").cast("long").alias("n"))
+    lines = t.lineitem.join(hits, F.col("l_partkey") == F.col("p_partkey"))
+    return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("n").alias("hits"))
+
+
+@query(
+    "q_token_rules",
+    """with r as (select distinct 'set' || (item_id % 3) as rule_set, 'item ' || item_id as description,
+         unnest(regexp_extract_all(text, '[^ \\t\\r\\n]+')) as token from benchmark),
+       w as (select distinct doc_id, unnest(regexp_extract_all(text, '[^ \\t\\r\\n]+')) as token from documents)
+       select rule_set, description, count(distinct doc_id) as docs from w join r using (token) group by 1, 2""",
+)
+def q_token_rules(t: Tables) -> DataFrame:
+    """Every word of a benchmark item is a token rule."""
+    item = F.col("item_id")
+    rules = t.benchmark.select(
+        F.concat(F.lit("set"), (item % 3).cast("string")).alias("rule_set"),
+        F.concat(F.lit("item "), item.cast("string")).alias("description"),
+        F.explode(F.array_distinct(words(F.col("text")))).alias("token"),
     )
-    hits = match_rules(texts.select("o_orderkey", "p_name"), "p_name", rules)
-    return hits.groupBy("o_orderkey").agg(F.sum(F.size("hits")).alias("hits"))
+    hits = match_tokens(t.documents.select("doc_id", words(F.col("text")).alias("w")), "doc_id", "w", rules)
+    return hits.groupBy("rule_set", "description").agg(F.count(F.lit(1)).alias("docs"))
 
 
 # --- masks over line items ------------------------------------------------------------------------

@@ -76,8 +76,8 @@ DOC_BITS_SQL = f"""w as (select distinct doc_id, unnest(regexp_extract_all(text,
 
 
 def document_bits(t: Tables) -> DataFrame:
-    code = F.transform(words(F.col("text")), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % DOC_BITS)
-    return t.documents.select("doc_id", F.array_distinct(code).alias("bits")).filter(F.size("bits") > 0)
+    code = F.transform(F.array_distinct(words(F.col("text"))), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % DOC_BITS)
+    return t.documents.select("doc_id", code.alias("bits")).filter(F.col("text").rlike("[^ \\t\\r\\n]"))
 
 
 @query(
@@ -197,8 +197,8 @@ ATOMS_SQL = """atm as (select vec_id, label, k, 10.0::double * embedding[3 * k +
 
 @query(
     "q_box",
-    f"""with {ATOMS_SQL}, bx as (select min(x) - 1 as ax, max(x) + 1 as bx, min(y) - 1 as ay, max(y) + 1 as by, min(z) - 1 as az, max(z) + 1 as bz from st),
-       f as (select vec_id, avg((x < ax or x > bx or y < ay or y > by or z < az or z > bz)::int) as f from atm, bx group by 1)
+    f"""with {ATOMS_SQL}, bx as (select min(x) - 1 as x0, max(x) + 1 as x1, min(y) - 1 as y0, max(y) + 1 as y1, min(z) - 1 as z0, max(z) + 1 as z1 from st),
+       f as (select vec_id, avg((x < x0 or x > x1 or y < y0 or y > y1 or z < z0 or z > z1)::int) as f from atm, bx group by 1)
        select vec_id, round(f, 6) as frac_outside, f <= 0.4 as pass_search_box from f""",
 )
 def q_box(t: Tables) -> DataFrame:

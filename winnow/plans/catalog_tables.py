@@ -58,17 +58,24 @@ def q_dedup_removed(t: Tables) -> DataFrame:
     return removed.select("doc_id", "source")
 
 
-@query(
-    "q_index",
-    """with f as (select c_mktsegment, min(c_custkey) as k from customer group by 1),
+INDEX_SQL = """with f as (select c_mktsegment, min(c_custkey) as k from customer group by 1),
        n as (select c_mktsegment, row_number() over (order by k) as g from f)
        select c_custkey, format('LP-{:04d}-{:05d}', g, row_number() over (partition by c_mktsegment order by c_custkey))
-         as candidate_idx from customer join n using (c_mktsegment)""",
-)
+         as candidate_idx from customer join n using (c_mktsegment)"""
+
+
+@query("q_index", INDEX_SQL)
 def q_index(t: Tables) -> DataFrame:
     return identity.assign_index(t.customer, "c_mktsegment", "c_custkey").select("c_custkey", "candidate_idx")
 
 
+@query("q_index_cut", INDEX_SQL)
+def q_index_cut(t: Tables) -> DataFrame:
+    """The same index the way large groups get it."""
+    out = identity.assign_index(t.customer, "c_mktsegment", "c_custkey", in_task=100)
+    return out.select("c_custkey", "candidate_idx")
+
+
 @query(
     "q_group_map",
     """with f as (select c_mktsegment, min(c_custkey) as k from customer group by 1)

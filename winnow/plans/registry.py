@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from winnow.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Tables with long values and their row ids: work on them is bound by CPU, not by reading.
+HEAVY = {"documents": "doc_id", "embeddings": "vec_id", "pages": "page_id"}
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -21,7 +26,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(df, HEAVY[name]) if name in HEAVY else df
 
 
 def query(name: str, sql: str | None = None):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,3 +25,30 @@ def build_session(app: str = "winnow", master: str | None = None, **conf: str) -
 def shuffle_parts(spark: SparkSession) -> int:
     """How many ways the session spreads a shuffle; range cuts follow it so they grow with the cluster."""
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small input out over the cores before CPU-heavy row work.
+
+    Only acts when the table has fewer files than the cluster has cores, which would leave cores
+    idle; large inputs come with more files than cores and are passed through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
+SMALL_ROWS = 10_000
+
+
+def small_or_same(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A helper table as a local relation if it has at most ``max_rows`` rows, else unchanged.
+
+    The rows are counted, not guessed: a local relation is broadcast and the big side of the join stays
+    where it is; a table over the limit is joined by shuffle as usual.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)
