@@ -118,6 +118,28 @@ def melt(df: DataFrame, keep: Sequence[str], cols: Sequence[str], extra: dict[st
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def number(name: str) -> Column:
+    """The column as a double, NaN as missing."""
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def grouped(df: DataFrame, aggs: dict[str, dict[str, Column]], group: str | None, overall: bool) -> DataFrame:
+    """Aggregates per metric, computed side by side in one pass and turned to (group, metric, ...) afterwards."""
+    flat = [a.alias(f"{m}__{n}") for m, named in aggs.items() for n, a in named.items()]
+    if group and overall:
+        name = F.when(F.grouping(group) == 1, F.lit(ALL)).otherwise(F.col(group).cast("string"))
+        wide = df.groupingSets([[F.col(group)], []], group).agg(name.alias("__name"), *flat)
+        wide = wide.drop(group).withColumnRenamed("__name", group)
+    else:
+        wide = df.groupBy(*([group] if group else [])).agg(*flat)
+    rows = [
+        F.struct(F.lit(m).alias("metric"), *[F.col(f"{m}__{n}").alias(n) for n in named]) for m, named in aggs.items()
+    ]
+    keep = [group] if group else []
+    return wide.select(*keep, F.explode(F.array(*rows)).alias("m")).select(*keep, "m.*")
+
+
 def quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -130,43 +152,44 @@ def quantiles(
 
     If the largest group has more than ``in_task`` rows: pass 1 counts rows per value range, pass 2
     reads again but shuffles only the ranges that hold a wanted rank, and those as (value, count).
-    No group is gathered or sorted as a whole.  Otherwise the built-in exact percentile is used.
+    No group is gathered or sorted as a whole.  Otherwise all (value, count) pairs of a group are
+    added up in one task.
     """
     keep = [group] if group else []
-    if largest_group(df, [] if overall else keep) <= in_task:
-        small = melt(df, keep, cols)
-        small = with_overall(small, group) if group and overall else small
-        points = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs.values()]))
-        found = small.groupBy(*keep, "metric").agg(points.alias("p"))
-        return found.select(*keep, "metric", *[F.col("p")[i].alias(k) for i, k in enumerate(probs)])
-    names = {c: f"__range_{i}" for i, c in enumerate(cols)}
-    slim = df.select(*keep, *[c for c in dict.fromkeys(cols)])
-    cut = with_ranges(slim, {c: F.col(c).cast("double") for c in cols}, names)
-    long = melt(cut, keep, cols, {"range": names})
-    if group and overall:
-        long = with_overall(long, group)
     by = [*keep, "metric"]
-    counts = long.groupBy(*by, "range").agg(F.count(F.lit(1)).alias("n"))
-    run = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, 0)
-    spans = counts.select(
-        *by,
-        "range",
-        (F.sum("n").over(run) - F.col("n")).alias("start"),
-        F.sum("n").over(run).alias("stop"),
-        F.sum("n").over(W.partitionBy(*by)).alias("total"),
-    )
+    slim = df.select(*keep, *dict.fromkeys(cols))
     pos = {k: (F.col("total") - 1) * F.lit(float(p)) for k, p in probs.items()}
-    ranks = [f(x).cast("long") for x in pos.values() for f in (F.floor, F.ceil)]
-    wanted = spans.filter(
-        F.exists(F.array(*ranks), lambda r: (r >= F.col("start")) & (r < F.col("stop")))
-    ).select(*[F.col(c).alias(f"w_{c}") for c in [*by, "range"]], "start", "total")
-    wanted = small_or_same(wanted)
-    cond = reduce(lambda a, b: a & b, [long[c].eqNullSafe(wanted[f"w_{c}"]) for c in [*by, "range"]])
-    values = (
-        long.join(wanted, cond)
-        .groupBy(*by, "range", "start", "total", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    both = bool(group) and overall
+
+    def tally(rows: DataFrame, *more: str) -> DataFrame:
+        """Rows per key; the overall group is added up from the groups' own counts."""
+        own = rows.groupBy(*by, *more).agg(F.count(F.lit(1)).alias("n"))
+        return with_overall(own, group).groupBy(*by, *more).agg(F.sum("n").alias("n")) if both else own
+
+    if largest_group(slim, [] if overall else keep) <= in_task:
+        values = tally(melt(slim, keep, cols), "value").withColumns(
+            {"range": F.lit(0), "start": F.lit(0), "total": F.sum("n").over(W.partitionBy(*by))}
+        )
+    else:
+        names = {c: f"__range_{i}" for i, c in enumerate(cols)}
+        cut = with_ranges(slim, {c: F.col(c).cast("double") for c in cols}, names)
+        long = melt(cut, keep, cols, {"range": names})
+        run = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, 0)
+        spans = tally(long, "range").select(
+            *by,
+            "range",
+            (F.sum("n").over(run) - F.col("n")).alias("start"),
+            F.sum("n").over(run).alias("stop"),
+            F.sum("n").over(W.partitionBy(*by)).alias("total"),
+        )
+        ranks = [f(x).cast("long") for x in pos.values() for f in (F.floor, F.ceil)]
+        wanted = spans.filter(
+            F.exists(F.array(*ranks), lambda r: (r >= F.col("start")) & (r < F.col("stop")))
+        ).select(*[F.col(c).alias(f"w_{c}") for c in [*by, "range"]], "start", "total")
+        wanted = small_or_same(wanted)
+        rows = with_overall(long, group) if both else long
+        cond = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(wanted[f"w_{c}"]) for c in [*by, "range"]])
+        values = rows.join(wanted, cond).groupBy(*by, "range", "start", "total", "value").agg(F.count(F.lit(1)).alias("n"))
     inner = W.partitionBy(*by, "range").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     placed = values.withColumn("hi", F.col("start") + F.sum("n").over(inner)).withColumn(
         "lo", F.col("hi") - F.col("n")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.numbers import as_bound, ratio
-from winnow.operators.ranks import ALL, IN_TASK_ROWS, melt, quantiles, with_overall
+from winnow.operators.ranks import ALL, IN_TASK_ROWS, grouped, melt, number, quantiles
 
 FIVE = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}
 
@@ -22,18 +22,14 @@ def describe(df: DataFrame, cols: Sequence[str], group: str, single_std: float |
 
     ``single_std`` is the std shown for one value (None or 0, both readings exist).
     """
-    long = melt(df, [group], cols)
-    moments = long.groupingSets([[F.col(group), F.col("metric")], [F.col("metric")]], group, "metric").agg(
-        _group_name(long, group).alias("__group"),
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.coalesce(F.stddev_samp("value"), F.lit(single_std).cast("double")).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    moments = moments.drop(group).withColumnRenamed("__group", group)
+    def moments(c: str) -> dict[str, Column]:
+        x = number(c)
+        std = F.coalesce(F.stddev_samp(x), F.lit(single_std).cast("double"))
+        return {"n": F.count(x), "mean": F.avg(x), "std": std, "min": F.min(x), "max": F.max(x)}
+
+    table = grouped(df, {c: moments(c) for c in cols}, group, overall=True).filter("n > 0")
     middle = quantiles(df, cols, {"median": 0.5}, group, overall=True)
-    return moments.join(middle, [group, "metric"], "left")
+    return table.join(middle, [group, "metric"], "left")
 
 
 def five_numbers(df: DataFrame, cols: Sequence[str], group: str, in_task: int = IN_TASK_ROWS) -> DataFrame:
@@ -192,8 +188,3 @@ def pose_summary(df: DataFrame, score: str, group: str, unknown: str = "Unknown"
     )
     return out.drop(group).withColumnRenamed("__group", group).filter(F.col(group) != unknown)
 
-
-__all__ = [
-    "density", "describe", "discrete_histogram", "drift", "five_numbers", "group_means", "histogram", "in_bounds",
-    "pose_summary", "route_summary", "score_summary", "symbol_histogram", "with_overall",
-]
