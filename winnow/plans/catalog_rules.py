@@ -126,7 +126,7 @@ def q_token_rules(t: Tables) -> DataFrame:
 
 # --- masks over line items ------------------------------------------------------------------------
 
-LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
 KEY_SQL = ", ".join(LINE_KEYS)
 COMBINE_SQL = f"""with c as (select {KEY_SQL}, case when l_linestatus = 'F' then l_quantity > 10 else false end as pass_quantity,
    l_discount <= 0.08 as pass_discount, case when l_returnflag <> 'A' then l_tax < 0.07 else false end as pass_tax from lineitem)"""

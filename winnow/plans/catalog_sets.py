@@ -283,7 +283,7 @@ def structure(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Orders as structures: line items are atoms; return flag and line status name two rings each."""
     atoms = t.lineitem.select(
         F.col("l_orderkey").alias("candidate"),
-        F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber").alias("atom"),
+        F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber", F.round(F.col("l_extendedprice") * 100).cast("long")).alias("atom"),
         F.col("l_linenumber").alias("degree"),
         F.when(F.col("l_quantity") > 10, "C").otherwise("N").alias("element"),
         (F.col("l_discount") > 0.03).alias("sp3"),
@@ -300,7 +300,7 @@ def structure(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query(
     "q_complexity",
-    """with a as (select l_orderkey as candidate, l_partkey || '-' || l_suppkey || '-' || l_linenumber as atom, l_linenumber as degree, l_quantity > 10 as c,
+    """with a as (select l_orderkey as candidate, l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || round(l_extendedprice * 100)::bigint as atom, l_linenumber as degree, l_quantity > 10 as c,
          l_discount > 0.03 as sp3, l_tax > 0.01 as ar, l_quantity > 48 as chiral, l_returnflag, l_linestatus from lineitem),
        r as (select candidate, l_returnflag as ring, atom, ar, degree from a where l_returnflag <> 'N' union all select candidate, l_linestatus, atom, ar, degree from a where l_linestatus = 'O'),
        rk as (select candidate, ring, bool_and(ar) as allar, bool_or(ar) as anyar from r group by 1, 2),

@@ -548,10 +548,10 @@ def q_snapshot(t: Tables) -> DataFrame:
 
 @query(
     "q_short_circuit",
-    "select l_orderkey, l_partkey, l_suppkey, l_linenumber, coalesce(l_discount <= 0.05 and l_quantity * 2 > 30, false) as pass_quality from lineitem",
+    "select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, coalesce(l_discount <= 0.05 and l_quantity * 2 > 30, false) as pass_quality from lineitem",
 )
 def q_short_circuit(t: Tables) -> DataFrame:
-    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
     rows = t.lineitem.select(*keys, "l_discount", "l_quantity")
 
     def quality(df: DataFrame) -> DataFrame:
