@@ -35,12 +35,29 @@ def _number(value: Column) -> Column:
     return F.when(~F.isnan(d), d)
 
 
-def range_test(value: Column, lo=None, hi=None) -> Column:
-    """Missing fails, also when only an infinite bound is set; with no bounds at all everything passes."""
+def range_predicate(value: Column, lo=None, hi=None) -> Column:
+    """The bounds as plain comparisons, which a filter hands down to the file scan.
+
+    NULL compares to NULL and so fails a filter.  Spark orders NaN above every number: an upper
+    bound rejects it, without one it is excluded by name.
+    """
     if lo is None and hi is None:
         return F.lit(True)
-    test = _between(_number(value), lo, hi)
-    return no(test) if test is not None else _number(value).isNotNull()
+    test = _between(value, lo, hi)
+    if as_bound(hi) is not None:
+        return test
+    number = ~F.isnan(value.cast("double"))
+    return test & number if test is not None else value.isNotNull() & number
+
+
+def range_test(value: Column, lo=None, hi=None) -> Column:
+    """The range as a flag: a missing value fails, with no bounds at all everything passes."""
+    return no(range_predicate(value, lo, hi))
+
+
+def range_filter(df: DataFrame, bounds: Bounds) -> DataFrame:
+    """Rows inside all bounds, without flags."""
+    return df.filter(reduce(lambda a, b: a & b, [range_predicate(F.col(c), *b) for c, b in bounds.items()]))
 
 
 def allowed_test(values: Column, allowed: Sequence) -> Column:
@@ -52,7 +69,7 @@ def elements_test(values: Column, lo=None, hi=None) -> Column:
     arr = F.coalesce(values.cast("array<double>"), F.array().cast("array<double>"))
     if _between(F.lit(0.0), lo, hi) is None:
         return F.lit(True)
-    return no(F.forall(arr, lambda x: no(_between(x, lo, hi))))
+    return no(F.forall(arr, lambda x: no(range_predicate(x, lo, hi))))
 
 
 def gate_test(flag: Column, allowed: bool) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.numbers import as_bound, ratio
 from winnow.operators.ranks import ALL, IN_TASK_ROWS, grouped, melt, number, quantiles
+from winnow.session import small_or_same
 
 FIVE = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}
 
@@ -128,6 +129,7 @@ def density(
         (F.least(high, F.lit(hi)) if hi is not None else high).alias("__hi"),
     )
     at = [F.col("__lo") + F.lit(k) * (F.col("__hi") - F.col("__lo")) / F.lit(points - 1) for k in range(points)]
+    frame = small_or_same(frame)
     kernel = [
         F.sum(F.exp(-0.5 * F.pow((p - F.col("__x")) / F.col("__h"), F.lit(2)))).alias(f"k{i}") for i, p in enumerate(at)
     ]

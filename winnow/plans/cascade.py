@@ -61,7 +61,7 @@ class Cascade:
     def _step(stage: Stage, df: DataFrame) -> DataFrame:
         if stage.apply is not None:
             return stage.apply(df)
-        return df.filter(no(stage.test)) if stage.filters and stage.test is not None else df
+        return df.filter(stage.test) if stage.filters and stage.test is not None else df
 
     def run_to_table(self, df: DataFrame, path: str, run_id: str, keys: Sequence[str]) -> DataFrame:
         """Write survivors and failures of every stage to one table and go on from what was written.

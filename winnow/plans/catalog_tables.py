@@ -30,7 +30,7 @@ def q_range_flags(t: Tables) -> DataFrame:
 
 @query("q_failed_anti", "select p_partkey, p_brand, p_size from part where not (p_size between 5 and 40 and p_retailprice >= 905)")
 def q_failed_anti(t: Tables) -> DataFrame:
-    passed = flags.drop_failing(flags.range_flags(t.part, PART_BOUNDS))
+    passed = flags.range_filter(t.part, PART_BOUNDS)
     return combine.split_failed(t.part, passed, ["p_partkey"]).select("p_partkey", "p_brand", "p_size")
 
 
@@ -424,8 +424,8 @@ STAGES = ("size", "price", "kind")
 def cascade() -> Cascade:
     return Cascade(
         [
-            Stage("size", flags.range_test(F.col("p_size"), 5, 40)),
-            Stage("price", flags.range_test(F.col("p_retailprice"), 905, "inf")),
+            Stage("size", flags.range_predicate(F.col("p_size"), 5, 40)),
+            Stage("price", flags.range_predicate(F.col("p_retailprice"), 905, "inf")),
             Stage("unused", F.lit(False), enabled=False),
             Stage("kind", F.col("p_type") != "ECONOMY", ends_run=True),
         ]
