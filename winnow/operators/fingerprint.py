@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from winnow.functions.numbers import half_even, ratio
 from winnow.operators.identity import sample_per_group
+from winnow.session import cut_lineage
 
 # Fixed value: the pairwise metrics are defined on at most this many rows per stage.
 METRIC_CAP = 2000
@@ -66,6 +67,7 @@ def fingerprint_groups(df: DataFrame, row_id: str, bits: str) -> tuple[DataFrame
     keyed = df.select(row_id, F.array_sort(F.array_distinct(bits)).alias("bits"))
     # the digest stands for the bits wherever rows are grouped or joined
     digests = keyed.select(row_id, F.sha2(F.array_join(F.col("bits").cast("array<string>"), ","), 256).alias("digest"))
+    digests = cut_lineage(digests)
     reps = digests.groupBy("digest").agg(F.min(row_id).alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = keyed.join(reps.select("rep", "copies"), keyed[row_id] == F.col("rep")).select("rep", "bits", "copies")
     return sets, digests.join(reps, "digest").select(row_id, "rep")
@@ -99,7 +101,7 @@ def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bit
     low_array = F.array(*[F.lit(x) for x in lows])
     classed = sized.withColumn("class", F.size(F.filter(low_array, lambda lo: lo <= F.col("size"))) - 1)
     n_words = (n_bits + WORD - 1) // WORD
-    packed = classed.withColumn("words", _words("bits", F.lit(n_words)))
+    packed = cut_lineage(classed.withColumn("words", _words("bits", F.lit(n_words))))
     tagged = packed.select("*", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("tag"))
     n_parts = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("tag") + 1)
     signed = tagged.withColumn("signatures", _signatures("bits", n_parts))
@@ -132,7 +134,7 @@ def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bit
         sa, sb = (side.select([F.col(c).alias(f"{p}_{c}") for c in side.columns]) for p in "ab")
         pairs = found.join(sa, "a_rep").join(sb, "b_rep").filter(reached)
         pairs = pairs.select("a_rep", "b_rep", similarity.alias("similarity"))
-    copies = reps.select("rep", "copies")
+    copies = packed.select("rep", "copies")
     return (
         pairs.join(copies.withColumnsRenamed({"rep": "a_rep", "copies": "copies_a"}), "a_rep")
         .join(copies.withColumnsRenamed({"rep": "b_rep", "copies": "copies_b"}), "b_rep")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -52,3 +54,18 @@ def small_or_same(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a table that several branches of a plan read, so that it is computed once.
+
+    Goes to the shared folder the cluster names in spark.checkpoint.dir.  A local session without one
+    gets a folder of its own; a cluster without one keeps the plan as it is.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            return df
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
