@@ -41,7 +41,7 @@ def test_missing_score_passes(spark, rows):
     two = spark.createDataFrame(
         [("a", 2.0, 0.9), ("b", 6.0, 0.9), ("c", 3.0, 0.3), ("d", 4.0, 0.6)], "smiles string, sa_score double, ra_score double"
     )
-    kept = flags.score_filter(two, {"sa_score": (0, 5), "ra_score": (0.5, "inf"), "syba_score": (0, "inf")})
+    kept = flags.score_filter(two, {"sa_score": (0, 5), "ra_score": (0.5, "inf"), "fragment_score": (0, "inf")})
     assert rows(kept, "smiles") == [("a",), ("d",)]
     empty = spark.createDataFrame([("a", None), ("b", None)], "smiles string, ra_score double")
     assert flags.score_filter(empty, {"ra_score": (0.5, 1)}).count() == 2

@@ -21,10 +21,10 @@ def test_best_pose(spark, rows):
 
 def test_two_tool_scores(spark, rows):
     poses = spark.createDataFrame(
-        [("m1", "gnina", -7.1, 0), ("m1", "gnina", -8.4, 1), ("m1", "smina", -9.2, 0), ("m2", "smina", -5.0, 0), (None, "smina", -99.0, 0), ("m2", "gnina", None, 3)],
+        [("m1", "t1", -7.1, 0), ("m1", "t1", -8.4, 1), ("m1", "t2", -9.2, 0), ("m2", "t2", -5.0, 0), (None, "t2", -99.0, 0), ("m2", "t1", None, 3)],
         "name string, tool string, affinity double, ord int",
     )
-    scores = best.best_by_tool(poses, "name", "tool", ["gnina", "smina", "none"], "affinity", "ord")
+    scores = best.best_by_tool(poses, "name", "tool", ["t1", "t2", "none"], "affinity", "ord")
     final = spark.createDataFrame([("m1",), ("m2",), ("m3",)], "name string")
     assert rows(best.with_tool_scores(final, scores, "name")) == [
         ("m1", -8.4, -9.2, None), ("m2", None, -5.0, None), ("m3", None, None, None),

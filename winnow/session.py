@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,15 +45,15 @@ SMALL_ROWS = 10_000
 
 
 def small_or_same(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A helper table as a local relation if it has at most ``max_rows`` rows, else unchanged.
+    """A helper table marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
 
-    The rows are counted, not guessed: a local relation is broadcast and the big side of the join stays
-    where it is; a table over the limit is joined by shuffle as usual.
+    The rows are counted, not guessed: below the limit they are held as literals of the plan and the big
+    side of the join stays where it is; a table over the limit is joined by shuffle as usual.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -26,12 +26,11 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_stage(
-    table: DataFrame, rank: str = "stage_rank", stage: str = "stage", skip: Sequence[str] = (), fallback: bool = True
+    table: DataFrame, rank: str = "stage_rank", stage: str = "stage", skip: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of the highest-ranked stage.
+    """Rows of the highest-ranked stage that has any; stages in ``skip`` are ignored.
 
-    Stages in ``skip`` are ignored.  A stage without rows is passed over by nature of the table;
-    with ``fallback=False`` callers look at the stage list instead (``existing``).
+    ``existing`` is the variant that stops at a stage written without rows.
     """
     rows = table.filter(~F.col(stage).isin(*skip)) if skip else table
     last = rows.agg(F.max_by(stage, rank).alias("__last"))
