@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from winnow.llm.bpe import encode_digests
 from winnow.llm.exact_dedup import exact_groups
+from winnow.llm.secret_scan import find_secrets
+from winnow.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,11 +19,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP2_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), s as (
+  select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from s qualify rank <= 5
+"""
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,7 +59,12 @@ from n window w as (partition by t)
 """
 
 QUERIES: dict[str, Query] = {
+    "op2_exact_topk": op2_exact_topk,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
+}
+SQL: dict[str, str] = {
+    "op2_exact_topk": OP2_SQL,
+    "op8_exact_dedup": OP8_SQL,
 }
-SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
