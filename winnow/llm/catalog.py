@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from winnow.llm import language, quality
 from winnow.llm.bpe import encode_digests
 from winnow.llm.exact_dedup import exact_groups
 from winnow.llm.secret_scan import find_secrets
@@ -36,6 +37,12 @@ from s qualify rank <= 5
 """
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs, language.fit(docs, ~language.held_out()))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -50,6 +57,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"), lambda id_: ~language.held_out(id_))
+    found = quality.score(docs, machine)
+    return found.select("doc_id", language.held_out().alias("held_out"), "score", "predicted")
+
+
 OP8_SQL = """
 with n as (
   select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
@@ -60,9 +74,11 @@ from n window w as (partition by t)
 
 QUERIES: dict[str, Query] = {
     "op2_exact_topk": op2_exact_topk,
+    "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_quality": op10_quality,
 }
 SQL: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
