@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from winnow.llm import language, quality
 from winnow.llm.bpe import encode_digests
 from winnow.llm.exact_dedup import exact_groups
+from winnow.llm.ngram_join import linked_components
 from winnow.llm.secret_scan import find_secrets
 from winnow.llm.topk_search import top_k
 
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_components(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, num=85, den=100)
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -73,6 +78,7 @@ from n window w as (partition by t)
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_exact_topk": op2_exact_topk,
     "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,

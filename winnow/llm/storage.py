@@ -24,12 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, read by any executor, safe if one is lost.
 
-    Tables lie below ``<shared>/<application id>``; that folder can go once the application's results are written.
+    ``by`` gives each value of that column a folder of its own. Tables lie below ``<shared>/<application id>``; that folder can go once the application's results are written.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

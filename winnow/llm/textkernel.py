@@ -81,7 +81,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     n = len(data) + 1
     if not _powers or len(_powers[0]) < n:
         size = max(n, SLICE_BYTES + 1)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, b, dtype=np.uint64)]).astype(np.uint64)) for b in (_BASE, _INVERSE)]
+        _powers[:] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, b, dtype=np.uint64))) for b in (_BASE, _INVERSE)]
     running = np.zeros(n, dtype=np.uint64)
     np.cumsum(_BYTE_VALUE[data] * _powers[0][: n - 1], out=running[1:])
     value = (running[end] - running[start]) * _powers[1][start]
