@@ -9,7 +9,6 @@ Pre-tokens are independent, so all new ones of a slice of texts share one queue.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -20,6 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from winnow.llm.vocabulary import load_ranks
+
 CACHE_ENTRIES = 400_000
 CACHE_CHARS = 64
 SLICE_CHARS = 6_000_000
@@ -208,11 +209,6 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, ids.split(" "))) if ids else b""
 
 
-def load_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
-
-
 @lru_cache(maxsize=2)
 def encoder(ranks_path: str, pattern: str) -> Encoder:
     """One encoder per Python worker and vocabulary."""

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from winnow.llm import language, quality
 from winnow.llm.bpe import encode_digests
 from winnow.llm.exact_dedup import exact_groups
+from winnow.llm.line_dedup import without_repeats
+from winnow.llm.mixing import Mix, copies, copies_sql
 from winnow.llm.ngram_join import linked_components
 from winnow.llm.secret_scan import find_secrets
+from winnow.llm.token_counts import histogram, lengths, suffix_sums
 from winnow.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +45,52 @@ from s qualify rank <= 5
 """
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text")
+    return suffix_sums(histogram(lengths(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)))
+
+
+# Four domains by the number in the source's name; half of all tokens, at most two passes of any source.
+MIX = Mix(
+    levels=(("domain", "concat('domain', pmod(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 4))"), ("language", "lang"), ("origin", "source")),
+    weights={"domain": {"domain0": 4, "domain1": 3, "domain2": 2}, "language": {"en": 5, "de": 3, "fr": 2}},
+    budget_num=1, budget_den=2, max_epochs=2, seed=17,
+)
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies(table(spark, sf_dir, "documents"), MIX)
+
+
+OP4_SQL = copies_sql(MIX, levels=("'domain' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4)", "lang", "source"), tokens="(strlen(text) + 3) // 4")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
+OP6_SQL = """
+with l as (
+  select doc_id, generate_subscripts(lines, 1) - 1 as i, unnest(lines) as line, len(lines) - 1 as last_i
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents)
+), h as (
+  select *, ('0x' || substr(md5(line), 1, 8))::bigint as h from l
+), e as (
+  select *, i = last_i or ((h + 31 * coalesce(lag(h) over w, 0)) % 1000003) % 3 = 0 as is_end from h window w as (partition by doc_id order by i)
+), p as (
+  select *, coalesce(sum(is_end::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as place from e
+), c as (
+  select doc_id, place, count(*) as n, string_agg(line, chr(10) order by i) as chunk from p group by all
+), r as (
+  select *, n >= 2 and row_number() over (partition by chunk order by doc_id, place) > 1 as gone from c
+)
+select doc_id, sum(n)::bigint as n_lines, coalesce(sum(n) filter (gone), 0)::bigint as n_removed,
+  sha256(coalesce(string_agg(chunk, chr(10) order by place) filter (not gone), '')) as text_sha256
+from r group by doc_id
+"""
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.predict(docs, language.fit(docs, ~language.held_out()))
@@ -80,7 +129,10 @@ from n window w as (partition by t)
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_topk": op2_exact_topk,
+    "op3_token_counts": op3_token_counts,
+    "op4_source_mix": op4_source_mix,
     "op5_language_id": op5_language_id,
+    "op6_line_dedup": op6_line_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
@@ -88,5 +140,7 @@ QUERIES: dict[str, Query] = {
 }
 SQL: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
+    "op4_source_mix": OP4_SQL,
+    "op6_line_dedup": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
 }

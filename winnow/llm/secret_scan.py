@@ -7,17 +7,17 @@ is reported, unless its form is that of a known digest, a UUID or an identifier.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from winnow.llm.vocabulary import encoding_of
+
 # The base patterns, their least lengths and their order.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -78,13 +78,6 @@ def shown(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-@lru_cache(maxsize=2)
-def encoding_of(ranks_path: str, pattern: str) -> tiktoken.Encoding:
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
 def find_secrets(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chars_per_token: float = CHARS_PER_TOKEN) -> DataFrame:
     """id, n_assign, n_access, n_hex, n_random, base_sha256, spans per row.
 
