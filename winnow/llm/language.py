@@ -179,6 +179,18 @@ def fit(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str =
     return Model(Duels.fit(x, family), {name: Duels.fit(x[family == name], label[family == name]) for name in sorted(set(family.tolist()))})
 
 
+def judged(texts: pa.Array, model: Model | None) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Whether each text has a letter, its language and the score."""
+    lettered = np.array([any(map(str.isalpha, text.as_py() or "")) for text in texts], dtype=bool)
+    if model is None:
+        return lettered, [UNKNOWN] * len(lettered), np.zeros(len(lettered))
+    data, offsets = flat(pc.utf8_lower(texts))
+    grams, total = trigrams(data, offsets)
+    label, score = model.predict(grams, offsets, total)
+    label = [x if held else UNKNOWN for x, held in zip(label, lettered.tolist(), strict=True)]
+    return lettered, label, np.where(lettered, score, 0.0)
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score (0 to 1) per row, from the whole text.
 
@@ -190,22 +202,28 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            texts = part.column(1)
-            lettered = np.array([any(map(str.isalpha, text.as_py() or "")) for text in texts], dtype=bool)
-            if model is None:
-                label, score = [UNKNOWN] * len(lettered), np.zeros(len(lettered))
-            else:
-                data, offsets = flat(pc.utf8_lower(texts))
-                grams, total = trigrams(data, offsets)
-                label, score = model.predict(grams, offsets, total)
-                label = [x if held else UNKNOWN for x, held in zip(label, lettered.tolist(), strict=True)]
-                score = np.where(lettered, score, 0.0)
+            _, label, score = judged(part.column(1), model)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(label, pa.string()), pa.array(score)], schema=schema)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {kind.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
+def accepted(docs: DataFrame, model: Model | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text has a language with a score of at least ``least_score``.
+
+    ``und`` texts (null, empty, without a letter) go; if nothing could be learned, all other rows stay.
+    """
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, at):
+            lettered, _, score = judged(part.column(at), model)
+            yield part.filter(pa.array(lettered & ((score >= least_score) | (model is None))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: Column | str = "doc_id") -> Column:
     """Rows whose CRC-32 of the id's text has remainder 2 by 4; nothing is learned from them."""
     return F.coalesce(F.crc32((F.col(id_col) if isinstance(id_col, str) else id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

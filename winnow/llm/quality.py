@@ -22,6 +22,9 @@ FACTORS = 8
 SAMPLE_ROWS = 6000
 BINS = 16
 EPOCHS = 12
+LEAST_STEPS = 150
+WORD_WEIGHT, STATISTIC_WEIGHT = 0.6, 2.0
+DECAY_LINEAR, DECAY_FACTORS = 2e-5, 2e-5
 THRESHOLD = 0.7
 
 _UPPER = np.zeros(256, dtype=bool)
@@ -33,7 +36,7 @@ _STOP[[ord(c) for c in ".,;:?'\"()-"]] = True
 _MARK = np.zeros(256, dtype=bool)
 _MARK[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _MARK &= ~_STOP
-STATISTICS = ("words", "bytes a word", "upper case", "digits", "punctuation", "symbols", "lines", "distinct words", "longest repeat")
+STATISTICS = ("words", "bytes a word", "upper case", "digits", "punctuation", "symbols", "lines", "distinct words", "most frequent word", "repeats of the word before")
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -48,7 +51,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     of, word = key >> BITS, key & ((1 << BITS) - 1)
     weight = np.log1p(times)
     norm = np.sqrt(np.bincount(of, weight * weight, minlength=n))
-    weight /= norm[of]
+    weight *= WORD_WEIGHT / norm[of]
     most = np.zeros(n)
     np.maximum.at(most, of, times)
     some = np.maximum(count, 1)
@@ -60,6 +63,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
             per_text(data == 10, offsets) / some,
             np.bincount(of, minlength=n) / some,
             most / some,
+            np.bincount(owner[1:], (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1]), minlength=n) / some,
         ],
         axis=1,
     )
@@ -91,7 +95,7 @@ class Machine:
         bins += (1 << BITS) + BINS * np.arange(k)
         owner = np.concatenate([of, np.repeat(np.arange(n), k)])
         order = np.argsort(owner, kind="stable")
-        value = np.concatenate([weight, np.full(n * k, 1 / np.sqrt(k))])
+        value = np.concatenate([weight, np.full(n * k, STATISTIC_WEIGHT / np.sqrt(k))])
         return owner[order], np.concatenate([word, bins.ravel()])[order], value[order]
 
     def margins(self, owner: np.ndarray, at: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +123,10 @@ def train(of: np.ndarray, word: np.ndarray, weight: np.ndarray, statistics: np.n
     bounds = np.searchsorted(owner, np.arange(n + 1))
     state = [np.zeros_like(x) for x in (machine.linear, machine.linear, machine.factors, machine.factors)]
     step = 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // -(-n // 256)))
+    for epoch in range(epochs):
         order = rng.permutation(n)
-        speed = 0.03 * (1 - epoch / EPOCHS) + 0.002
+        speed = 0.03 * (1 - epoch / epochs) + 0.002
         for begin in range(0, n, 256):
             rows = order[begin : begin + 256]
             picked = np.concatenate([np.arange(bounds[r], bounds[r + 1]) for r in rows])
@@ -131,9 +136,9 @@ def train(of: np.ndarray, word: np.ndarray, weight: np.ndarray, statistics: np.n
             error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label[rows]) / len(rows)
             touched, place = np.unique(cells, return_inverse=True)
             pull = error[inner] * x
-            grad_linear = np.bincount(place, pull) + 2e-5 * machine.linear[touched]
+            grad_linear = np.bincount(place, pull) + DECAY_LINEAR * machine.linear[touched]
             per = pull[:, None] * (total[inner] - machine.factors[cells] * x[:, None])
-            grad_factors = np.stack([np.bincount(place, per[:, f]) for f in range(FACTORS)], axis=1) + 2e-5 * machine.factors[touched]
+            grad_factors = np.stack([np.bincount(place, per[:, f]) for f in range(FACTORS)], axis=1) + DECAY_FACTORS * machine.factors[touched]
             step += 1
             for target, grad, mean, square in ((machine.linear, grad_linear, state[0], state[1]), (machine.factors, grad_factors, state[2], state[3])):
                 mean[touched] = 0.9 * mean[touched] + 0.1 * grad
