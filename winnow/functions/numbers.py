@@ -1,4 +1,4 @@
-"""Numeric helpers: NaN policy, rounding, monotone sort keys."""
+"""Numeric helpers: NaN policy, rounding."""
 
 from __future__ import annotations
 
@@ -38,27 +38,3 @@ def half_even(value: Column, digits: int) -> Column:
 def ratio(num: Column, den: Column, empty: float | None = 0.0, scale: float = 1.0) -> Column:
     """scale * num / den with a guard for an empty denominator."""
     return F.when(den > 0, F.lit(float(scale)) * num.cast("double") / den).otherwise(F.lit(empty).cast("double"))
-
-
-def sort_key(df: DataFrame, name: str) -> Column:
-    """A double that never decreases when the column increases.
-
-    Values may share a key (long precision, common string prefixes); that is fine for range
-    cuts, which only need equal or larger values to land in the same or a later range.
-    """
-    dtype, col = df.schema[name].dataType, F.col(name)
-    if isinstance(dtype, T.NumericType):
-        return col.cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return col.cast("int").cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-        return F.expr(f"timestampdiff(MICROSECOND, {epoch}, `{name}`)").cast("double")
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    raise TypeError(f"cannot range-cut column {name} of type {dtype.simpleString()}")

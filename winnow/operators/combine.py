@@ -10,39 +10,58 @@ from pyspark.sql import Column, DataFrame, functions as F
 from winnow.operators.flags import all_flags, no
 
 
+def key_value(df: DataFrame, name: str) -> Column:
+    """A key for comparing: NaN counts as missing."""
+    col = df[name]
+    return F.when(~F.isnan(col), col) if df.schema[name].dataType.typeName() in ("float", "double") else col
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which missing keys (NULL, NaN) match each other; the key columns appear once."""
+    side = right.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [key_value(left, k).eqNullSafe(key_value(side, f"__key_{k}")) for k in keys])
+    joined = left.join(side, on, how)
+    if how == "full_outer":
+        joined = joined.withColumns({k: F.coalesce(k, f"__key_{k}") for k in keys})
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__key_{k}" for k in keys])
+
+
 def mask_table(
     df: DataFrame, masks: Mapping[str, DataFrame | None], keys: Sequence[str], order: str | None = None
 ) -> DataFrame:
-    """``df`` with one ``pass_<name>`` per mask table; the last entry per key wins, missing is False.
+    """``df`` with one ``pass_<name>`` per mask table; the last entry per key in ``order`` wins, missing is False.
 
-    All mask tables are stacked and folded in one aggregation, so N masks cost one shuffle and one
-    join instead of N joins.
+    A mask table may carry only some of the keys; it then holds for all rows with those values. Mask tables with the
+    same keys are stacked and folded in one aggregation, so N masks cost one shuffle and one join instead of N joins.
+    A mask table without the ``order`` column must have each key once: a repeated one ends the query with an error,
+    because nothing says which entry is the last.
     """
-    stacked = []
+    by_keys: dict[tuple[str, ...], dict[str, DataFrame]] = {}
     for name, m in masks.items():
-        if m is None:
+        flag = None if m is None else "pass" if "pass" in m.columns else "pass_filter" if "pass_filter" in m.columns else None
+        own = () if m is None else tuple(k for k in keys if k in m.columns)
+        if flag is None or not own:
             continue
-        flag = "pass" if "pass" in m.columns else "pass_filter" if "pass_filter" in m.columns else None
-        if flag is None:
-            continue
-        rank = F.col(order) if order and order in m.columns else F.lit(0)
-        stacked.append(
-            m.select(*keys, F.lit(name).alias("__mask"), F.col(flag).alias("__pass"), rank.cast("long").alias("__ord"))
+        ranked = bool(order) and order in m.columns
+        rank = F.col(order) if ranked else F.lit(None)
+        values = [key_value(m, k).alias(k) for k in own]
+        by_keys.setdefault(own, {})[name] = m.select(
+            *values, F.lit(name).alias("__mask"), F.col(flag).alias("__pass"), rank.cast("long").alias("__ord"), F.lit(ranked).alias("__ranked")
         )
-    if not stacked:
-        return df.withColumns({f"pass_{n}": F.lit(False) for n in masks}) if masks else df
-    rows = reduce(DataFrame.unionByName, stacked)
-    # booleans and longs keep the fold a hash aggregation
-    folded = rows.groupBy(*keys).agg(
-        *[
-            F.max_by(F.when(F.col("__mask") == n, F.col("__pass")), F.when(F.col("__mask") == n, F.col("__ord"))).alias(
-                f"pass_{n}"
-            )
-            for n in masks
-        ]
-    )
-    joined = df.join(folded, list(keys), "left")
-    return joined.withColumns({f"pass_{n}": no(F.col(f"pass_{n}")) for n in masks})
+    out = df
+    for own, tables in by_keys.items():
+        folded = reduce(DataFrame.unionByName, tables.values()).groupBy(*own).agg(*[_last_flag(n) for n in tables])
+        out = join_on(out, folded, own, "left")
+    held = {n for tables in by_keys.values() for n in tables}
+    return out.withColumns({f"pass_{n}": no(F.col(f"pass_{n}")) if n in held else F.lit(False) for n in masks}) if masks else out
+
+
+def _last_flag(name: str) -> Column:
+    """The flag of the entry with the highest order; booleans and longs keep the fold a hash aggregation."""
+    own = F.col("__mask") == name
+    last = F.max_by(F.when(own, F.col("__pass")), F.when(own, F.coalesce("__ord", F.lit(-(2**62)))))
+    unclear = F.count_if(own & ~F.col("__ranked")) > 1
+    return F.when(unclear, F.raise_error(F.lit(f"mask {name} has a key twice and no order column")).cast("boolean")).otherwise(last).alias(f"pass_{name}")
 
 
 def combine_masks(
@@ -69,18 +88,18 @@ def intersect_survivors(df: DataFrame, survivors: Sequence[DataFrame], keys: Seq
         *[F.max(F.when(F.col("__i") == i, 1)).alias(f"__s{i}") for i in range(len(survivors))]
     )
     everywhere = full.filter(reduce(lambda a, b: a & b, [F.col(f"__s{i}") == 1 for i in range(len(survivors))]))
-    return df.join(everywhere.select(*keys), list(keys), "left_semi")
+    return join_on(df, everywhere.select(*keys), keys, "left_semi")
 
 
 def split_failed(df: DataFrame, passed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Input rows whose key is not among the survivors; repeated rows all stay."""
-    return df.join(passed.select(*keys), list(keys), "left_anti")
+    return join_on(df, passed.select(*keys), keys, "left_anti")
 
 
 def backfill(df: DataFrame, flags: DataFrame, keys: Sequence[str], cols: Sequence[str], how: str = "left") -> DataFrame:
     """Take flag columns from ``flags``, else the row's own, else False."""
     other = flags.select(*keys, *[F.col(c).alias(f"__{c}") for c in cols])
-    joined = df.join(other, list(keys), how)
+    joined = join_on(df, other, keys, "full_outer" if how in ("full", "outer", "fullouter") else how)
     filled = {}
     for c in cols:
         own = [F.col(c)] if c in df.columns else []
@@ -136,11 +155,15 @@ def short_circuit(
 ) -> DataFrame:
     """Evaluate ``expensive`` only on rows that pass ``gate``; for all others its flag is False.
 
-    Catalyst does not promise to skip a Python function inside a conditional, so the rows are
-    really filtered before it and joined back by key.
+    Catalyst does not promise to skip a Python function inside a conditional, so the rows are really filtered before
+    it. The rows come back by a union: nothing is joined, and repeated rows stay as often as they were given.
+    ``expensive`` must keep the columns of its input and add ``flag`` (missing counts as False); ``keys`` are kept for
+    callers that name them and are not compared.
     """
-    scored = expensive(df.filter(no(gate))).select(*keys, F.col(flag).alias("__flag"))
-    return df.join(scored, list(keys), "left").withColumn(flag, no(F.col("__flag"))).drop("__flag")
+    scored = expensive(df.filter(no(gate)))
+    scored = scored.select(*[c for c in df.columns if c != flag], no(F.col(flag)).alias(flag))
+    rest = df.filter(~no(gate)).select(*[c for c in df.columns if c != flag], F.lit(False).alias(flag))
+    return scored.unionByName(rest)
 
 
 def fail_policy(flag: Column, evaluated: Column, on_error: bool = True, on_absent: bool = False) -> Column:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from winnow.functions.numbers import half_even, ratio
-from winnow.operators.identity import sample_per_group
-from winnow.session import cut_lineage
+from winnow.operators.ranks import row_numbers
+from winnow.session import small_or_same, written
 
-# Fixed value: the pairwise metrics are defined on at most this many rows per stage.
-METRIC_CAP = 2000
+# Rows of a block: a task compares two blocks, however large their group is.
+BLOCK_ROWS = 2048
 
 WORD = 64
 INLINE_WORDS = 4
@@ -32,27 +33,32 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(27))
 
 
+def _flat(bits: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of a batch one after the other, and the row of each."""
+    sizes = bits.map(len).to_numpy()
+    positions = np.concatenate([np.zeros(0, np.int64), *bits]).astype(np.int64)
+    return positions, np.repeat(np.arange(len(bits)), sizes)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _words(bits: pd.Series, n_words: pd.Series) -> pd.Series:
     """Set-bit positions as 64-bit words."""
-    out = []
-    for b, n in zip(bits, n_words):
-        flags = np.zeros(n * WORD, dtype=np.uint8)
-        flags[np.asarray(b, dtype=np.int64)] = 1
-        out.append(np.packbits(flags, bitorder="little").view(np.int64))
-    return pd.Series(out)
+    n = int(n_words.iloc[0]) if len(n_words) else 1
+    positions, row = _flat(bits)
+    flags = np.zeros((len(bits), n * WORD), dtype=np.uint8)
+    flags[row, positions] = 1
+    return pd.Series(list(np.packbits(flags, axis=1, bitorder="little").view(np.int64)))
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _signatures(bits: pd.Series, parts: pd.Series) -> pd.Series:
     """One signature per part of the bit positions (position modulo number of parts)."""
-    out = []
-    for b, n in zip(bits, parts):
-        positions = np.asarray(b, dtype=np.int64)
-        sig = np.zeros(n, dtype=np.uint64)
-        np.bitwise_xor.at(sig, positions % n, _mix(positions))
-        out.append(sig.view(np.int64))
-    return pd.Series(out)
+    positions, row = _flat(bits)
+    n = parts.to_numpy(dtype=np.int64)
+    start = np.concatenate([[0], np.cumsum(n)])
+    sig = np.zeros(start[-1], dtype=np.uint64)
+    np.bitwise_xor.at(sig, start[row] + positions % n[row], _mix(positions))
+    return pd.Series(np.split(sig.view(np.int64), start[1:-1]) if len(n) else [])
 
 
 def shared_bits(a: str, b: str, n_words: int) -> Column:
@@ -67,7 +73,7 @@ def fingerprint_groups(df: DataFrame, row_id: str, bits: str) -> tuple[DataFrame
     keyed = df.select(row_id, F.array_sort(F.array_distinct(bits)).alias("bits"))
     # the digest stands for the bits wherever rows are grouped or joined
     digests = keyed.select(row_id, F.sha2(F.array_join(F.col("bits").cast("array<string>"), ","), 256).alias("digest"))
-    digests = cut_lineage(digests)
+    digests = written(digests, "digests")
     reps = digests.groupBy("digest").agg(F.min(row_id).alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = keyed.join(reps.select("rep", "copies"), keyed[row_id] == F.col("rep")).select("rep", "bits", "copies")
     return sets, digests.join(reps, "digest").select(row_id, "rep")
@@ -101,7 +107,7 @@ def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bit
     low_array = F.array(*[F.lit(x) for x in lows])
     classed = sized.withColumn("class", F.size(F.filter(low_array, lambda lo: lo <= F.col("size"))) - 1)
     n_words = (n_bits + WORD - 1) // WORD
-    packed = cut_lineage(classed.withColumn("words", _words("bits", F.lit(n_words))))
+    packed = written(classed.withColumn("words", _words("bits", F.lit(n_words))), "packed")
     tagged = packed.select("*", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("tag"))
     n_parts = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("tag") + 1)
     signed = tagged.withColumn("signatures", _signatures("bits", n_parts))
@@ -143,93 +149,142 @@ def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bit
 
 
 def _bit_matrix(rows: pd.Series, n_bits: int) -> np.ndarray:
+    positions, row = _flat(rows)
     m = np.zeros((len(rows), n_bits), dtype=np.float32)
-    for i, bits in enumerate(rows):
-        m[i, np.asarray(bits, dtype=np.int64)] = 1.0
+    m[row, positions] = 1.0
     return m
 
 
-def _tanimoto(m: np.ndarray) -> np.ndarray:
-    shared = (m @ m.T).astype(np.float64)
-    sizes = np.diag(shared)
-    union = sizes[:, None] + sizes[None, :] - shared
+def _tanimoto(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    shared = (a @ b.T).astype(np.float64)
+    union = a.sum(axis=1)[:, None] + b.sum(axis=1)[None, :] - shared
     return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
 
 
-def _capped(df: DataFrame, group: str, row_id: str, bits: str, cap: int, seed: int) -> DataFrame:
-    if cap > METRIC_CAP:
-        raise ValueError(f"pairwise metrics are defined on at most {METRIC_CAP} rows per group")
-    sample, _ = sample_per_group(df.select(group, row_id, bits), [group], row_id, cap, seed)
-    return sample
+def block_pairs(df: DataFrame, group: str, row_id: str, bits: str, block_rows: int) -> DataFrame:
+    """Every row once for each pair of blocks its block is in: (group, row_id, bits, __n, __block, __i, __j), __i <= __j.
 
+    A group of n rows has ceil(n / block_rows) blocks, dealt by a hash of the row id, and every pair of rows meets in
+    exactly one pair of blocks. Blocks are bounded, so a hot group is many even tasks.
+    """
+    rows = df.select(group, row_id, bits)
+    n = small_or_same(rows.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n")), "group-sizes")
+    rows = rows.join(n, rows[group].eqNullSafe(n["__g"])).drop("__g")
+    blocks = F.ceil(F.col("__n") / F.lit(block_rows)).cast("int")
+    rows = rows.withColumn("__block", F.pmod(F.xxhash64(row_id), blocks).cast("int"))
+    rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.select(
+        group, row_id, bits, "__n", "__block",
+        F.least("__block", "__other").alias("__i"), F.greatest("__block", "__other").alias("__j"),
+    )
 
-def tanimoto_profile(
-    df: DataFrame, group: str, row_id: str, bits: str, n_bits: int, cap: int = METRIC_CAP, seed: int = 42
-) -> DataFrame:
-    """Mean and largest similarity of every sampled row to the other rows of its group."""
-    sample = _capped(df, group, row_id, bits, cap, seed)
 
-    def profile(pdf: pd.DataFrame) -> pd.DataFrame:
-        sim = _tanimoto(_bit_matrix(pdf[bits], n_bits))
-        n = len(pdf)
-        np.fill_diagonal(sim, 0.0)
-        mean = sim.sum(axis=1) / (n - 1) if n > 1 else np.full(n, np.nan)
-        top = sim.max(axis=1) if n > 1 else np.full(n, np.nan)
-        return pd.DataFrame({group: pdf[group], row_id: pdf[row_id], "mean_similarity": mean, "max_similarity": top})
+def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    """The two blocks of a pair, and whether they are one and the same."""
+    i, j = pdf["__i"].iloc[0], pdf["__j"].iloc[0]
+    return pdf[pdf["__block"] == i], pdf[pdf["__block"] == j], i == j
 
-    kinds = dict(sample.dtypes)
-    schema = f"{group} {kinds[group]}, {row_id} {kinds[row_id]}, mean_similarity double, max_similarity double"
-    return sample.groupBy(group).applyInPandas(profile, schema)
 
+def tanimoto_profile(df: DataFrame, group: str, row_id: str, bits: str, n_bits: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Mean and largest similarity of every row to the other rows of its group; NULL for the only row of a group.
 
-def int_div(
-    df: DataFrame, group: str, row_id: str, bits: str, n_bits: int, cap: int = METRIC_CAP, seed: int = 42
-) -> DataFrame:
-    """Internal diversity per group: 1 - mean(T) and 1 - sqrt(mean(T^2)) over all ordered pairs, self included.
-
-    Defined on a seeded sample of at most 2,000 rows per group (the set metrics' own cap), which
-    also bounds what one task holds.
+    All rows take part; pairs are compared block by block and each row's sums are added up.
     """
-    sample = _capped(df, group, row_id, bits, cap, seed)
 
-    def diversity(pdf: pd.DataFrame) -> pd.DataFrame:
-        sim = _tanimoto(_bit_matrix(pdf[bits], n_bits))
-        return pd.DataFrame(
-            {
-                group: [pdf[group].iloc[0]],
-                "n": [len(pdf)],
-                "int_div1": [1.0 - sim.mean()],
-                "int_div2": [1.0 - np.sqrt((sim**2).mean())],
-            }
-        )
+    def profile(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, same = _sides(pdf)
+        if not len(left) or not len(right):
+            return pd.DataFrame({group: pdf[group][:0], row_id: pdf[row_id][:0], "s": [], "m": []})
+        sim = _tanimoto(_bit_matrix(left[bits], n_bits), _bit_matrix(right[bits], n_bits))
+        if same:
+            np.fill_diagonal(sim, 0.0)
+        parts = [(left, sim, 1)] if same else [(left, sim, 1), (right, sim, 0)]
+        return pd.concat([pd.DataFrame({group: side[group], row_id: side[row_id], "s": s.sum(axis=axis), "m": s.max(axis=axis)}) for side, s, axis in parts])
+
+    kinds = dict(df.dtypes)
+    schema = f"`{group}` {kinds[group]}, `{row_id}` {kinds[row_id]}, s double, m double"
+    cells = block_pairs(df, group, row_id, bits, block_rows).groupBy(group, "__i", "__j").applyInPandas(profile, schema)
+    n = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
+    sums = cells.groupBy(group, row_id).agg(F.sum("s").alias("s"), F.max("m").alias("m"))
+    out = sums.join(n, sums[group].eqNullSafe(n["__g"]))
+    many = F.col("__n") > 1
+    return out.select(
+        group, row_id, F.when(many, F.col("s") / (F.col("__n") - 1)).alias("mean_similarity"), F.when(many, F.col("m")).alias("max_similarity")
+    )
 
-    schema = f"{group} {dict(sample.dtypes)[group]}, n long, int_div1 double, int_div2 double"
-    return sample.groupBy(group).applyInPandas(diversity, schema)
+
+def int_div(df: DataFrame, group: str, row_id: str, bits: str, n_bits: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Internal diversity per group: 1 - mean(T) and 1 - sqrt(mean(T^2)) over all ordered pairs of its rows, self included.
+
+    All rows take part; pairs are compared block by block and the sums are added up.
+    """
+
+    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, same = _sides(pdf)
+        sim = _tanimoto(_bit_matrix(left[bits], n_bits), _bit_matrix(right[bits], n_bits))
+        times = 1.0 if same else 2.0
+        return pd.DataFrame({group: [pdf[group].iloc[0]], "n": [pdf["__n"].iloc[0]], "s1": [times * sim.sum()], "s2": [times * (sim**2).sum()]})
+
+    schema = f"`{group}` {dict(df.dtypes)[group]}, n long, s1 double, s2 double"
+    sums = block_pairs(df, group, row_id, bits, block_rows).groupBy(group, "__i", "__j").applyInPandas(partial, schema)
+    n = F.first("n")
+    return sums.groupBy(group).agg(
+        n.alias("n"), (1 - F.sum("s1") / (n * n)).alias("int_div1"), (1 - F.sqrt(F.sum("s2") / (n * n))).alias("int_div2")
+    )
 
 
 def sphere_exclusion(
-    df: DataFrame, group: str, row_id: str, bits: str, n_bits: int,
-    distance: float = 0.65, cap: int = METRIC_CAP, seed: int = 42,
+    df: DataFrame, group: str, row_id: str, bits: str, n_bits: int, distance: float = 0.65, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Greedy coverage per group: in id order a row is picked if it is farther than ``distance``
-    (1 - Tanimoto) from every earlier pick; the metric is picks / rows.  Same cap as ``int_div``."""
-    sample = _capped(df, group, row_id, bits, cap, seed)
-
-    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(row_id)
-        near = 1.0 - _tanimoto(_bit_matrix(pdf[bits], n_bits)) <= distance + 1e-12
-        free = np.ones(len(pdf), dtype=bool)
-        picks = 0
+    (1 - Tanimoto) from every earlier pick; the metric is picks / rows.
+
+    All rows take part. Rows are numbered in id order and cut into blocks of consecutive numbers. Round r decides block
+    r of every group, in one task each, and takes its picks to the later blocks, whose near rows are out; there are as
+    many rounds as the largest group has blocks, and every task holds two blocks.
+    """
+    kind = dict(df.dtypes)[group]
+    rows = row_numbers(df.select(group, row_id, bits), [group], [row_id], "__rn")
+    rows = rows.select(group, F.col(bits).alias("bits"), "__rn", ((F.col("__rn") - 1) / block_rows).cast("int").alias("block"))
+    rows = left = written(rows, "blocks")
+    last = rows.agg(F.max("block")).first()[0]
+    limit = distance + 1e-12
+    picks = []
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__rn")
+        m = _bit_matrix(pdf["bits"], n_bits)
+        near = 1.0 - _tanimoto(m, m) <= limit
+        free, picked = np.ones(len(pdf), dtype=bool), []
         for i in range(len(pdf)):
             if free[i]:
-                picks += 1
+                picked.append(i)
                 free &= ~near[i]
-        return pd.DataFrame(
-            {group: [pdf[group].iloc[0]], "n": [len(pdf)], "picks": [picks], "se_div": [picks / len(pdf)]}
-        )
-
-    schema = f"{group} {dict(sample.dtypes)[group]}, n long, picks long, se_div double"
-    return sample.groupBy(group).applyInPandas(cover, schema)
+        return pdf.iloc[picked][[group, "bits"]]
+
+    def exclude(later: pd.DataFrame, picked: pd.DataFrame) -> pd.DataFrame:
+        if len(later) and len(picked):
+            near = 1.0 - _tanimoto(_bit_matrix(later["bits"], n_bits), _bit_matrix(picked["bits"], n_bits)) <= limit
+            later = later[~near.any(axis=1)]
+        return later[[group, "bits", "__rn", "block"]]
+
+    for r in range((last or 0) + 1):
+        now = left.filter(F.col("block") == r).groupBy(group).applyInPandas(decide, f"`{group}` {kind}, bits array<int>")
+        now = written(now, "picks")
+        picks.append(now.groupBy(group).agg(F.count(F.lit(1)).alias("picks")))
+        if r < (last or 0):
+            later = left.filter(F.col("block") > r)
+            # the picks of a group go to each of its later blocks
+            own = later.select(F.col(group).alias("__g"), "block").distinct()
+            sent = now.join(own, now[group].eqNullSafe(own["__g"])).select(group, "block", "bits")
+            left = later.groupBy(group, "block").cogroup(sent.groupBy(group, "block")).applyInPandas(
+                exclude, f"`{group}` {kind}, bits array<int>, __rn long, block int"
+            )
+            left = written(left, "undecided")
+    counts = rows.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("n"))
+    found = reduce(DataFrame.unionByName, picks).groupBy(group).agg(F.sum("picks").alias("picks"))
+    out = found.join(counts, found[group].eqNullSafe(counts["__g"]))
+    return out.select(group, "n", "picks", (F.col("picks") / F.col("n")).alias("se_div"))
 
 
 def uniqueness(df: DataFrame, group: str, key: str, valid: Column | None = None) -> DataFrame:

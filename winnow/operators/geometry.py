@@ -9,9 +9,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
+
+from winnow.session import small_or_same
 
 ATOMS = "array<struct<element:string,x:double,y:double,z:double>>"
 
@@ -84,8 +84,10 @@ def site_contacts(
 ) -> DataFrame:
     """Per pose: ``min_distance`` to its site (NULL beyond ``max_distance``), ``clashes``, ``pass_near``, ``pass_clash``.
 
-    Both sides fall into grid cells as wide as the largest distance asked for; a site atom is copied
-    to its 27 neighbour cells, so close atoms meet in an equi-join on (site, cell) and far ones never do.
+    Both sides fall into grid cells as wide as the largest distance asked for. The site becomes one row per cell with
+    the atoms of the cell and its neighbours (how many fit there is a matter of density, not of table size); small
+    tables of cells, and sites are small, are counted and sent to every task. A pose atom meets one row and is folded
+    there; the atoms of a pose lie together, so they are added up before anything is shuffled.
     A clash is a pair closer than cutoff * (radius + radius).
     """
     width = max(max_distance, 2 * cutoff * max([*radii.values(), OTHER_RADIUS]))
@@ -96,17 +98,23 @@ def site_contacts(
     a = a.withColumns({f"c{k}": _cell(k, width) for k in "xyz"})
     near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
     b = sites.select(
-        F.col(site).alias("__site"), *[F.col(k).alias(f"b{k}") for k in "xyz"], radius(F.col("element"), radii).alias("br"),
+        F.col(site).alias("__site"), *[F.col(k) for k in "xyz"], radius(F.col("element"), radii).alias("r"),
         *[_cell(k, width).alias(f"o{k}") for k in "xyz"],
     )
     for k in "xyz":
         b = b.withColumn(f"d{k}", F.explode(near)).withColumn(f"c{k}", F.col(f"o{k}") + F.col(f"d{k}"))
-    b = b.drop(*[p + k for p in "od" for k in "xyz"])
-    distance = F.sqrt(sum((F.pow(F.col(k) - F.col(f"b{k}"), F.lit(2)) for k in "xyz"), F.lit(0.0)))
-    pairs = a.join(b, ["__site", "cx", "cy", "cz"]).withColumn("d", distance)
-    met = pairs.groupBy(pose_id).agg(
-        F.min(F.when(F.col("d") <= max_distance, F.col("d"))).alias("min_distance"),
-        F.count_if(F.col("d") < cutoff * (F.col("r") + F.col("br"))).alias("clashes"),
+    cell = ["__site", "cx", "cy", "cz"]
+    b = small_or_same(b.groupBy(*cell).agg(F.collect_list(F.struct("x", "y", "z", "r")).alias("__near")), "site-cells")
+
+    def distance(q: Column) -> Column:
+        return F.sqrt(sum((F.pow(F.col(k) - q[k], F.lit(2)) for k in "xyz"), F.lit(0.0)))
+
+    met = a.join(b, cell).select(
+        pose_id, F.transform("__near", lambda q: F.struct(distance(q).alias("d"), (cutoff * (F.col("r") + q["r"])).alias("least"))).alias("p")
+    )
+    met = met.groupBy(pose_id).agg(
+        F.min(F.array_min(F.transform(F.filter("p", lambda q: q["d"] <= max_distance), lambda q: q["d"]))).alias("min_distance"),
+        F.sum(F.size(F.filter("p", lambda q: q["d"] < q["least"])).cast("long")).alias("clashes"),
     )
     out = poses.join(met, pose_id, "left").withColumn("clashes", F.coalesce("clashes", F.lit(0)))
     return out.withColumns({"pass_near": F.col("min_distance").isNotNull(), "pass_clash": F.col("clashes") == 0})
@@ -137,44 +145,73 @@ def shape_similarity(df: DataFrame, atoms: str, reference: str, alpha: float = S
     return scored.withColumn("pass_shape", passed)
 
 
-def superposed_rmsd(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """RMSD after optimal superposition for stacks of point sets of shape (k, n, 3)."""
-    a = a - a.mean(axis=1, keepdims=True)
-    b = b - b.mean(axis=1, keepdims=True)
-    u, s, vt = np.linalg.svd(np.einsum("kni,knj->kij", a, b))
-    flip = np.sign(np.linalg.det(u) * np.linalg.det(vt))
-    s[:, -1] *= np.where(flip == 0, 1.0, flip)
-    sq = (a**2).sum(axis=(1, 2)) + (b**2).sum(axis=(1, 2)) - 2 * s.sum(axis=1)
-    return np.sqrt(np.maximum(sq, 0.0) / a.shape[1])
-
+def with_rmsd(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """Add the RMSD of two atom lists after optimal superposition; NULL if they are missing, empty or of different length.
 
-@F.pandas_udf(T.DoubleType())
-def _rmsd(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = np.full(len(a), np.nan)
-    xs, ys = ([None if v is None else np.asarray(v, dtype=float).reshape(-1, 3) for v in s] for s in (a, b))
-    sizes: dict[int, list[int]] = {}
-    for i, (p, q) in enumerate(zip(xs, ys)):
-        if p is not None and q is not None and len(p) == len(q) > 0:
-            sizes.setdefault(len(p), []).append(i)
-    for rows in sizes.values():
-        out[rows] = superposed_rmsd(np.stack([xs[i] for i in rows]), np.stack([ys[i] for i in rows]))
-    return pd.Series(out)
-
-
-def flat(atoms: Column) -> Column:
-    return F.flatten(F.transform(atoms, lambda p: F.array(p["x"], p["y"], p["z"])))
+    Only the singular values of the 3 x 3 covariance are needed: the roots of a cubic, in closed form, and the sign of
+    its determinant (a reflection does not count as a superposition).
+    """
+    axes = "xyz"
+    pairs = F.arrays_zip(F.col(a).alias("p"), F.col(b).alias("q"))
+
+    def total(f) -> Column:
+        return F.aggregate("__pairs", F.lit(0.0), lambda s, e: s + f(e["p"], e["q"]))
+
+    usable = (F.size(a) == F.size(b)) & (F.size(a) > 0)
+    df = df.withColumn("__pairs", F.when(usable, pairs)).withColumn("__n", F.size(a).cast("double"))
+    sums = {f"__p{i}": total(lambda p, q, i=i: p[i]) for i in axes} | {f"__q{i}": total(lambda p, q, i=i: q[i]) for i in axes}
+    sums |= {f"__{i}{j}": total(lambda p, q, i=i, j=j: p[i] * q[j]) for i in axes for j in axes}
+    sums |= {"__e": total(lambda p, q: sum((p[i] * p[i] + q[i] * q[i] for i in axes), F.lit(0.0)))}
+    df = df.withColumns(sums)
+    n = F.col("__n")
+    h = {i + j: F.col(f"__{i}{j}") - F.col(f"__p{i}") * F.col(f"__q{j}") / n for i in axes for j in axes}
+    energy = F.col("__e") - sum((F.col(f"__{s}{i}") * F.col(f"__{s}{i}") for s in "pq" for i in axes), F.lit(0.0)) / n
+    df = df.withColumns({**{f"__h{k}": v for k, v in h.items()}, "__energy": energy})
+    g = {i + j: sum((F.col(f"__h{k}{i}") * F.col(f"__h{k}{j}") for k in axes), F.lit(0.0)) for i in axes for j in axes if i <= j}
+    df = df.withColumns({**{f"__m{k}": v for k, v in g.items()}, "__det": _determinant({k: F.col(f"__h{k}") for k in h})})
+    m = {k: F.col(f"__m{min(k)}{max(k)}") for k in h}
+    third = (m["xx"] + m["yy"] + m["zz"]) / 3.0
+    df = df.withColumn("__third", third)
+    off = m["xy"] * m["xy"] + m["xz"] * m["xz"] + m["yz"] * m["yz"]
+    around = sum(((m[i + i] - F.col("__third")) * (m[i + i] - F.col("__third")) for i in axes), F.lit(0.0)) + 2.0 * off
+    df = df.withColumn("__spread", F.sqrt(around / 6.0))
+    unit = {k: (m[k] - F.col("__third") if k[0] == k[1] else m[k]) / F.col("__spread") for k in h}
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _determinant(unit) / 2.0))) / 3.0
+    df = df.withColumn("__angle", F.when(F.col("__spread") > 0, angle).otherwise(0.0))
+    high = F.col("__third") + 2.0 * F.col("__spread") * F.cos("__angle")
+    low = F.col("__third") + 2.0 * F.col("__spread") * F.cos(F.col("__angle") + F.lit(2.0943951023931953))
+    df = df.withColumns({"__high": high, "__low": low})
+    roots = [F.sqrt(F.greatest(x, F.lit(0.0))) for x in (F.col("__high"), 3.0 * F.col("__third") - F.col("__high") - F.col("__low"), F.col("__low"))]
+    overlap = roots[0] + roots[1] + F.when(F.col("__det") < 0, -roots[2]).otherwise(roots[2])
+    rmsd = F.sqrt(F.greatest(F.col("__energy") - 2.0 * overlap, F.lit(0.0)) / n)
+    df = df.withColumn(out, F.when(F.col("__pairs").isNotNull(), rmsd))
+    return df.drop(*[c for c in df.columns if c.startswith("__") and c not in (a, b, out)])
+
+
+def _determinant(h: Mapping[str, Column]) -> Column:
+    return (
+        h["xx"] * (h["yy"] * h["zz"] - h["yz"] * h["zy"])
+        - h["xy"] * (h["yx"] * h["zz"] - h["yz"] * h["zx"])
+        + h["xz"] * (h["yx"] * h["zy"] - h["yy"] * h["zx"])
+    )
 
 
-def min_rmsd(poses: DataFrame, conformers: DataFrame, pose_id: str, key: str, atoms: str, max_rmsd: float = 3.0) -> DataFrame:
+def min_rmsd(
+    poses: DataFrame, conformers: DataFrame, pose_id: str, key: str, atoms: str, max_rmsd: float = 3.0, permutations: DataFrame | None = None
+) -> DataFrame:
     """Smallest deviation of a pose from the conformers supplied for its ``key``.
 
-    Atoms correspond by position.  No usable conformer: infinite deviation, the pose fails.
-    Pairs are scored in Arrow batches as the join produces them.
+    Atoms correspond by position.  ``permutations`` (key, permutation: array of 0-based positions) adds equivalent
+    numberings of the conformer's atoms; the smallest deviation over all of them counts.  No usable conformer: infinite
+    deviation, the pose fails.
     """
-    a = poses.select(pose_id, key, flat(F.col(atoms)).alias("__a"))
-    b = conformers.select(key, flat(F.col(atoms)).alias("__b"))
-    d = a.join(b, key).select(pose_id, _rmsd("__a", "__b").alias("d"))
-    best = d.groupBy(pose_id).agg(F.min(F.when(~F.isnan("d"), F.col("d"))).alias("min_rmsd"))
+    a = poses.select(pose_id, key, F.col(atoms).alias("a"))
+    b = conformers.select(key, F.col(atoms).alias("b"))
+    if permutations is not None:
+        other = b.join(permutations.select(key, "permutation"), key)
+        b = b.unionByName(other.select(key, F.transform("permutation", lambda i: F.get("b", i)).alias("b")))
+    d = with_rmsd(a.join(b, key), "a", "b", "d")
+    best = d.groupBy(pose_id).agg(F.min("d").alias("min_rmsd"))
     out = poses.join(best, pose_id, "left").withColumn("min_rmsd", F.coalesce("min_rmsd", F.lit(float("inf"))))
     return out.withColumn("pass_deviation", F.col("min_rmsd") <= max_rmsd)
 

@@ -77,7 +77,7 @@ def assign_index(
     base = df.withColumn("__group", name)
     firsts = base.groupBy("__group").agg(F.min(order).alias("__first"))
     numbers = row_numbers(firsts, [], ["__first", "__group"], "__number", in_task).select("__group", "__number")
-    numbers = small_or_same(numbers)
+    numbers = small_or_same(numbers, "group-numbers")
     counted = row_numbers(base, ["__group"], [order], "__counter", in_task)
     text = F.format_string(
         f"{prefix}-%0{GROUP_WIDTH}d-%0{COUNTER_WIDTH}d", F.col("__number"), F.col("__counter")

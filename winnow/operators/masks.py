@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from winnow.functions.numbers import half_even, ratio
 from winnow.operators.best import top_counts
+from winnow.operators.ranks import number
 
 
 def share(flag: Column) -> Column:
@@ -50,9 +51,9 @@ def single_mask_stats(df: DataFrame, group: str, flag: str = "pass") -> DataFram
 def severity_summary(df: DataFrame, group: str, severity: str, motifs: str, special: str, flag: Column) -> DataFrame:
     return df.groupBy(group).agg(
         F.count(F.lit(1)).alias("num_mol"),
-        F.avg(severity).alias("mean_severity"),
-        F.max(severity).alias("max_severity"),
-        F.avg(motifs).alias("mean_n_covalent_motif"),
+        F.avg(number(severity)).alias("mean_severity"),
+        F.max(F.when(~F.isnan(F.col(severity).cast("double")), F.col(severity))).alias("max_severity"),
+        F.avg(number(motifs)).alias("mean_n_covalent_motif"),
         share(F.coalesce(F.col(special) > 0, F.lit(False))).alias("mean_nonzero_special_mol"),
         (1 - share(flag)).alias("banned_ratio"),
     )
@@ -61,7 +62,7 @@ def severity_summary(df: DataFrame, group: str, severity: str, motifs: str, spec
 def demerit_summary(df: DataFrame, group: str, demerit: str, flag: Column) -> DataFrame:
     return df.groupBy(group).agg(
         F.count(F.lit(1)).alias("num_mol"),
-        F.avg(demerit).alias("mean_noNA_demerit_score"),
+        F.avg(number(demerit)).alias("mean_noNA_demerit_score"),
         (1 - share(flag)).alias("banned_ratio"),
     )
 

@@ -14,8 +14,7 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from winnow.functions.numbers import sort_key
-from winnow.session import shuffle_parts, small_or_same
+from winnow.session import shuffle_parts, small_or_same, written
 
 ALL = "(all)"
 
@@ -25,6 +24,7 @@ IN_TASK_ROWS = 1_000_000
 # Ranges are only numbers in an aggregation, so there can be more of them than tasks.
 MIN_RANGES = 128
 RANGES_PER_TASK = 4
+SAMPLE_PER_RANGE = 1000
 
 
 def _splits(cuts: Sequence[float] | None) -> list[float]:
@@ -38,12 +38,17 @@ def _probs(parts: int) -> list[float]:
 
 
 def with_ranges(df: DataFrame, keys: dict[str, Column], names: dict[str, str]) -> DataFrame:
-    """Add ``names[c]``: the range number of key ``c``; missing keys get -1."""
+    """Add ``names[c]``: the range number of numeric key ``c``; missing keys get -1.
+
+    The cuts come from a sample of bounded size, so what is brought together does not grow with the table; they only
+    shape the ranges, whose counts are exact.
+    """
     parts = max(MIN_RANGES, RANGES_PER_TASK * shuffle_parts(df.sparkSession))
     tmp = {c: f"__key_{i}" for i, c in enumerate(keys)}
     keyed = df.withColumns({tmp[c]: k for c, k in keys.items()})
-    row = keyed.agg(
-        *[F.percentile_approx(tmp[c], _probs(parts), 8 * parts).alias(tmp[c]) for c in keys]
+    share = min(1.0, SAMPLE_PER_RANGE * parts / max(1, df.count()))
+    row = keyed.select(*tmp.values()).sample(share, 7).agg(
+        *[F.percentile_approx(tmp[c], _probs(parts), 4 * parts).alias(tmp[c]) for c in keys]
     ).first()
     out = {c: f"__cut_{i}" for i, c in enumerate(keys)}
     cutter = Bucketizer(
@@ -74,15 +79,16 @@ def row_numbers(
 ) -> DataFrame:
     """Add the exact 1-based row number per group in ascending order (missing first).
 
-    ``order`` must identify a row within its group.  Its first column should be nearly unique:
-    rows that tie on it share a range.  Tables whose largest group has been counted and fits a task
-    use a plain window.
+    ``order`` must identify a row within its group; any types that Spark can sort will do. If the largest group,
+    which is counted first, does not fit a task, the table is range-partitioned by the whole order (cuts from Spark's
+    own bounded sample) and written once with its range number, so that the counts and the numbers see the same ranges.
     """
     group = list(group)
+    by = [F.col(c).asc_nulls_first() for c in order]
     if largest_group(df, group) <= in_task:
-        whole = W.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        return df.withColumn(out, F.row_number().over(whole).cast("long"))
-    cut = with_ranges(df, {"o": sort_key(df, order[0])}, {"o": "__range"})
+        return df.withColumn(out, F.row_number().over(W.partitionBy(*group).orderBy(*by)).cast("long"))
+    parts = max(MIN_RANGES, RANGES_PER_TASK * shuffle_parts(df.sparkSession))
+    cut = written(df.repartitionByRange(parts, *by).withColumn("__range", F.spark_partition_id()), "ranges")
     counts = cut.groupBy(*group, "__range").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy(*group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
@@ -90,8 +96,8 @@ def row_numbers(
         F.col("__range").alias("__r"),
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
     )
-    offsets = small_or_same(offsets)
-    inside = W.partitionBy(*group, "__range").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    offsets = small_or_same(offsets, "offsets")
+    inside = W.partitionBy(*group, "__range").orderBy(*by)
     cond = cut["__range"] == offsets["__r"]
     for i, c in enumerate(group):
         cond = cond & cut[c].eqNullSafe(offsets[f"__g{i}"])
@@ -186,7 +192,7 @@ def quantiles(
         wanted = spans.filter(
             F.exists(F.array(*ranks), lambda r: (r >= F.col("start")) & (r < F.col("stop")))
         ).select(*[F.col(c).alias(f"w_{c}") for c in [*by, "range"]], "start", "total")
-        wanted = small_or_same(wanted)
+        wanted = small_or_same(wanted, "wanted")
         rows = with_overall(long, group) if both else long
         cond = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(wanted[f"w_{c}"]) for c in [*by, "range"]])
         values = rows.join(wanted, cond).groupBy(*by, "range", "start", "total", "value").agg(F.count(F.lit(1)).alias("n"))

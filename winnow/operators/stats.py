@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.numbers import as_bound, ratio
+from winnow.operators.combine import join_on
 from winnow.operators.ranks import ALL, IN_TASK_ROWS, grouped, melt, number, quantiles
 from winnow.session import small_or_same
 
@@ -30,7 +31,7 @@ def describe(df: DataFrame, cols: Sequence[str], group: str, single_std: float |
 
     table = grouped(df, {c: moments(c) for c in cols}, group, overall=True).filter("n > 0")
     middle = quantiles(df, cols, {"median": 0.5}, group, overall=True)
-    return table.join(middle, [group, "metric"], "left")
+    return join_on(table, middle, [group, "metric"], "left")
 
 
 def five_numbers(df: DataFrame, cols: Sequence[str], group: str, in_task: int = IN_TASK_ROWS) -> DataFrame:
@@ -39,7 +40,7 @@ def five_numbers(df: DataFrame, cols: Sequence[str], group: str, in_task: int =
 
 
 def group_means(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
-    return df.groupBy(group).agg(*[F.avg(c).alias(f"mean_{c}") for c in cols])
+    return df.groupBy(group).agg(*[F.avg(number(c)).alias(f"mean_{c}") for c in cols])
 
 
 def drift(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -56,7 +57,7 @@ def drift(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over [min, max] with their mean; empty bins are listed with 0."""
-    x = F.col(col).cast("double")
+    x = number(col)
     ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     schema = "bin int, lower double, count bigint, sum double"
     if ends.lo is None:
@@ -77,14 +78,18 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     )
 
 
-def discrete_histogram(df: DataFrame, col: str, beyond: int = 5) -> DataFrame:
-    """Counts for every whole number from 0 to max + ``beyond``."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("long").alias("value")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
-    top = counts.agg(F.max("value").alias("top"))
-    domain = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("top") + beyond)).alias("value"))
-    return domain.join(counts, "value", "left").select("value", F.coalesce("count", F.lit(0)).alias("count"))
+def discrete_histogram(df: DataFrame, col: str, beyond: int = 5, longest: int = 100_000) -> DataFrame:
+    """Counts of the whole numbers that occur; from 0 to max + ``beyond`` the others are listed with 0.
+
+    Fractions, NaN and missing values are left out. Zeros are filled in up to ``longest`` values; beyond that, and
+    below 0, only values that occur are listed, so one huge value does not blow up the result.
+    """
+    x = number(col)
+    whole = df.filter((x == F.floor(x)) & (F.abs(x) < 2.0**62)).groupBy(x.cast("long").alias("value"))
+    counts = whole.agg(F.count(F.lit(1)).alias("count"))
+    top = counts.agg(F.least(F.max("value") + beyond, F.lit(longest)).alias("top")).filter("top >= 0")
+    domain = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("top"))).alias("value"))
+    return domain.join(counts, "value", "full_outer").select("value", F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def symbol_histogram(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
@@ -129,7 +134,7 @@ def density(
         (F.least(high, F.lit(hi)) if hi is not None else high).alias("__hi"),
     )
     at = [F.col("__lo") + F.lit(k) * (F.col("__hi") - F.col("__lo")) / F.lit(points - 1) for k in range(points)]
-    frame = small_or_same(frame)
+    frame = small_or_same(frame, "density-frames")
     kernel = [
         F.sum(F.exp(-0.5 * F.pow((p - F.col("__x")) / F.col("__h"), F.lit(2)))).alias(f"k{i}") for i, p in enumerate(at)
     ]
@@ -145,7 +150,7 @@ def in_bounds(df: DataFrame, bounds: Mapping[str, tuple], group: str) -> DataFra
     """Percentage inside the bounds per metric and group; missing values are left out."""
     aggs = []
     for c, (lo, hi) in bounds.items():
-        value = F.col(c).cast("double")
+        value = number(c)
         tests = [t for t in (value >= as_bound(lo) if as_bound(lo) is not None else None,
                              value <= as_bound(hi) if as_bound(hi) is not None else None) if t is not None]
         inside = reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
@@ -155,13 +160,13 @@ def in_bounds(df: DataFrame, bounds: Mapping[str, tuple], group: str) -> DataFra
 
 def score_summary(df: DataFrame, scores: Sequence[str], group: str, solved: str | None = None, time: str | None = None) -> DataFrame:
     """Means of the non-null scores, solved and unsolved counts, overall and per group."""
-    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(s).alias(f"avg_{s}") for s in scores]]
+    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(number(s)).alias(f"avg_{s}") for s in scores]]
     if solved:
         ok = F.count_if(F.col(solved).cast("boolean"))
         aggs += [ok.alias("solved"), (F.count(F.lit(1)) - ok).alias("unsolved"),
                  (100.0 * ok / F.count(F.lit(1))).alias("pct_solved")]
     if time:
-        aggs.append(F.avg(time).alias("avg_search_time"))
+        aggs.append(F.avg(number(time)).alias("avg_search_time"))
     out = df.groupingSets([[F.col(group)], []], group).agg(_group_name(df, group).alias("__group"), *aggs)
     return out.drop(group).withColumnRenamed("__group", group)
 
@@ -173,13 +178,13 @@ def route_summary(df: DataFrame, solved: str, score: str, steps: str, precursors
         F.count(F.lit(1)).alias("total"),
         F.count_if(ok).alias("solved"),
         ratio(F.count_if(ok), F.count(F.lit(1)), None, 100).alias("solve_rate"),
-        *[F.avg(F.when(ok, F.col(c))).alias(f"avg_{c}") for c in (score, steps, precursors)],
+        *[F.avg(F.when(ok, number(c))).alias(f"avg_{c}") for c in (score, steps, precursors)],
     )
 
 
 def pose_summary(df: DataFrame, score: str, group: str, unknown: str = "Unknown") -> DataFrame:
     """Mean, best (lowest) and count, overall and per group; the unknown group only counts overall."""
-    rows = df.filter(F.col(score).isNotNull()).select(
+    rows = df.filter(number(score).isNotNull()).select(
         F.coalesce(F.col(group).cast("string"), F.lit(unknown)).alias(group), score
     )
     out = rows.groupingSets([[F.col(group)], []], group).agg(

@@ -142,7 +142,7 @@ def q_keys(t: Tables) -> DataFrame:
        k as (select lang, count(distinct k) / count(*) as v from kw group by 1),
        a as (select 'Uniqueness' as metric, * from u union all select 'FG', * from k)
        select metric, """
-    + ", ".join(f"round_even(max(v) filter (lang = '{x}'), 4) as {x}" for x in ("en", "fr"))
+    + ", ".join(f"round_even(max(v) filter (lang = '{x}'), 4) as {x}" for x in ("de", "en", "es", "fr"))
     + " from a group by 1",
 )
 def q_set_metrics(t: Tables) -> DataFrame:
@@ -152,22 +152,22 @@ def q_set_metrics(t: Tables) -> DataFrame:
         "FG": fp.array_key_diversity(docs, "lang", "keys").select("lang", F.col("key_div").alias("value")),
         "Validity": fp.uniqueness(docs, "lang", "digest").select("lang", F.col("validity").alias("value")),
     }
-    return fp.set_metrics(tables, "lang", keep=["Uniqueness", "FG"], stages=["en", "fr"])
+    return fp.set_metrics(tables, "lang", keep=["Uniqueness", "FG"], stages=["de", "en", "es", "fr"])
 
 
-# --- geometry: every vector is a pose of 21 atoms, three dimensions each ---------------------------
+# --- geometry: every vector is a pose of 22 atoms, three dimensions each; the last one is padded with 0 ----
 
 SCALE = 10.0
-N_ATOMS = 21
+N_ATOMS = 22
 
 
 def atoms_of(vector: Column) -> Column:
-    """First 63 numbers as 21 carbon atoms."""
+    """The 64 numbers as 22 carbon atoms."""
     return F.transform(
         F.sequence(F.lit(0), F.lit(N_ATOMS - 1)),
         lambda k: F.struct(
             F.lit("C").alias("element"),
-            *[(F.get(vector, k * 3 + j).cast("double") * SCALE).alias(axis) for j, axis in enumerate("xyz")],
+            *[F.coalesce(F.get(vector, k * 3 + j).cast("double") * SCALE, F.lit(0.0)).alias(axis) for j, axis in enumerate("xyz")],
         ),
     )
 
@@ -188,11 +188,11 @@ def label_sites(t: Tables) -> DataFrame:
     return label_vectors(t, F.avg).select("label", F.explode(atoms_of(F.col("vector"))).alias("a")).select("label", "a.*")
 
 
-ATOMS_SQL = """atm as (select vec_id, label, k, 10.0::double * embedding[3 * k + 1]::double as x, 10.0::double * embedding[3 * k + 2]::double as y,
-    10.0::double * embedding[3 * k + 3]::double as z from embeddings, range(21) r(k)),
+ATOMS_SQL = """atm as (select vec_id, label, k, 10.0::double * embedding[3 * k + 1]::double as x, coalesce(10.0::double * embedding[3 * k + 2]::double, 0) as y,
+    coalesce(10.0::double * embedding[3 * k + 3]::double, 0) as z from embeddings, range(22) r(k)),
   mean as (select label, d, avg(v) as v from (select label, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as d from embeddings) group by 1, 2),
-  st as (select label, ((d - 1) // 3)::int as k, 10.0::double * max(v) filter ((d - 1) % 3 = 0) as x, 10.0::double * max(v) filter ((d - 1) % 3 = 1) as y,
-    10.0::double * max(v) filter ((d - 1) % 3 = 2) as z from mean where d <= 63 group by 1, 2)"""
+  st as (select label, ((d - 1) // 3)::int as k, 10.0::double * max(v) filter ((d - 1) % 3 = 0) as x, coalesce(10.0::double * max(v) filter ((d - 1) % 3 = 1), 0) as y,
+    coalesce(10.0::double * max(v) filter ((d - 1) % 3 = 2), 0) as z from mean group by 1, 2)"""
 
 
 @query(
@@ -241,7 +241,29 @@ def q_shape(t: Tables) -> DataFrame:
     return out.select("vec_id", F.round("shape_score", 6).alias("shape_score"), "pass_shape")
 
 
-@query("q_rmsd")
+RMSD_SQL = f"""{ATOMS_SQL},
+  cl as (select label, (d - 1) // 3 as k, (d - 1) % 3 as axis, unnest([avg(v), min(v), max(v)]) as v, unnest([1, 2, 3]) as kind
+    from (select label, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as d from embeddings) group by label, d),
+  cf as (select label, kind, k, 10.0::double * max(v) filter (axis = 0) as x, coalesce(10.0::double * max(v) filter (axis = 1), 0) as y,
+    coalesce(10.0::double * max(v) filter (axis = 2), 0) as z from cl group by 1, 2, 3),
+  s as (select vec_id, kind, count(*)::double as n, sum(a.x) as px, sum(a.y) as py, sum(a.z) as pz, sum(c.x) as qx, sum(c.y) as qy, sum(c.z) as qz,
+    sum(a.x * c.x) as xx, sum(a.x * c.y) as xy, sum(a.x * c.z) as xz, sum(a.y * c.x) as yx, sum(a.y * c.y) as yy, sum(a.y * c.z) as yz,
+    sum(a.z * c.x) as zx, sum(a.z * c.y) as zy, sum(a.z * c.z) as zz, sum(a.x * a.x + a.y * a.y + a.z * a.z + c.x * c.x + c.y * c.y + c.z * c.z) as e
+    from atm a join cf c on a.label = c.label and a.k = c.k group by 1, 2),
+  h as (select vec_id, kind, n, e - (px * px + py * py + pz * pz + qx * qx + qy * qy + qz * qz) / n as e, xx - px * qx / n as xx, xy - px * qy / n as xy, xz - px * qz / n as xz,
+    yx - py * qx / n as yx, yy - py * qy / n as yy, yz - py * qz / n as yz, zx - pz * qx / n as zx, zy - pz * qy / n as zy, zz - pz * qz / n as zz from s),
+  m as (select *, xx * xx + yx * yx + zx * zx as a, xy * xy + yy * yy + zy * zy as b, xz * xz + yz * yz + zz * zz as c, xx * xy + yx * yy + zx * zy as d,
+    xx * xz + yx * yz + zx * zz as f, xy * xz + yy * yz + zy * zz as g, xx * (yy * zz - yz * zy) - xy * (yx * zz - yz * zx) + xz * (yx * zy - yy * zx) as det from h),
+  t as (select *, (a + b + c) / 3 as t from m),
+  w as (select *, sqrt(((a - t) ** 2 + (b - t) ** 2 + (c - t) ** 2 + 2 * (d * d + f * f + g * g)) / 6) as w from t),
+  r as (select *, case when w > 0 then acos(greatest(-1, least(1, ((a - t) / w * ((b - t) / w * (c - t) / w - g / w * g / w) - d / w * (d / w * (c - t) / w - g / w * f / w)
+    + f / w * (d / w * g / w - (b - t) / w * f / w)) / 2))) / 3 else 0 end as phi from w),
+  l as (select *, t + 2 * w * cos(phi) as l1, t + 2 * w * cos(phi + 2.0943951023931953) as l3 from r),
+  o as (select vec_id, sqrt(greatest(e - 2 * (sqrt(greatest(l1, 0)) + sqrt(greatest(3 * t - l1 - l3, 0)) + case when det < 0 then -1 else 1 end * sqrt(greatest(l3, 0))), 0) / n) as d from l)
+  select vec_id, round(min(d), 6) as min_rmsd, min(d) <= 2.0 as pass_deviation from o group by 1"""
+
+
+@query("q_rmsd", f"with {RMSD_SQL}")
 def q_rmsd(t: Tables) -> DataFrame:
     """Deviation from three conformers per label: mean, smallest and largest coordinates."""
     conformers = reduce(DataFrame.union, [label_vectors(t, f) for f in (F.avg, F.min, F.max)])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,43 +30,45 @@ def shuffle_parts(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a small input out over the cores before CPU-heavy row work.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share.
 
-    Only acts when the table has fewer files than the cluster has cores, which would leave cores
-    idle; large inputs come with more files than cores and are passed through without a shuffle.
+    A local session without that setting (tests) gets a folder of its own; a cluster without it is refused.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
-SMALL_ROWS = 10_000
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for tables that several branches of a plan read.
 
+    It is computed once, on a cluster as in a local session, and a lost executor takes nothing with it. Tables lie
+    below ``<shared>/<application id>``; ``drop_written`` removes them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def small_or_same(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A helper table marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
 
-    The rows are counted, not guessed: below the limit they are held as literals of the plan and the big
-    side of the join stays where it is; a table over the limit is joined by shuffle as usual.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+def drop_written(spark: SparkSession) -> None:
+    """Remove this application's tables from the shared folder; results that still read them must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+SMALL_ROWS = 10_000
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a table that several branches of a plan read, so that it is computed once.
+def small_or_same(df: DataFrame, name: str = "helper", max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A helper table, written once and then counted; marked for broadcast if it has at most ``max_rows`` rows.
 
-    Goes to the shared folder the cluster names in spark.checkpoint.dir.  A local session without one
-    gets a folder of its own; a cluster without one keeps the plan as it is.
+    Larger ones are joined by shuffle as usual, from the same table.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            return df
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    table = written(df, name)
+    return F.broadcast(table) if table.count() <= max_rows else table
