@@ -20,7 +20,7 @@ from winnow.llm.storage import written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # Both levels' closest duels must be near a draw to fall below this.
-LEAST_LANGUAGE_SCORE = 0.3
+LEAST_LANGUAGE_SCORE = 0.27
 # Near-duplicates: shingles of five words, similarity of at least 0.8.
 NEAR = {"k": 5, "num": 4, "den": 5}
 # Nine tenths of the tokens; one pass, so that no document comes back after dedup.
