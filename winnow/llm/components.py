@@ -14,14 +14,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     the number of steps grows with the logarithm of the longest path. Links with a null end or to oneself are ignored.
     """
     u, v = F.col(a), F.col(b)
-    edges = links.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
-    edges = written(edges, "edges")
+    edges = written(links.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "edges")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")

@@ -2,12 +2,13 @@
 
 The shingles of a set are hashed into groups; the numbers per group are the set's point. Two sets that link differ in
 at most D shingles, so their points are at most D apart, and with more than D groups at least one group is the same in
-both. That gives the distributed part: sets meet in blocks that agree in one whole group. Inside a block an R-tree over
-the points bounds the overlap of two boxes by the sum of coordinate minima of their upper corners; pairs that it
-leaves are held against the groups' checksums, and what survives is verified on the shingles themselves.
+both. That gives the distributed part: sets that agree in one whole group come into one block. Groups of several
+shingles hardly agree by chance; whatever they connect is one block, in which a set stands once however many groups it
+shares. Smaller groups make a block each, for pairs that are in no block together yet.
 
-Components need no more than a spanning forest. A block returns a forest of its surviving pairs; these are verified, and
-blocks whose members are still apart are looked at again without the pairs that failed, until nothing is left.
+Inside a block an R-tree over the points bounds the overlap of two boxes by the sum of coordinate minima of their upper
+corners; pairs that it leaves are held against the groups' checksums, and what survives is verified on the shingles
+themselves. Components need no more than a spanning forest, so pairs that are connected already are skipped.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ CHUNK = 1024  # members of a block that one task compares
 LEAF = 32
 WIDENING = 1.8  # ratio of the sizes that share a number of groups
 FILTER_BITS = 1 << 23
+CHUNK_SHINGLES = 2_000_000
 BAND_BITS = 5
+STRONG = 4  # shingles of a group that sets do not share by chance
 
-DOC, SIGNED, POINT, LIVE = 0, 1, 2, 3
+DOC, SIGNED, POINT, LIVE, EDGE = 0, 1, 2, 3, 4
 _SPLIT = np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -124,6 +127,20 @@ def _rows(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
+def is_strong(sig: np.ndarray) -> np.ndarray:
+    return sig >> BAND_BITS & 1 == 1
+
+
+def _packed(chosen: np.ndarray, x: np.ndarray, y: np.ndarray, kind: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs (x, y) as rows of bounded size, for any bucket."""
+    if not chosen.any():
+        return
+    pairs = np.unique(np.stack([x[chosen], y[chosen]], axis=1), axis=0)
+    for start in range(0, len(pairs), 100_000):
+        own = pairs[start : start + 100_000]
+        yield _rows(_ROW, 1, bucket=[abs(int(own[0, 1])) % buckets], kind=[kind], x=[own[:, 0].tobytes()], y=[own[:, 1].tobytes()])
+
+
 def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Texts -> a row per document, a row per set and band (its point), and packed signatures by bucket."""
 
@@ -134,21 +151,19 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         order = np.argsort(sig, kind="stable")
         sig, node = sig[order], node[order]
         first = np.append(True, sig[1:] != sig[:-1])
+        leader = node[first][np.cumsum(first) - 1]
         shared = ~first | np.append(~first[1:], False)
-        # of a signature that several sets here have, one entry goes to the bucket, marked; the others are known to live
-        rest = ~first
-        if rest.any():
-            at = np.arange(0, rest.sum(), 100_000)
-            for start in at.tolist():
-                s, o = sig[rest][start : start + 100_000], node[rest][start : start + 100_000]
-                yield _rows(_ROW, 1, bucket=[int(abs(int(o[0])) % buckets)], kind=[LIVE], x=[s.tobytes()], y=[o.tobytes()])
+        # of a signature that several sets here have, one entry goes to the bucket, marked; what the others need is known
+        yield from _packed(~first & is_strong(sig), leader, node, EDGE, buckets)
+        yield from _packed(~first & ~is_strong(sig), sig, node, LIVE, buckets)
         sig, node, shared = sig[first], node[first], shared[first]
-        bucket = (sig >> 32).astype(np.int64)
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        low = (sig & 0xFFFFFFFF).astype(np.uint32)
+        bucket = (sig.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        sig, node, shared = sig[order], node[order], shared[order]
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             own = slice(cuts[b], cuts[b + 1])
-            yield _rows(_ROW, 1, bucket=[b], kind=[SIGNED], x=[low[own].tobytes()], y=[node[own].tobytes()], z=[shared[own].tobytes()])
+            yield _rows(_ROW, 1, bucket=[b], kind=[SIGNED], x=[sig[own].tobytes()], y=[node[own].tobytes()], z=[shared[own].tobytes()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures, nodes, held, seen = [], [], 0, set()
@@ -174,8 +189,8 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 empty = counts == 0
                 used = ~empty | (empty.sum(axis=1) > spare)[:, None]
                 full = mix(sums + mix(np.arange(groups, dtype=np.uint64) + np.uint64(band << 40)))
-                bucket = (full >> np.uint64(33)) % np.uint64(buckets)
-                sig = (bucket << np.uint64(32) | (full & np.uint64((1 << 32 - BAND_BITS) - 1)) << np.uint64(BAND_BITS) | np.uint64(band)).view(np.int64)
+                strong = (counts >= STRONG).astype(np.uint64) << np.uint64(BAND_BITS)
+                sig = (full >> np.uint64(BAND_BITS + 1) << np.uint64(BAND_BITS + 1) | strong | np.uint64(band)).view(np.int64)
                 signatures.append(sig[used])
                 nodes.append(np.repeat(key[rows], used.sum(axis=1)))
                 held += len(signatures[-1])
@@ -192,7 +207,8 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """One bucket: documents and points pass; of the signatures, those that two sets have stay."""
+    """One bucket: documents and points pass. Sets that share a strong signature are linked to one of them by an edge;
+    of the other signatures those stay that two sets have."""
     kind = table["kind"].to_numpy()
     out = []
     for k in (DOC, POINT):
@@ -202,21 +218,25 @@ def _meet(table: pa.Table) -> pa.Table:
     def packed(k: int, column: str, dtype) -> np.ndarray:
         return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x, dtype) for x in table[column].filter(pa.array(kind == k)).to_pylist())])
 
-    signed = table.filter(pa.array(kind == SIGNED))
-    sig = packed(SIGNED, "x", np.uint32).astype(np.int64)
-    if len(sig):
-        sig |= int(signed["bucket"][0].as_py()) << 32
-    node, marked = packed(SIGNED, "y", np.int64), packed(SIGNED, "z", bool)
+    sig, node, marked = packed(SIGNED, "x", np.int64), packed(SIGNED, "y", np.int64), packed(SIGNED, "z", bool)
     order = np.lexsort((node, sig))
     sig, node, marked = sig[order], node[order], marked[order]
+    edges = [(packed(EDGE, "x", np.int64), packed(EDGE, "y", np.int64))]
+    live = [(packed(LIVE, "x", np.int64), packed(LIVE, "y", np.int64))]
     if len(sig):
         start = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        size = np.diff(np.append(start, len(sig)))
         fresh = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))
-        live = (np.add.reduceat(fresh.astype(np.int64), start) > 1) | np.logical_or.reduceat(marked, start)
-        keep = fresh & np.repeat(live, np.diff(np.append(start, len(sig))))
-        sig, node = sig[keep], node[keep]
-    for s, n in ((sig, node), (packed(LIVE, "x", np.int64), packed(LIVE, "y", np.int64))):
-        out.append(pa.Table.from_batches([_rows(_OUT, len(s), kind=np.full(len(s), LIVE), sig=s, node=n)]))
+        several = (np.add.reduceat(fresh.astype(np.int64), start) > 1) | np.logical_or.reduceat(marked, start)
+        weak = fresh & np.repeat(several, size) & ~is_strong(sig)
+        live.append((sig[weak], node[weak]))
+        leader = np.repeat(node[start], size)
+        linked = is_strong(sig) & (node != leader)
+        edges.append(tuple(np.unique(np.stack([leader[linked], node[linked]], axis=1), axis=0).T))
+    for k, pairs in ((LIVE, live), (EDGE, edges)):
+        for x, y in pairs:
+            x, y = np.ascontiguousarray(x), np.ascontiguousarray(y)
+            out.append(pa.Table.from_batches([_rows(_OUT, len(x), kind=np.full(len(x), k), sig=x, node=y)]))
     return pa.concat_tables(out)
 
 
@@ -259,13 +279,15 @@ class Block:
     n: np.ndarray
     counts: np.ndarray
     sums: np.ndarray
-    label: np.ndarray
+    label: np.ndarray  # pairs of one label are connected already
+    seen: np.ndarray  # pairs of one number have been compared already; -1: none
 
     def survivors(self, rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs of rows that may link, by the points and then the checksums, and a lower bound of their difference."""
         most = self.rule.most_apart(self.n[rows][:, None], self.n[others][None, :])
         off = np.abs(self.counts[rows][:, None, :] - self.counts[others][None, :, :])
-        i, j = np.nonzero((off.sum(axis=2, dtype=np.int64) <= most) & (self.label[rows][:, None] != self.label[others][None, :]))
+        new = (self.label[rows][:, None] != self.label[others][None, :]) & ((self.seen[rows][:, None] != self.seen[others][None, :]) | (self.seen[rows] < 0)[:, None])
+        i, j = np.nonzero((off.sum(axis=2, dtype=np.int64) <= most) & new)
         if not len(i):
             return i, j, i
         off = off[i, j]
@@ -319,75 +341,154 @@ class Block:
             else:
                 yield self.survivors(rows, others)
 
-    def forest(self, failed: list[list[int]]) -> list[tuple[int, int]]:
-        """A forest of surviving pairs that joins all labels which pairs other than the failed ones can join, best pairs first."""
+    def forest(self, links: Callable[[int, int], bool] | None = None, failed: set[tuple[int, int]] = frozenset()) -> list[tuple[int, int]]:
+        """A forest over the surviving pairs, best ones first. With ``links`` every pair of it is verified, and the
+        forest joins what any verified pair can join; without, it is to be verified later, and the pairs that failed
+        before are left out."""
         found = list(self.pairs())
         i, j, apart = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 3
-        if not len(i):
-            return []
-        if any(failed):
-            out = {(int(node), other) for node, others in zip(self.node, failed, strict=True) for other in others or ()}
-            good = np.array([(int(a), int(b)) not in out and (int(b), int(a)) not in out for a, b in zip(self.node[i], self.node[j], strict=True)], dtype=bool)
-            i, j, apart = i[good], j[good], apart[good]
         order = np.argsort(apart * 1000 // np.maximum(self.n[i] + self.n[j], 1), kind="stable")
         i, j = i[order], j[order]
         forest, edges = Forest(self.label), []
         while len(i) and forest.trees > 1:
             for a, b in zip(i[:4096].tolist(), j[:4096].tolist(), strict=True):
-                if forest.join(a, b):
-                    edges.append((int(self.node[a]), int(self.node[b])))
+                if forest.root(a) == forest.root(b):
+                    continue
+                pair = (int(self.node[a]), int(self.node[b]))
+                if links(a, b) if links else pair not in failed and pair[::-1] not in failed:
+                    forest.join(a, b)
+                    edges.append(pair)
+            i, j = i[4096:], j[4096:]
             root = forest.roots()
-            apart_still = root[i] != root[j]
-            i, j = i[apart_still], j[apart_still]
+            open_still = root[i] != root[j]
+            i, j = i[open_still], j[open_still]
         return edges
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Members sorted by (sig, cell) -> the forest of each block."""
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        rest: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+def _blocks(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[list[pa.RecordBatch]]:
+    """Rows sorted by ``by``, in pieces that do not cut between rows of one block."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch[c].to_numpy() for c in by]
+        change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        if rest and any(rest[-1][c][-1].as_py() != k[0] for c, k in zip(by, keys, strict=True)):
+            yield rest
+            rest = []
+        if len(change):
+            yield [*rest, batch.slice(0, int(change[-1]))]
+            rest = [batch.slice(int(change[-1]))]
+        else:
             rest.append(batch)
-            sig, cell = batch["sig"].to_numpy(), batch["cell"].to_numpy()
-            change = np.flatnonzero((sig[1:] != sig[:-1]) | (cell[1:] != cell[:-1])) + 1
-            head = rest[0]
-            if len(rest) > 1 and (head["sig"][0], head["cell"][0]) != (batch["sig"][0], batch["cell"][0]):
-                yield pa.Table.from_batches(rest[:-1])
-                rest = [batch]
-            if len(change):
-                yield pa.Table.from_batches([*rest[:-1], batch.slice(0, int(change[-1]))])
-                rest = [batch.slice(int(change[-1]))]
-        if rest:
-            yield pa.Table.from_batches(rest)
+    if rest:
+        yield rest
+
+
+def _cuts(table: pa.Table, by: tuple[str, ...]) -> list[tuple[int, int]]:
+    keys = [table[c].to_numpy() for c in by]
+    change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+    cuts = [0, *change.tolist(), len(table)]
+    return list(zip(cuts, cuts[1:], strict=False))
+
+
+def _edges(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=_PAIR)
+
+
+def _link(rule: Rule, by: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of (node, label, items) -> verified links that connect what links inside each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in blocks(batches):
-            sig, cell, node = (table[c].to_numpy() for c in ("sig", "cell", "node"))
-            n, label = table["n"].to_numpy(), table["label"].to_numpy()
+        for pieces in _blocks(batches, by):
+            table = pa.Table.from_batches(pieces)
+            found: list[tuple[int, int]] = []
+            for a, b in _cuts(table, by):
+                node, first = np.unique(table["node"].slice(a, b - a).to_numpy(), return_index=True)
+                label = table["label"].slice(a, b - a).to_numpy()[first]
+                if len(node) < 2 or (label == label[0]).all():
+                    continue
+                items = table["items"].slice(a, b - a).take(pa.array(first)).to_pylist()
+                sets = [np.frombuffer(x, dtype=np.uint64) for x in items]
+                n = np.array([len(x) for x in sets], dtype=np.int64)
+                # any number of groups will do here; few shingles a group keep the bounds sharp
+                groups = max(4, int(np.median(n)) // 5)
+                counts, sums = grouped(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), np.arange(len(n)), groups)
+                block = Block(rule, node, n, np.minimum(counts, 255).astype(np.int16), (sums >> np.uint64(48)).astype(np.uint16), label, np.full(len(n), -1))
+
+                def links(i: int, j: int, sets=sets) -> bool:
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    return rule.den * common >= rule.num * (len(sets[i]) + len(sets[j]) - common)
+
+                found += block.forest(links)
+            yield from _edges(found)
+
+    return run
+
+
+def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of points -> a forest of each block, to be verified."""
+    by = ("sig", "cell")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pieces in _blocks(batches, by):
+            table = pa.Table.from_batches(pieces)
+            node, n, label, seen = (table[c].to_numpy() for c in ("node", "n", "label", "seen"))
             counts, sums, failed = (table[c].to_pylist() for c in ("counts", "sums", "failed"))
-            cuts = [0, *(np.flatnonzero((sig[1:] != sig[:-1]) | (cell[1:] != cell[:-1])) + 1).tolist(), len(sig)]
-            edges: list[tuple[int, int]] = []
-            for a, b in zip(cuts, cuts[1:], strict=False):
+            found: list[tuple[int, int]] = []
+            for a, b in _cuts(table, by):
                 if b - a < 2 or (label[a:b] == label[a]).all():
                     continue
                 point = np.frombuffer(b"".join(counts[a:b]), dtype=np.uint8).reshape(b - a, -1).astype(np.int16)
                 check = np.frombuffer(b"".join(sums[a:b]), dtype=np.uint16).reshape(b - a, -1)
-                edges += Block(rule, node[a:b], n[a:b], point, check, label[a:b]).forest(failed[a:b])
-            if edges:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], schema=_PAIR)
+                out = {(int(x), other) for x, others in zip(node[a:b], failed[a:b], strict=True) for other in others or ()}
+                found += Block(rule, node[a:b], n[a:b], point, check, label[a:b], seen[a:b]).forest(None, out)
+            yield from _edges(found)
 
     return run
 
 
+def _pair_cells(own: Column, chunks: Column) -> Column:
+    """Cells in which the members of a chunk meet those of every chunk."""
+    return F.transform(F.sequence(F.lit(0), chunks - 1), lambda other: F.least(own, other) * chunks + F.greatest(own, other))
+
+
+def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
+    """Verified links inside the blocks of strong signatures (node, label: the block).
+
+    A large block is cut into chunks of bounded size, each with the block's first member, and what is still apart then
+    meets chunk by chunk.
+    """
+    size = supers.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    sized = supers.join(size.select("label", chunks.alias("chunks")), "label")
+    sized = sized.select("node", F.col("label").alias("super"), "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("own"))
+    sized = written(sized, "supers")
+    sets = _sets(docs, _node_filter(sized.select("node")), rule.k)
+
+    def compared(rows: DataFrame, cells: Column) -> DataFrame:
+        rows = rows.select("node", "super", "label", F.explode(cells).alias("cell"))
+        by = ("super", "cell")
+        rows = sets.join(rows, "node").select(*by, "node", "label", "items").repartition(*by).sortWithinPartitions(*by)
+        return written(rows.mapInArrow(_link(rule, by), "a long, b long"), "links")
+
+    first = F.when(F.col("node") == F.col("super"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))
+    links = compared(sized.withColumn("label", F.col("node")), first)
+    large = sized.where("chunks > 1")
+    if large.isEmpty():
+        return links
+    large = large.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = large.groupBy("super").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("super")
+    return links.unionByName(compared(large.join(apart, "super"), _pair_cells(F.col("own"), F.col("chunks"))))
+
+
 def _forests(members: DataFrame, points: DataFrame, labels: DataFrame | None, failed: DataFrame | None, rule: Rule) -> DataFrame:
-    """Pairs (a < b) to verify. First each large block is cut into chunks that share its first member; later, members
-    that are still apart meet chunk by chunk."""
+    """Pairs (a < b) to verify from the blocks of weak signatures. First each large block is cut into chunks that share
+    its first member; later, members that are still apart meet chunk by chunk."""
     chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK)).cast("int")
     own = F.pmod(F.xxhash64("node", "sig"), chunks).cast("int")
     if labels is None:
@@ -400,19 +501,17 @@ def _forests(members: DataFrame, points: DataFrame, labels: DataFrame | None, fa
         again = members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("s"), F.count_if(F.col("failed").isNotNull()).alias("f"))
         again = again.where((F.col("x") != F.col("y")) & ((F.col("s") > CHUNK) | (F.col("f") > 1))).select("sig")
         members = members.join(again, "sig")
-        with_chunk = F.transform(F.sequence(F.lit(0), chunks - 1), lambda other: F.least(own, other) * chunks + F.greatest(own, other))
-        cells = with_chunk
+        cells = _pair_cells(own, chunks)
     rows = members.withColumn("cell", F.explode(cells)).join(points, ["node", "band"])
-    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "failed", "counts", "sums")
+    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "failed", "counts", "sums")
     rows = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node")
     pairs = rows.mapInArrow(_compare(rule), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _node_filter(pairs: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size in which every node of the pairs is marked; other nodes may be, too."""
+def _node_filter(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which every node is marked; other nodes may be, too."""
     bit = F.pmod(F.col("node"), F.lit(FILTER_BITS))
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     found = nodes.groupBy((bit / 64).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {FILTER_BITS}) % 64 as int))")).alias("bits"))
     table = found.toArrow()  # at most FILTER_BITS / 64 rows
     out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
@@ -421,7 +520,7 @@ def _node_filter(pairs: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, marked: np.ndarray, k: int) -> DataFrame:
-    """node, items (its sorted shingle hashes) of the marked nodes."""
+    """node, items (its sorted shingle hashes) of the marked nodes; a node may come more than once, always the same."""
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,7 +535,7 @@ def _sets(docs: DataFrame, marked: np.ndarray, k: int) -> DataFrame:
             seen.update(first)
             yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.int64()), pa.array([hashes[bounds[r] : bounds[r + 1]].tobytes() for r in first.values()], pa.binary())], schema=schema)
 
-    return docs.select("id", "text").mapInArrow(run, "node long, items binary").dropDuplicates(["node"])
+    return docs.select("id", "text").mapInArrow(run, "node long, items binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -466,13 +565,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return rows.select("a", "node", "side", "items").mapInArrow(run, "a long, b long, links boolean")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends have different labels."""
-    ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab"]
-    joined = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
-    return joined.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-
-
 def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id, the least id that links reach from it.
 
@@ -488,39 +580,42 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     met = docs.mapInArrow(_sign(rule, buckets), _ROW_DDL).groupBy("bucket").applyInArrow(_meet, _OUT_DDL)
     met = written(met, "signatures", by="kind")
     own = met.where(F.col("kind") == DOC).select("id", "node", "n")
-    points = met.where(F.col("kind") == POINT).select("node", "band", "n", "counts", "sums").dropDuplicates(["node", "band"])
-    live = met.where(F.col("kind") == LIVE).select("sig", "node")
-
-    # signatures that the same sets share are one block
-    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), *(F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(1 << 31))).alias(f"mark{i}") for i in (0, 1)))
-    blocks = blocks.where(F.col("size") > 1).withColumn("band", (F.col("sig") % (1 << BAND_BITS)).cast("int"))
+    docs = docs.where(F.col("id").isNotNull())
+
+    edges = met.where(F.col("kind") == EDGE).select(F.col("sig").alias("a"), F.col("node").alias("b"))
+    supers = components(edges)
+    sizes = own.select("node", "n").distinct()
+    supers = written(supers.join(sizes, "node"), "supers")
+    links = _super_links(docs, supers, rule)
+
+    # weak signatures: blocks with members that no strong one has brought together; those of the same sets are one block
+    live = met.where(F.col("kind") == LIVE).select("sig", "node").distinct()
+    live = live.join(supers.select("node", F.col("label").alias("super")), "node", "left").withColumn("seen", F.coalesce("super", "node"))
+    mark = (F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(1 << 31))).alias(f"mark{i}") for i in (0, 1))
+    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), *mark, F.min("seen").alias("x"), F.max("seen").alias("y"))
+    blocks = blocks.where("x <> y").withColumn("band", F.expr(f"cast(sig & {(1 << BAND_BITS) - 1} as int)"))
     blocks = blocks.groupBy("size", "low", "mark0", "mark1", "band").agg(F.min("sig").alias("sig"))
-    members = written(live.join(blocks.select("sig", "size", "low", "band"), "sig"), "members")
+    members = written(live.drop("super").join(blocks.select("sig", "size", "low", "band"), "sig"), "members")
+    points = met.where(F.col("kind") == POINT).select("node", "band", "n", "counts", "sums")
+    points = points.join(members.select("node", "band").distinct(), ["node", "band"], "left_semi").dropDuplicates(["node", "band"])
 
-    sets = labels = failed = links = None
+    labels = failed = checked = None
     while True:
         pairs = written(_forests(members, points, labels, failed, rule), "pairs")
         if pairs.isEmpty():
             break
-        if sets is None:
-            sets = written(_sets(docs.where(F.col("id").isNotNull()), _node_filter(pairs), k), "sets")
-        # first one partner per node, then whatever is still apart
-        first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        checked = written(_verified(first, sets, rule), "checked")
-        links = checked if links is None else links.unionByName(checked)
-        labels = components(links.where("links"))
-        rest = _apart(pairs.join(first, ["a", "b"], "left_anti"), labels)
-        checked = written(_verified(rest, sets, rule), "checked")
-        if not checked.isEmpty():
-            links = links.unionByName(checked)
-            labels = components(links.where("links"))
-        failed = links.where("not links").select("a", "b")
-        labels = written(labels, "labels")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        sets = _sets(docs, _node_filter(ends), k).dropDuplicates(["node"])
+        now = written(_verified(pairs, sets, rule), "checked")
+        checked = now if checked is None else checked.unionByName(now)
+        failed = checked.where("not links").select("a", "b")
+        links = links.unionByName(now.where("links").select("a", "b"))
+        if failed.isEmpty() and members.where(F.col("size") > CHUNK).isEmpty():
+            break
+        labels = written(components(links), "labels")
+    labels = components(links)
 
-    if labels is None:
-        own = own.withColumn("label", F.col("node"))
-    else:
-        own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     linked = F.col("n") > 0
     least = own.where(linked & F.col("id").isNotNull()).groupBy("label").agg(F.min("id").alias("least"))
     joined = own.join(least, "label", "left")
