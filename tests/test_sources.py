@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+import pytest
+
 from winnow.functions.text import atom_ratios, largest_fragment, parse_list, prepare_text, solubility, token_profile
 from winnow.operators.flags import range_flags
 from winnow.sources import files, records, results
@@ -50,10 +52,18 @@ def test_candidate_files(spark, rows, tmp_path):
     (tmp_path / "plain.txt").write_text("CCO\nCCN\n")
     one = files.read_candidates(spark, str(tmp_path / "gen_a.v1.csv"))
     assert rows(one, "smiles", "model_name", "extra") == [("CCN", "gen_a", "2"), ("CCO", "gen_a", "1")]
-    both = files.read_candidates(spark, [str(tmp_path / "gen_a.v1.csv"), str(tmp_path / "gen_b.csv")], mixed_headers=True)
+    both = files.read_candidates(spark, [str(tmp_path / "gen_a.v1.csv"), str(tmp_path / "gen_b.csv")])
     assert rows(both, "smiles", "model_name", "extra") == [
         ("CCC", "other", None), ("CCN", "gen_a", "2"), ("CCO", "gen_a", "1"),
     ]
+    (tmp_path / "set").mkdir()
+    (tmp_path / "set/a.csv").write_text("smiles,model_name,score\nCCO,m,1\n")
+    (tmp_path / "set/b.csv").write_text("score,smiles,model_name\n2,CCN,n\n")
+    (tmp_path / "set/c.csv").write_text("score,smiles,model_name\nbad,CCC,n\n")
+    glob = files.read_candidates(spark, str(tmp_path / "set/*.csv"), schema="score double")
+    assert rows(glob, "smiles", "model_name", "score") == [("CCC", "n", None), ("CCN", "n", 2.0), ("CCO", "m", 1.0)]
+    with pytest.raises(ValueError, match="no column smiles"):
+        files.read_candidates(spark, str(tmp_path / "plain.txt"))
     plain = files.read_candidates(spark, str(tmp_path / "plain.txt"), headerless=True)
     assert rows(plain, "smiles", "model_name") == [("CCN", "plain"), ("CCO", "plain")]
     assert files.count_records(spark, str(tmp_path / "gen_a.v1.csv"), "csv") == 2
@@ -68,8 +78,8 @@ RECORD = """{name}
      tool          3D
 
   2  1  0  0  0  0  0  0  0  0999 V2000
-    7.5367   13.6964   -8.5155 C   0  0  0
-    7.5010   12.3430   -9.2028 Cl  0  0  0
+    1.2500   -2.5000    3.7500 C   0  0  0
+   -0.5000   10.1250   -9.0000 Cl  0  0  0
   1  2  1  0
 M  END
 {props}$$$$
@@ -83,23 +93,29 @@ def test_pose_records(spark, rows, tmp_path):
     path = tmp_path / "poses.sdf"
     path.write_text(text)
     recs = records.read_records(spark, str(path))
+    recs_before = recs.collect()
     first = recs.filter("name = 'mol-1'").first()
     assert recs.count() == 3 and first.props["s_model_name"] == "m x" and first.file == "poses"
-    assert [(a.element, a.x, a.z) for a in first.atoms] == [("C", 7.5367, -8.5155), ("Cl", 7.501, -9.2028)]
+    assert [(a.element, a.x, a.z) for a in first.atoms] == [("C", 1.25, 3.75), ("Cl", -0.5, -9.0)]
     scored = records.scored_records(recs, ["minimizedAffinity", "CNNscore"])
     assert rows(scored, "name", "affinity") == [("mol-1", -8.4), ("mol-2", 0.5)]
     assert files.count_records(spark, str(path), "sdf") == 3
+    path.write_bytes(text.replace("\n", "\r\n").encode())
+    same = records.read_records(spark, str(path))
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, recs_before))
+    path.write_text(RECORD.format(name="n", props="> <remark>\nline one\nline two\n\n> <b>\n1\n\n"))
+    assert records.read_records(spark, str(path)).first().props == {"remark": "line one\nline two", "b": "1"}
 
 
 def test_site_atoms(spark, tmp_path):
     (tmp_path / "site.pdb").write_text(
         "HEADER    X\n"
-        "ATOM      1  N   MET A   1      33.189  12.242 -21.663  1.00  0.00           N  \n"
-        "HETATM    2 CL   LIG A   2      32.658  12.517 -20.333  1.00  0.00          CL  \n"
-        "ATOM      3  CA  MET A   1      xx.xxx  12.517 -20.333  1.00  0.00           C  \n"
+        "ATOM      1  N   MET A   1      11.111  22.222 -33.333  1.00  0.00           N  \n"
+        "HETATM    2 CL   LIG A   2      10.001  20.002 -30.003  1.00  0.00          CL  \n"
+        "ATOM      3  CA  MET A   1      xx.xxx  20.002 -30.003  1.00  0.00           C  \n"
     )
     atoms = records.read_sites(spark, str(tmp_path / "site.pdb")).orderBy("x").collect()
-    assert [(a.site_id, a.element, a.x) for a in atoms] == [("site", "Cl", 32.658), ("site", "N", 33.189)]
+    assert [(a.site_id, a.element, a.x) for a in atoms] == [("site", "Cl", 10.001), ("site", "N", 11.111)]
 
 
 def test_results_and_logs(spark, rows, tmp_path):

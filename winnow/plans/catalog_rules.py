@@ -67,15 +67,16 @@ def q_rules_masks(t: Tables) -> DataFrame:
 
 @query(
     "q_rules_invalid",
-    """select doc_id, n_chars > 200 and contains(text, 'License') or n_chars <= 200 as fails,
-       case when n_chars <= 200 then 'invalid_molecule' when contains(text, 'License') then 'license line' else '' end as reasons
-       from documents""",
+    WITH
+    + " select m.doc_id, "
+    + ", ".join(f"n_chars > 200 and pass_{s} as pass_{s}, case when n_chars > 200 then reasons_{s} else 'invalid_molecule' end as reasons_{s}" for s in SETS)
+    + " from m join documents d on m.doc_id = d.doc_id",
 )
 def q_rules_invalid(t: Tables) -> DataFrame:
     """Unreadable candidates (here: short texts made NULL) fail every rule set."""
     rows = t.documents.withColumn("text", F.when(F.col("n_chars") > 200, F.col("text")))
-    out = rule_masks(match_rules(rows, "text", [r for r in RULES if r.literal]), ["secret"])
-    return out.select("doc_id", (~F.col("pass")).alias("fails"), F.col("reasons_secret").alias("reasons"))
+    out = rule_masks(match_rules(rows, "text", RULES), SETS)
+    return out.select("doc_id", *[f"{k}_{s}" for k in ("pass", "reasons") for s in SETS])
 
 
 @query(
@@ -318,13 +319,13 @@ def q_top3_reasons(t: Tables) -> DataFrame:
     + ", ".join(
         f"max(reason) filter (rn = {i}) as top_reason_{i}, max(count) filter (rn = {i}) as top_reason_{i}_count, "
         f"round(100.0 * max(count) filter (rn = {i}) / f.failures, 6) as top_reason_{i}_percentage"
-        for i in (1, 2)
+        for i in range(1, 6)
     )
     + " from f left join r on f.rule_set = r.rule_set group by f.rule_set, f.failures, f.total, f.percentage",
 )
 def q_rule_summary(t: Tables) -> DataFrame:
     rows = masked(t)
-    out = masks.rule_summary(masks.reason_counts(rows, SETS), masks.failure_counts(rows, SETS), top=2)
+    out = masks.rule_summary(masks.reason_counts(rows, SETS), masks.failure_counts(rows, SETS))
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c.endswith("percentage")})
 
 

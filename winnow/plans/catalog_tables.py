@@ -13,6 +13,7 @@ from winnow.operators import combine, flags, identity, prep
 from winnow.plans import report
 from winnow.plans.cascade import Cascade, Stage, snapshot
 from winnow.plans.registry import Tables, query
+from winnow.sources import records
 from winnow.sources.stages import latest_stage
 
 PART_BOUNDS = {"p_size": (5, 40), "p_retailprice": (905, None)}
@@ -164,8 +165,51 @@ def q_ordered_cols(t: Tables) -> DataFrame:
     "select count(distinct p_brand) > 1 as many_groups, count(distinct p_brand) as n_groups from part",
 )
 def q_group_detect(t: Tables) -> DataFrame:
-    n = F.countDistinct("p_brand")
-    return t.part.agg((n > 1).alias("many_groups"), n.alias("n_groups"))
+    many = identity.has_many_groups(t.part, "p_brand")
+    return t.part.agg(F.lit(many).alias("many_groups"), F.countDistinct("p_brand").alias("n_groups"))
+
+
+RECORD_SQL = """r as (select vec_id, label, list_transform(range(0, 3), lambda k: [round(10.0::double * embedding[3 * k + 1]::double, 2),
+  round(10.0::double * embedding[3 * k + 2]::double, 2), round(10.0::double * embedding[3 * k + 3]::double, 2)]) as atoms from embeddings)"""
+
+
+def coordinate_lines(vector, template: str):
+    """Three lines of fixed-width coordinates with two decimals from the first numbers of a vector."""
+    def line(k):
+        xyz = [F.format_string("%8.2f", F.round(F.get(vector, k * 3 + j).cast("double") * 10.0, 2)) for j in range(3)]
+        return F.format_string(template, *xyz)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(2)), line)
+
+
+@query(
+    "q_records",
+    f"""with {RECORD_SQL} select 'vec ' || vec_id as name, label::double / 4 as affinity, 'first line' || chr(10) || 'label ' || label as note, len(atoms) as n_atoms,
+       round(atoms[1][1] + atoms[2][2] + atoms[3][3], 2) as trace from r""",
+)
+def q_records(t: Tables) -> DataFrame:
+    """Vectors written as pose records with CRLF line ends and a property of two lines, then read as the reader does."""
+    atoms = F.array_join(coordinate_lines(F.col("embedding"), "  %s  %s  %s C   0  0  0"), "\r\n")
+    head = F.concat(F.lit("\r\nvec "), "vec_id", F.lit("\r\n  made\r\n\r\n  3  0  0  0  0  0  0  0  0  0999 V2000\r\n"))
+    fields = F.concat(
+        F.lit("\r\nM  END\r\n> <affinity>\r\n"), (F.col("label").cast("double") / 4).cast("string"),
+        F.lit("\r\n\r\n> <note>\r\nfirst line\r\nlabel "), "label", F.lit("\r\n\r\n"),
+    )
+    parsed = records.record_columns(t.embeddings.select(F.concat(head, atoms, fields).alias("record")), "record")
+    trace = F.col("atoms")[0]["x"] + F.col("atoms")[1]["y"] + F.col("atoms")[2]["z"]
+    affinity = records.first_number(F.col("props"), ["score", "affinity"])
+    return parsed.select("name", affinity.alias("affinity"), F.col("props")["note"].alias("note"), F.size("atoms").cast("long").alias("n_atoms"), F.round(trace, 2).alias("trace"))
+
+
+@query(
+    "q_sites",
+    f"""with {RECORD_SQL} select vec_id, 'C' as element, unnest(list_transform(atoms, lambda a: round(a[1] + a[2] + a[3], 2))) as total from r""",
+)
+def q_sites(t: Tables) -> DataFrame:
+    """Vectors written as fixed-width atom lines, then read as the site reader does."""
+    lines = coordinate_lines(F.col("embedding"), "ATOM      1  CA  MET A   1    %s%s%s  1.00  0.00           C  ")
+    rows = t.embeddings.select("vec_id", F.explode(F.concat(lines, F.array(F.lit("HEADER    X"), F.lit("ATOM      2  CB  MET A   1      xx.xxx")))).alias("line"))
+    return records.site_columns(rows, "line").select("vec_id", "element", F.round(F.col("x") + F.col("y") + F.col("z"), 2).alias("total"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from winnow.functions.text import file_stem
 from winnow.operators.combine import union_all
@@ -14,13 +14,12 @@ from winnow.operators.identity import resolve_columns
 ALIASES = {"smiles": ("smiles",), "model_name": ("model_name", "name"), "mol_idx": ("mol_idx",)}
 
 
-def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Paths by first line.  Reads one line per file; only used when headers may differ."""
-    out: dict[str, list[str]] = {}
-    for p in paths:
-        head = spark.read.text(p).first()
-        out.setdefault(head[0] if head else "", []).append(p)
-    return out
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The files of the paths and globs, grouped by their first line; one job over the first block of each file."""
+    lines = spark.read.text(list(paths)).filter(F.col("_metadata.file_block_start") == 0)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    return [r[0] for r in heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").select("files").collect()]
 
 
 def read_candidates(
@@ -30,29 +29,30 @@ def read_candidates(
     headerless: bool = False,
     group: str = "model_name",
     text: str = "smiles",
-    mixed_headers: bool = False,
 ) -> DataFrame:
     """CSV files or globs as one table; without a group column the file's stem names the group.
 
-    Headerless files get the columns smiles, col_1, col_2, ...  Values are read as text unless a
-    schema is given, so that nothing has to be scanned twice to guess types.
+    Files are read by their own headers and joined by column name, whatever the order of their columns; columns that
+    a file lacks are NULL.  A file with a header but without the ``text`` column ends with an error that names it:
+    headerless files need ``headerless=True`` and get the columns smiles, col_1, col_2, ...  Values are read as text;
+    ``schema`` casts the columns it names.
     """
-    reader = spark.read.option("header", not headerless)
-    if schema:
-        reader = reader.schema(schema)
     many = [paths] if isinstance(paths, str) else list(paths)
-    sets = list(_by_header(spark, many).values()) if mixed_headers else [many]
     tables = []
-    for files in sets:
-        df = reader.csv(files).withColumn("__file", F.col("_metadata.file_path"))
+    for files in [many] if headerless else _by_header(spark, many):
+        df = spark.read.option("header", not headerless).csv(files).withColumn("__file", F.col("_metadata.file_path"))
         if headerless:
             names = [text, *[f"col_{i}" for i in range(1, len(df.columns) - 1)]]
             df = df.toDF(*names, "__file")
         df = resolve_columns(df, ALIASES)
+        if text not in df.columns:
+            raise ValueError(f"no column {text} in the header of {files[0]}; headerless files need headerless=True")
         if group not in df.columns:
             df = df.withColumn(group, file_stem(F.col("__file")))
         tables.append(df.drop("__file"))
-    return union_all(*tables)
+    out = union_all(*tables)
+    wanted = {f.name: f.dataType for f in T._parse_datatype_string(schema)} if schema else {}
+    return out.withColumns({c: F.col(c).try_cast(kind) for c, kind in wanted.items() if c in out.columns}) if wanted else out
 
 
 def count_records(spark: SparkSession, path: str, kind: str) -> int:

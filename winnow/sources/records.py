@@ -10,7 +10,8 @@ from winnow.functions.numbers import safe_double
 from winnow.functions.text import file_stem, property_key
 from winnow.operators.geometry import ATOMS
 
-FIELD = r"(?m)^> *[^<\n]*<([^>\n]+)>[^\n]*\n([^\n]*)"
+# a data field: its name and the lines up to the next blank line or field
+FIELD = r"(?m)^> *[^<\n]*<([^>\n]+)>[^\n]*\n((?:(?!> *[^<\n]*<)[^\n]+(?:\n|$))*)"
 
 
 def properties(record: Column) -> Column:
@@ -18,7 +19,7 @@ def properties(record: Column) -> Column:
     keys = F.transform(F.regexp_extract_all(record, F.lit(FIELD), 1), property_key)
     values = F.regexp_extract_all(record, F.lit(FIELD), 2)
     pairs = F.arrays_zip(keys.alias("key"), values.alias("value"))
-    entries = F.transform(pairs, lambda e, i: F.struct(e["key"].alias("key"), F.trim(e["value"]).alias("value"), i.alias("i")))
+    entries = F.transform(pairs, lambda e, i: F.struct(e["key"].alias("key"), F.btrim(e["value"], F.lit(" \t\n")).alias("value"), i.alias("i")))
     first = F.filter(entries, lambda e: F.array_position(keys, e["key"]) == e["i"] + 1)
     return F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"], e["value"])))
 
@@ -36,17 +37,28 @@ def atom_block(lines: Column) -> Column:
     return F.transform(F.slice(lines, F.lit(5), F.greatest(n, F.lit(0))), atom).cast(ATOMS)
 
 
+def record_columns(rows: DataFrame, record: str) -> DataFrame:
+    """Replace the text of a record, as cut out between terminators, by its name, props and atoms.
+
+    Line ends may be LF or CRLF.  Three lines stand before the counts line of a record; what is left of the line break
+    after the previous terminator goes.
+    """
+    lines = F.split(F.regexp_replace(record, "\r", ""), "\n")
+    rows = rows.withColumn("__lines", lines)
+    counts = F.array_position(F.transform("__lines", lambda line: line.rlike("V[23]000\\s*$")), True)
+    extra = F.when(counts > 4, counts - 4).when((counts == 0) & (F.get("__lines", F.lit(0)) == ""), 1).otherwise(0)
+    rows = rows.withColumn("__lines", F.slice("__lines", extra.cast("int") + 1, F.size("__lines")))
+    rows = rows.withColumns(
+        {"name": F.trim(F.get("__lines", F.lit(0))), "props": properties(F.array_join("__lines", "\n")), "atoms": atom_block(F.col("__lines"))}
+    )
+    return rows.drop("__lines", record)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, name, props, atoms) per record.  Records split at their terminator, so large files are read in parallel."""
-    raw = spark.read.option("lineSep", "$$$$\n").text(path)
-    text = F.regexp_replace(F.regexp_replace("value", "\r", ""), r"\$\$\$\$\s*$", "")
-    rows = raw.select(file_stem(F.col("_metadata.file_path")).alias("file"), text.alias("record")).filter(
-        F.trim("record").rlike(r"\S")
-    )
-    lines = F.split("record", "\n")
-    return rows.select(
-        "file", F.trim(F.get(lines, F.lit(0))).alias("name"), properties(F.col("record")).alias("props"), atom_block(lines).alias("atoms")
-    )
+    raw = spark.read.option("lineSep", "$$$$").text(path)
+    rows = raw.select(file_stem(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("record"))
+    return record_columns(rows.filter(F.col("record").rlike(r"\S")), "record")
 
 
 def first_number(props: Column, aliases: Sequence[str]) -> Column:
@@ -58,15 +70,17 @@ def scored_records(records: DataFrame, aliases: Sequence[str], score: str = "aff
     return records.filter(F.col("name") != "").withColumn(score, first_number(F.col("props"), aliases))
 
 
+def site_columns(lines: DataFrame, line: str) -> DataFrame:
+    """Replace fixed-width atom lines by element, x, y, z; other and unreadable lines go."""
+    lines = lines.filter(F.col(line).rlike("^(ATOM|HETATM)"))
+    xyz = {k: F.trim(F.substring(line, start, 8)).try_cast("double") for k, start in (("x", 31), ("y", 39), ("z", 47))}
+    symbol = F.trim(F.substring(line, 77, 2))
+    by_name = F.regexp_extract(F.substring(line, 13, 4), "([A-Za-z])", 1)
+    element = F.initcap(F.when(symbol != "", symbol).otherwise(by_name))
+    return lines.withColumns({"element": element, **xyz}).drop(line).dropna(subset=["x", "y", "z"])
+
+
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
     """Atom table (site_id, element, x, y, z) from fixed-width coordinate files; unreadable lines are skipped."""
-    lines = spark.read.text(path).filter(F.col("value").rlike("^(ATOM|HETATM)"))
-    xyz = {k: F.trim(F.substring("value", start, 8)).try_cast("double") for k, start in (("x", 31), ("y", 39), ("z", 47))}
-    symbol = F.trim(F.substring("value", 77, 2))
-    by_name = F.regexp_extract(F.substring("value", 13, 4), "([A-Za-z])", 1)
-    atoms = lines.select(
-        file_stem(F.col("_metadata.file_path")).alias("site_id"),
-        F.initcap(F.when(symbol != "", symbol).otherwise(by_name)).alias("element"),
-        *[v.alias(k) for k, v in xyz.items()],
-    )
-    return atoms.dropna(subset=["x", "y", "z"])
+    lines = spark.read.text(path).select(file_stem(F.col("_metadata.file_path")).alias("site_id"), "value")
+    return site_columns(lines, "value")

@@ -26,16 +26,19 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_stage(
-    table: DataFrame, rank: str = "stage_rank", stage: str = "stage", skip: Sequence[str] = ()
+    table: DataFrame, rank: str = "stage_rank", stage: str = "stage", skip: Sequence[str] = (), run: str = "run_id"
 ) -> DataFrame:
-    """Rows of the highest-ranked stage that has any; stages in ``skip`` are ignored.
+    """Rows of the highest-ranked stage that has any, per run where the table has a ``run`` column; stages in ``skip``
+    are ignored.
 
     ``existing`` is the variant that stops at a stage written without rows.
     """
     rows = table.filter(~F.col(stage).isin(*skip)) if skip else table
-    last = rows.agg(F.max_by(stage, rank).alias("__last"))
-    name = last.first()[0]
-    return rows.filter(F.col(stage) == F.lit(name)) if name is not None else rows.limit(0)
+    if run not in table.columns:
+        name = rows.agg(F.max_by(stage, rank)).first()[0]
+        return rows.filter(F.col(stage) == F.lit(name)) if name is not None else rows.limit(0)
+    last = rows.groupBy(F.col(run).alias("__run")).agg(F.max_by(stage, rank).alias("__last"))
+    return rows.join(last, rows[run].eqNullSafe(last["__run"]) & (rows[stage] == last["__last"]), "left_semi")
 
 
 def existing(spark: SparkSession, path: str, run_id: str, order: Sequence[str], fallback: bool = False, skip: Sequence[str] = ()) -> DataFrame | None:
