@@ -17,21 +17,16 @@ def q1_index(atoms: DataFrame, candidate: str, degree: str) -> DataFrame:
     return sums.select(candidate, "n_atoms", quadratic_index(F.col("n_atoms"), F.col("__sq")).alias("q1"))
 
 
-def spiro_candidates(atoms: DataFrame, rings: DataFrame) -> DataFrame:
-    """Candidates with a four-bonded atom whose first two rings share nothing but that atom."""
-    first_two = (
-        rings.groupBy("candidate", "atom")
-        .agg(F.slice(F.array_sort(F.collect_set("ring")), 1, 2).alias("r"))
-        .filter(F.size("r") == 2)
-        .select("candidate", "atom", F.col("r")[0].alias("ring_a"), F.col("r")[1].alias("ring_b"))
-    )
-    bonded = atoms.filter("degree = 4").select("candidate", "atom")
-    centres = first_two.join(bonded, ["candidate", "atom"]).select("candidate", "ring_a", "ring_b").distinct()
-    left = rings.select("candidate", F.col("ring").alias("ring_a"), "atom")
-    right = rings.select("candidate", F.col("ring").alias("ring_b"), "atom")
-    shared = centres.join(left, ["candidate", "ring_a"]).join(right, ["candidate", "ring_b", "atom"])
-    counts = shared.groupBy("candidate", "ring_a", "ring_b").agg(F.countDistinct("atom").alias("n"))
-    return counts.filter("n = 1").select("candidate").distinct().withColumn("spiro", F.lit(1))
+def _names(atoms: str, test) -> Column:
+    """Atoms of the list that pass the test."""
+    return F.transform(F.filter(atoms, test), lambda a: a["atom"])
+
+
+def _spiro(atom: Column) -> Column:
+    """Whether the atom's first two rings share nothing but that atom."""
+    own = F.array_sort(F.filter("rings", lambda r: F.array_contains(r["atoms"], atom)))
+    shared = F.array_intersect(F.get(own, F.lit(0))["atoms"], F.get(own, F.lit(1))["atoms"])
+    return F.coalesce((F.size(own) > 1) & (F.size(shared) == 1), F.lit(False))
 
 
 def topological_index(atoms: DataFrame, rings: DataFrame) -> DataFrame:
@@ -39,34 +34,56 @@ def topological_index(atoms: DataFrame, rings: DataFrame) -> DataFrame:
 
     ``atoms``: candidate, atom, degree, element, sp3, aromatic, chiral.  ``rings``: candidate, ring, atom.
     (AR + NAR + CHIRAL + SPIRO + (SP3 + cyclic - acyclic) / (1 + SP3)) * Q1 with four decimals.
+
+    A candidate's atoms and rings are few, so both are gathered once per candidate and everything else is a matter of
+    its row.
     """
-    aromatic = rings.join(atoms.select("candidate", "atom", "aromatic"), ["candidate", "atom"])
-    ring_kinds = aromatic.groupBy("candidate", "ring").agg(
-        F.bool_and("aromatic").alias("all_aromatic"), F.bool_or("aromatic").alias("any_aromatic")
-    )
-    ring_flags = ring_kinds.groupBy("candidate").agg(
-        F.max(F.col("all_aromatic").cast("int")).alias("ar"), F.max((~F.col("any_aromatic")).cast("int")).alias("nar")
+    fields = ("atom", "degree", "element", "sp3", "aromatic", "chiral")
+    per = atoms.groupBy("candidate").agg(F.collect_list(F.struct(*fields)).alias("atoms"))
+    # both groupings use the one exchange by candidate
+    ringed = rings.repartition("candidate").groupBy("candidate", "ring").agg(F.collect_set("atom").alias("atoms"))
+    ringed = ringed.groupBy("candidate").agg(F.collect_list(F.struct("ring", "atoms")).alias("rings"))
+    empty = F.array().cast("array<struct<ring:string,atoms:array<string>>>")
+    rows = per.join(ringed, "candidate", "left").withColumn("rings", F.coalesce("rings", empty))
+    rows = rows.withColumns(
+        {
+            "aromatic": _names("atoms", lambda a: a["aromatic"]),
+            "other": _names("atoms", lambda a: ~a["aromatic"]),
+            "in_ring": F.array_distinct(F.flatten(F.transform("rings", lambda r: r["atoms"]))),
+            "four": _names("atoms", lambda a: a["degree"] == 4),
+        }
     )
-    in_ring = rings.select("candidate", "atom").distinct().withColumn("in_ring", F.lit(True))
-    carbon = F.col("element") == "C"
-    sp3 = carbon & F.col("sp3")
-    ringed = F.coalesce("in_ring", F.lit(False))
-    d = F.col("degree").cast("long")
-    per = atoms.join(in_ring, ["candidate", "atom"], "left").groupBy("candidate").agg(
-        F.count(F.lit(1)).alias("n_atoms"),
-        F.sum(d * d).alias("sq"),
-        F.max(F.col("chiral").cast("int")).alias("chiral"),
-        F.count_if(carbon).alias("carbons"),
-        F.count_if(sp3).alias("sp3"),
-        F.count_if(sp3 & ringed & ~F.col("aromatic")).alias("cyclic"),
-        F.count_if(sp3 & ~ringed).alias("acyclic"),
+
+    def count(test) -> Column:
+        return F.size(F.filter("atoms", test))
+
+    def sp3(a: Column) -> Column:
+        return (a["element"] == "C") & a["sp3"]
+
+    def cyclic(a: Column) -> Column:
+        return F.array_contains("in_ring", a["atom"])
+
+    has_aromatic = lambda r: F.arrays_overlap(r["atoms"], F.col("aromatic"))
+    has_other = lambda r: F.arrays_overlap(r["atoms"], F.col("other"))
+    rows = rows.withColumns(
+        {
+            "n_atoms": F.size("atoms").cast("long"),
+            "sq": F.aggregate("atoms", F.lit(0).cast("long"), lambda s, a: s + a["degree"].cast("long") * a["degree"]),
+            "carbons": count(lambda a: a["element"] == "C"),
+            "n_sp3": count(sp3),
+            "n_cyclic": count(lambda a: sp3(a) & cyclic(a) & ~a["aromatic"]),
+            "n_acyclic": count(lambda a: sp3(a) & ~cyclic(a)),
+            "ar": F.exists("rings", lambda r: has_aromatic(r) & ~has_other(r)),
+            "nar": F.exists("rings", lambda r: has_other(r) & ~has_aromatic(r)),
+            "chiral": F.exists("atoms", lambda a: a["chiral"]),
+            "spiro": F.exists("four", _spiro),
+        }
     )
-    joined = per.join(ring_flags, "candidate", "left").join(spiro_candidates(atoms, rings), "candidate", "left")
 
     def frac(c: str) -> Column:
         return F.when(F.col("carbons") > 0, F.col(c) / F.col("carbons")).otherwise(0.0)
 
-    flags = sum((F.coalesce(F.col(c), F.lit(0)) for c in ("ar", "nar", "chiral", "spiro")), F.lit(0))
+    flags = sum((F.coalesce(F.col(c), F.lit(False)).cast("int") for c in ("ar", "nar", "chiral", "spiro")), F.lit(0))
     q1 = quadratic_index(F.col("n_atoms"), F.col("sq"))
-    index = (flags + (frac("sp3") + frac("cyclic") - frac("acyclic")) / (1 + frac("sp3"))) * q1
-    return joined.select("candidate", "n_atoms", q1.alias("q1"), F.round(index, 4).alias("complexity"))
+    index = (flags + (frac("n_sp3") + frac("n_cyclic") - frac("n_acyclic")) / (1 + frac("n_sp3"))) * q1
+    return rows.select("candidate", "n_atoms", q1.alias("q1"), F.round(index, 4).alias("complexity"))

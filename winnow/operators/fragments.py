@@ -7,12 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.operators.best import extremes
+from winnow.session import written
 
 
 def fit_fragments(df: DataFrame, fragments: str, label: str) -> DataFrame:
     """Score table (fragment, n_pos, n_neg, present, absent, prior).
 
-    ``label`` is 1 for the positive class and 0 for the negative one; other rows do not train.
+    The table is written once, as every use of a model reads it more than once.  ``label`` is 1 for the positive class and 0 for the negative one; other rows do not train.
     A fragment counts once per row.  present = ln((p+1)/(n+1)), absent = ln((P-p+1)/(N-n+1)),
     prior = ln((N+2)/(P+2)).
     """
@@ -22,7 +23,7 @@ def fit_fragments(df: DataFrame, fragments: str, label: str) -> DataFrame:
     counts = rows.groupBy("fragment").agg(
         F.count_if(F.col("__y") == 1).alias("n_pos"), F.count_if(F.col("__y") == 0).alias("n_neg")
     )
-    return score_table(counts, totals.p, totals.n)
+    return written(score_table(counts, totals.p, totals.n), "fragment-model")
 
 
 def score_table(counts: DataFrame, total_pos: int, total_neg: int) -> DataFrame:

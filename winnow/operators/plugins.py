@@ -30,16 +30,19 @@ def with_calculator(
     schema: str,
     start: Callable[[], Any] | None = None,
     inputs: list[str] | None = None,
+    error: str | None = None,
 ) -> DataFrame:
     """Append columns computed batch-wise in Python.
 
     ``start`` runs once per task (compile rules, load a model); ``calculate(state, batch)`` returns a
     frame with the columns of ``schema``.  If a batch raises, its rows are tried one by one, and a row
-    that still raises gets NULLs; what NULL means is up to ``fail_policy``.
+    that still raises gets NULLs; what NULL means is up to ``fail_policy``.  ``error`` names a column for
+    the message of a row that raised, so that a calculator that always fails does not go unseen.
     """
     added = T._parse_datatype_string(schema)
     names = [f.name for f in added]
-    out_schema = T.StructType([*df.schema.fields, *added.fields])
+    told = [T.StructField(error, T.StringType())] if error else []
+    out_schema = T.StructType([*df.schema.fields, *added.fields, *told])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = start() if start else None
@@ -47,14 +50,16 @@ def with_calculator(
             seen = batch[inputs] if inputs else batch
             try:
                 extra = calculate(state, seen)[names].reset_index(drop=True)
+                if error:
+                    extra[error] = None
             except Exception:  # noqa: BLE001
                 rows = []
                 for i in range(len(seen)):
                     try:
                         rows.append(calculate(state, seen.iloc[[i]])[names].iloc[0].to_dict())
-                    except Exception:  # noqa: BLE001
-                        rows.append(dict.fromkeys(names))
-                extra = pd.DataFrame(rows, columns=names).astype(object)
+                    except Exception as raised:  # noqa: BLE001
+                        rows.append(dict.fromkeys(names) | ({error: f"{type(raised).__name__}: {raised}"} if error else {}))
+                extra = pd.DataFrame(rows, columns=[*names, *([error] if error else [])]).astype(object)
             yield pd.concat([batch.reset_index(drop=True), extra], axis=1)
 
     return df.mapInPandas(run, out_schema)

@@ -2,7 +2,9 @@
 
 A catalogue is small and written by people.  Its patterns become literals of one projection over
 the candidates: each text is read once, nothing is joined or shuffled, and every regular
-expression is compiled once per task.  Larger catalogues run as several such projections.
+expression is compiled once per task, so the work is rows times rules.  Rules that are literal
+texts or single tokens may come as a table of any size (``match_literals``, ``match_tokens``): there
+a row meets only rules that share a short piece of text or a token with it.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.operators.flags import all_flags
+from winnow.session import small_or_same
 
 # Fixed value: reason given to a candidate that cannot be read.
 INVALID = "invalid_molecule"
 
-RULES_PER_PASS = 500
 MAX_RULES = 20_000
+GRAM = 4
 
 
 @dataclass(frozen=True)
@@ -71,13 +74,26 @@ def match_rules(df: DataFrame, text: str, rules: Sequence[Rule], out: str = "hit
     invalid = F.array(
         *[F.struct(F.lit(n).alias("rule_set"), F.lit(INVALID).alias("description")) for n in names]
     )
-    chunks = [rules[i : i + RULES_PER_PASS] for i in range(0, len(rules), RULES_PER_PASS)]
-    parts = []
-    for i, chunk in enumerate(chunks):
-        df = df.withColumn(f"__hits_{i}", _hits(F.col(text), chunk))
-        parts.append(f"__hits_{i}")
-    found = F.array_distinct(F.concat(*[F.col(p) for p in parts]))
-    return df.withColumn(out, F.when(F.col(text).isNull(), invalid).otherwise(found)).drop(*parts)
+    found = F.array_distinct(_hits(F.col(text), rules))
+    return df.withColumn(out, F.when(F.col(text).isNull(), invalid).otherwise(found))
+
+
+def match_literals(df: DataFrame, row_id: str, text: str, rules: DataFrame, pattern: str = "smarts") -> DataFrame:
+    """Rules that are literal texts, from a table of any size: (row_id, rule_set_name, description) per contained text.
+
+    A text that contains a rule's pattern contains the pattern's first characters; rows and rules meet by an equi-join
+    on these, and the whole pattern is looked for in what meets.  Empty patterns match nothing.
+    """
+    size = F.least(F.length(pattern), F.lit(GRAM))
+    marked = rules.filter(F.length(pattern) > 0).select(
+        "rule_set_name", "description", F.col(pattern).alias("__pattern"), F.expr(f"substring(`{pattern}`, 1, {GRAM})").alias("__gram"), size.alias("__size")
+    )
+    marked = small_or_same(marked.distinct(), "literal-rules")
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.length(text), F.lit(GRAM))), lambda n: F.transform(
+        F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.col(text).substr(i, n))))
+    rows = df.filter(F.length(text) > 0).select(row_id, F.col(text).alias("__text"), F.explode(F.array_distinct(grams)).alias("__gram"))
+    hits = rows.join(marked, "__gram").filter(F.contains("__text", "__pattern"))
+    return hits.select(row_id, "rule_set_name", "description").distinct()
 
 
 def rule_hits(matched: DataFrame, keep: Sequence[str], hits: str = "hits") -> DataFrame:
@@ -106,9 +122,9 @@ def rule_masks(matched: DataFrame, names: Sequence[str], hits: str = "hits", rea
 def match_tokens(df: DataFrame, row_id: str, tokens: str, rules: DataFrame) -> DataFrame:
     """Rules that are single tokens: (row_id, rule_set, description) hits by an equi-join.
 
-    ``rules`` has rule_set, description, token.  The cost does not grow with the number of rules times
-    rows, so this is the way for catalogues too large for ``match_rules``.
+    ``rules`` has rule_set, description, token.  A catalogue that has been counted as small is sent to every task; the
+    tokens of a row then stay where they are, and hits are made distinct before they are shuffled.
     """
     distinct = df.select(row_id, F.explode(F.array_distinct(tokens)).alias("token"))
-    hits = distinct.join(rules.select("rule_set", "description", "token"), "token")
+    hits = distinct.join(small_or_same(rules.select("rule_set", "description", "token").distinct(), "token-rules"), "token")
     return hits.select(row_id, "rule_set", "description").distinct()

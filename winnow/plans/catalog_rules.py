@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from winnow.functions.text import words
 from winnow.operators import combine, masks
-from winnow.operators.rules import Rule, load_rules, match_rules, match_tokens, rule_hits, rule_masks, rules_from
+from winnow.operators.rules import Rule, load_rules, match_literals, match_rules, match_tokens, rule_hits, rule_masks
 from winnow.plans.registry import Tables, query
+from winnow.session import written
 
 RULES = (
     Rule("junk", "marker run", r"[*%#$!&]{3}"),
@@ -96,12 +97,12 @@ def q_rule_catalogue(t: Tables) -> DataFrame:
          join part on l_partkey = p_partkey) x left join n on contains(txt, w) group by 1""",
 )
 def q_rules_from_table(t: Tables) -> DataFrame:
-    """A catalogue table brought to the plan: distinct names as patterns against the names of ordered parts."""
+    """A catalogue table of any size: distinct names as patterns against the names of ordered parts."""
     catalogue = t.part.filter("p_type = 'ECONOMY'").select(
         F.lit("names").alias("rule_set_name"), F.col("p_name").alias("description"), F.col("p_name").alias("smarts")
     ).distinct()
-    rules = rules_from(catalogue)
-    hits = match_rules(t.part, "p_name", rules).select("p_partkey", F.size("hits").cast("long").alias("n"))
+    found = match_literals(t.part, "p_partkey", "p_name", catalogue).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"))
+    hits = t.part.select("p_partkey").join(found, "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit(0)).alias("n"))
     lines = t.lineitem.join(hits, F.col("l_partkey") == F.col("p_partkey"))
     return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("n").alias("hits"))
 
@@ -324,7 +325,7 @@ def q_top3_reasons(t: Tables) -> DataFrame:
     + " from f left join r on f.rule_set = r.rule_set group by f.rule_set, f.failures, f.total, f.percentage",
 )
 def q_rule_summary(t: Tables) -> DataFrame:
-    rows = masked(t)
+    rows = written(masked(t).select(*[f"{k}_{s}" for k in ("pass", "reasons") for s in SETS]), "masks")
     out = masks.rule_summary(masks.reason_counts(rows, SETS), masks.failure_counts(rows, SETS))
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c.endswith("percentage")})
 
