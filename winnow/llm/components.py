@@ -18,11 +18,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = written(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        ends = F.explode(F.array(F.col("v"), F.col("u")))
+        small = large.join(least, "u").select(ends.alias("u"), F.col("m").alias("v")).where("u <> v")
+        edges = written(small.distinct(), "small-star")
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
         if now == state:
             break

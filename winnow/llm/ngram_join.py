@@ -341,23 +341,22 @@ class Block:
             else:
                 yield self.survivors(rows, others)
 
-    def forest(self, links: Callable[[int, int], bool] | None = None, failed: set[tuple[int, int]] = frozenset()) -> list[tuple[int, int]]:
-        """A forest over the surviving pairs, best ones first. With ``links`` every pair of it is verified, and the
-        forest joins what any verified pair can join; without, it is to be verified later, and the pairs that failed
-        before are left out."""
+    def left(self) -> tuple[np.ndarray, np.ndarray]:
+        """All surviving pairs, best ones first."""
         found = list(self.pairs())
         i, j, apart = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 3
         order = np.argsort(apart * 1000 // np.maximum(self.n[i] + self.n[j], 1), kind="stable")
-        i, j = i[order], j[order]
+        return i[order], j[order]
+
+    def forest(self, links: Callable[[int, int], bool] = lambda i, j: True) -> list[tuple[int, int]]:
+        """A forest of the surviving pairs that ``links`` accepts; it joins whatever any accepted pair can join."""
+        i, j = self.left()
         forest, edges = Forest(self.label), []
         while len(i) and forest.trees > 1:
             for a, b in zip(i[:4096].tolist(), j[:4096].tolist(), strict=True):
-                if forest.root(a) == forest.root(b):
-                    continue
-                pair = (int(self.node[a]), int(self.node[b]))
-                if links(a, b) if links else pair not in failed and pair[::-1] not in failed:
+                if forest.root(a) != forest.root(b) and links(a, b):
                     forest.join(a, b)
-                    edges.append(pair)
+                    edges.append((int(self.node[a]), int(self.node[b])))
             i, j = i[4096:], j[4096:]
             root = forest.roots()
             open_still = root[i] != root[j]
@@ -430,23 +429,27 @@ def _link(rule: Rule, by: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
-def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Blocks of points -> a forest of each block, to be verified."""
+def _compare(rule: Rule, everything: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of points -> pairs to be verified: a forest of each block, or everything that is left."""
     by = ("sig", "cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pieces in _blocks(batches, by):
             table = pa.Table.from_batches(pieces)
             node, n, label, seen = (table[c].to_numpy() for c in ("node", "n", "label", "seen"))
-            counts, sums, failed = (table[c].to_pylist() for c in ("counts", "sums", "failed"))
+            counts, sums = (table[c].to_pylist() for c in ("counts", "sums"))
             found: list[tuple[int, int]] = []
             for a, b in _cuts(table, by):
                 if b - a < 2 or (label[a:b] == label[a]).all():
                     continue
                 point = np.frombuffer(b"".join(counts[a:b]), dtype=np.uint8).reshape(b - a, -1).astype(np.int16)
                 check = np.frombuffer(b"".join(sums[a:b]), dtype=np.uint16).reshape(b - a, -1)
-                out = {(int(x), other) for x, others in zip(node[a:b], failed[a:b], strict=True) for other in others or ()}
-                found += Block(rule, node[a:b], n[a:b], point, check, label[a:b], seen[a:b]).forest(None, out)
+                block = Block(rule, node[a:b], n[a:b], point, check, label[a:b], seen[a:b])
+                if everything:
+                    i, j = block.left()
+                    found += zip(block.node[i].tolist(), block.node[j].tolist(), strict=True)
+                else:
+                    found += block.forest()
             yield from _edges(found)
 
     return run
@@ -486,26 +489,28 @@ def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
     return links.unionByName(compared(large.join(apart, "super"), _pair_cells(F.col("own"), F.col("chunks"))))
 
 
-def _forests(members: DataFrame, points: DataFrame, labels: DataFrame | None, failed: DataFrame | None, rule: Rule) -> DataFrame:
-    """Pairs (a < b) to verify from the blocks of weak signatures. First each large block is cut into chunks that share
-    its first member; later, members that are still apart meet chunk by chunk."""
+def _candidates(members: DataFrame, points: DataFrame, rule: Rule, labels: DataFrame | None = None, failed: DataFrame | None = None) -> DataFrame:
+    """Pairs (a < b) to verify from the blocks of weak signatures.
+
+    First a forest of each block, large blocks being cut into chunks that share their first member. Then, given what is
+    connected and which pairs failed, all that is left in blocks whose forest failed somewhere or that were cut.
+    """
     chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK)).cast("int")
     own = F.pmod(F.xxhash64("node", "sig"), chunks).cast("int")
     if labels is None:
-        members = members.withColumn("label", F.col("node")).withColumn("failed", F.lit(None).cast("array<long>"))
+        members = members.withColumn("label", F.col("node"))
         cells = F.when(F.col("node") == F.col("low"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(own))
     else:
-        members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        lost = failed.select(F.col("a").alias("node"), "b").unionByName(failed.select(F.col("b").alias("node"), F.col("a").alias("b")))
-        members = members.join(lost.groupBy("node").agg(F.collect_list("b").alias("failed")), "node", "left")
-        again = members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("s"), F.count_if(F.col("failed").isNotNull()).alias("f"))
+        lost = failed.select(F.col("a").alias("node")).unionByName(failed.select(F.col("b").alias("node"))).distinct().withColumn("failed", F.lit(1))
+        members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(lost, "node", "left")
+        again = members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("s"), F.count("failed").alias("f"))
         again = again.where((F.col("x") != F.col("y")) & ((F.col("s") > CHUNK) | (F.col("f") > 1))).select("sig")
         members = members.join(again, "sig")
         cells = _pair_cells(own, chunks)
     rows = members.withColumn("cell", F.explode(cells)).join(points, ["node", "band"])
-    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "failed", "counts", "sums")
+    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "counts", "sums")
     rows = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node")
-    pairs = rows.mapInArrow(_compare(rule), "a long, b long")
+    pairs = rows.mapInArrow(_compare(rule, labels is not None), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -599,20 +604,20 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     points = met.where(F.col("kind") == POINT).select("node", "band", "n", "counts", "sums")
     points = points.join(members.select("node", "band").distinct(), ["node", "band"], "left_semi").dropDuplicates(["node", "band"])
 
-    labels = failed = checked = None
-    while True:
-        pairs = written(_forests(members, points, labels, failed, rule), "pairs")
-        if pairs.isEmpty():
-            break
+    def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
         sets = _sets(docs, _node_filter(ends), k).dropDuplicates(["node"])
-        now = written(_verified(pairs, sets, rule), "checked")
-        checked = now if checked is None else checked.unionByName(now)
+        return written(_verified(pairs, sets, rule), "checked")
+
+    pairs = written(_candidates(members, points, rule), "pairs")
+    if not pairs.isEmpty():
+        checked = verified(pairs)
+        links = links.unionByName(checked.where("links").select("a", "b"))
         failed = checked.where("not links").select("a", "b")
-        links = links.unionByName(now.where("links").select("a", "b"))
-        if failed.isEmpty() and members.where(F.col("size") > CHUNK).isEmpty():
-            break
-        labels = written(components(links), "labels")
+        if not failed.isEmpty() or not members.where(F.col("size") > CHUNK).isEmpty():
+            rest = written(_candidates(members, points, rule, written(components(links), "labels"), failed), "pairs")
+            if not rest.isEmpty():
+                links = links.unionByName(verified(rest.join(failed, ["a", "b"], "left_anti")).where("links").select("a", "b"))
     labels = components(links)
 
     own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
