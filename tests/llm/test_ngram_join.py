@@ -79,7 +79,7 @@ def test_block_tree_finds_what_all_pairs_find():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 9, (5, 30))
     counts = np.abs(base[rng.integers(0, 5, 300)] + rng.integers(-1, 2, (300, 30)) * (rng.random((300, 30)) < 0.15)).astype(np.int16)
-    block = ngram_join.Block(Rule(5, 4, 5), np.arange(300), counts.sum(axis=1).astype(np.int64), counts, counts.astype(np.uint16), np.arange(300))
+    block = ngram_join.Block(Rule(5, 4, 5), np.arange(300), counts.sum(axis=1).astype(np.int64), counts, counts.astype(np.uint16), np.arange(300), np.full(300, -1))
     i, j, _ = block.survivors(np.arange(300), np.arange(300))
     want = {(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if a < b}
     got = [tuple(sorted(p)) for i, j, _ in block.pairs() for p in zip(i.tolist(), j.tolist(), strict=True)]
