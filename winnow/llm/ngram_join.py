@@ -25,9 +25,10 @@ from winnow.llm.components import components
 from winnow.llm.storage import written
 from winnow.llm.textkernel import LOWER, flat, mix, shingles, slices, word_hashes, words
 
-FLUSH = 2_000_000  # signatures a task holds before it hands them on
+FLUSH = 1_000_000  # signatures a task holds before it hands them on
 CHUNK = 1024  # members of a block that one task compares
 LEAF = 32
+BATCH_ROWS = 500  # rows with whole texts or sets of shingles
 WIDENING = 1.8  # ratio of the sizes that share a number of groups
 FILTER_BITS = 1 << 23
 CHUNK_SHINGLES = 2_000_000
@@ -477,7 +478,7 @@ def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
         rows = rows.select("node", "super", "label", F.explode(cells).alias("cell"))
         by = ("super", "cell")
         rows = sets.join(rows, "node").select(*by, "node", "label", "items").repartition(*by).sortWithinPartitions(*by)
-        return written(rows.mapInArrow(_link(rule, by), "a long, b long"), "links")
+        return written(rows.mapInArrow(_link(rule, by), "a long, b long"), "links", batch_rows=BATCH_ROWS)
 
     first = F.when(F.col("node") == F.col("super"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))
     links = compared(sized.withColumn("label", F.col("node")), first)
@@ -583,7 +584,7 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = docs.mapInArrow(_sign(rule, buckets), _ROW_DDL).groupBy("bucket").applyInArrow(_meet, _OUT_DDL)
-    met = written(met, "signatures", by="kind")
+    met = written(met, "signatures", by="kind", batch_rows=BATCH_ROWS)
     own = met.where(F.col("kind") == DOC).select("id", "node", "n")
     docs = docs.where(F.col("id").isNotNull())
 
@@ -607,7 +608,7 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
         sets = _sets(docs, _node_filter(ends), k).dropDuplicates(["node"])
-        return written(_verified(pairs, sets, rule), "checked")
+        return written(_verified(pairs, sets, rule), "checked", batch_rows=BATCH_ROWS)
 
     pairs = written(_candidates(members, points, rule), "pairs")
     if not pairs.isEmpty():

@@ -24,12 +24,22 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, by: str | None = None, batch_rows: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, read by any executor, safe if one is lost.
 
-    ``by`` gives each value of that column a folder of its own. Tables lie below ``<shared>/<application id>``; that folder can go once the application's results are written.
+    ``by`` gives each value of that column a folder of its own; ``batch_rows`` bounds the rows of an Arrow batch while
+    the table is computed, for rows that hold long values. Tables lie below ``<shared>/<application id>``; that folder can go once the application's results are written.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    if batch_rows:
+        spark.conf.set(ARROW_ROWS, str(min(batch_rows, int(before) if int(before) > 0 else batch_rows)))
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_500_000
 
 # White space of words, 20 and 09-0D.
 SPACE = np.zeros(256, dtype=bool)
