@@ -429,3 +429,39 @@ def q_registry(t: Tables) -> DataFrame:
     return filter_named("size")(t.part, {"min": 5, "max": 40})
 
 
+# --- identities with missing parts ---------------------------------------------------------------------
+
+GAPS_SQL = "b as (select c_custkey, case when c_custkey % 5 <> 0 then c_mktsegment end as segment, case when c_custkey % 3 <> 0 then c_nationkey::double when c_custkey % 2 = 0 then 'nan'::double end as nation, c_acctbal from customer)"
+GAP_KEYS = ["segment", "nation"]
+
+
+def with_gaps(t: Tables) -> DataFrame:
+    """Customers whose segment is missing for some and whose nation is NULL or NaN for some."""
+    nation = F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey").cast("double")).when(F.col("c_custkey") % 2 == 0, float("nan"))
+    return t.customer.select("c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("segment"), nation.alias("nation"), "c_acctbal")
+
+
+@query(
+    "q_mask_null_keys",
+    f"""with {GAPS_SQL}, k as (select *, case when not isnan(nation) then nation end as n from b),
+       m as (select segment, n, arg_max(c_acctbal > 0, c_custkey) as rich from k group by all),
+       s as (select segment, arg_max(c_acctbal > 4000, c_custkey) as top from k group by all)
+       select k.c_custkey, rich as pass_rich, top as pass_top from k join m on k.segment is not distinct from m.segment and k.n is not distinct from m.n
+         join s on k.segment is not distinct from s.segment""",
+)
+def q_mask_null_keys(t: Tables) -> DataFrame:
+    """Masks by (segment, nation) and by segment alone; missing parts of the key match each other."""
+    base = with_gaps(t)
+    rich = base.select(*GAP_KEYS, (F.col("c_acctbal") > 0).alias("pass"), F.col("c_custkey").alias("ord"))
+    top = base.select("segment", (F.col("c_acctbal") > 4000).alias("pass"), F.col("c_custkey").alias("ord"))
+    return combine.mask_table(base, {"rich": rich, "top": top}, GAP_KEYS, "ord").select("c_custkey", "pass_rich", "pass_top")
+
+
+@query(
+    "q_failed_null_keys",
+    f"""with {GAPS_SQL}, k as (select *, case when not isnan(nation) then nation end as n from b)
+       select c_custkey from k where not exists (select 1 from k o where o.c_acctbal > 9000 and o.segment is not distinct from k.segment and o.n is not distinct from k.n)""",
+)
+def q_failed_null_keys(t: Tables) -> DataFrame:
+    base = with_gaps(t)
+    return combine.split_failed(base, base.filter("c_acctbal > 9000"), GAP_KEYS).select("c_custkey")

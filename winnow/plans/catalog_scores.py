@@ -462,3 +462,36 @@ def q_props(t: Tables) -> DataFrame:
 def q_log_scan(t: Tables) -> DataFrame:
     lines = t.documents.select("lang", F.explode(F.split("text", "\n")).alias("value"))
     return scan_log(lines, "value", ["License", "Token"], by="lang")
+
+
+# --- values that are not numbers -----------------------------------------------------------------------
+
+NAN_SQL = "b as (select c_mktsegment as segment, case when c_custkey % 7 <> 0 then c_acctbal end as x from customer)"
+
+
+def with_nan(t: Tables) -> DataFrame:
+    """Account balances, NaN for every seventh customer."""
+    return t.customer.select(F.col("c_mktsegment").alias("segment"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).otherwise(float("nan")).alias("x"))
+
+
+@query(
+    "q_hist_nan",
+    f"""with {NAN_SQL}, e as (select min(x) as lo, (max(x) - min(x)) / 12 as w from b), r as (select unnest(range(0, 12))::int as bin),
+       c as (select least(floor((x - lo) / w), 11)::int as bin, count(*) as n, sum(x) as s from b, e where x is not null group by 1)
+       select r.bin, round(lo + r.bin * w, 4) as lower, coalesce(n, 0) as count, round(coalesce(s, 0), 2) as sum from r cross join e left join c on c.bin = r.bin""",
+)
+def q_hist_nan(t: Tables) -> DataFrame:
+    out = stats.histogram(with_nan(t), "x", 12)
+    return out.withColumns({"lower": F.round("lower", 4), "sum": F.round("sum", 2)})
+
+
+@query(
+    "q_summary_nan",
+    f"""with {NAN_SQL} select segment, round(avg(x), 6) as mean_x, round(100 * avg((x >= 0)::int) filter (x is not null), 6) as pct_in_bounds, count(x) as n from b group by 1""",
+)
+def q_summary_nan(t: Tables) -> DataFrame:
+    rows = with_nan(t)
+    inside = stats.in_bounds(rows, {"x": (0, None)}, "segment").select("segment", F.round("pct_in_bounds", 6).alias("pct_in_bounds"))
+    counts = stats.pose_summary(rows, "x", "segment").select("segment", F.col("count").alias("n"))
+    means = stats.group_means(rows, ["x"], "segment").select("segment", F.round("mean_x", 6).alias("mean_x"))
+    return means.join(inside, "segment").join(counts, "segment")
