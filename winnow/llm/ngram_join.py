@@ -28,6 +28,7 @@ from winnow.llm.textkernel import LOWER, flat, mix, shingles, slices, word_hashe
 FLUSH = 1_000_000  # signatures a task holds before it hands them on
 CHUNK = 1024  # members of a block that one task compares
 LEAF = 32
+CELLS = 4_000_000  # pairs times groups that are compared at once
 BATCH_ROWS = 500  # rows with whole texts or sets of shingles
 WIDENING = 1.8  # ratio of the sizes that share a number of groups
 FILTER_BITS = 1 << 23
@@ -285,12 +286,17 @@ class Block:
 
     def survivors(self, rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs of rows that may link, by the points and then the checksums, and a lower bound of their difference."""
+        step = max(1, CELLS // max(1, len(others) * self.counts.shape[1]))
+        parts = [self._survivors(rows[k : k + step], others) for k in range(0, len(rows), step)]
+        return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _survivors(self, rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         most = self.rule.most_apart(self.n[rows][:, None], self.n[others][None, :])
         off = np.abs(self.counts[rows][:, None, :] - self.counts[others][None, :, :])
         new = (self.label[rows][:, None] != self.label[others][None, :]) & ((self.seen[rows][:, None] != self.seen[others][None, :]) | (self.seen[rows] < 0)[:, None])
         i, j = np.nonzero((off.sum(axis=2, dtype=np.int64) <= most) & new)
         if not len(i):
-            return i, j, i
+            return rows[i], others[j], i
         off = off[i, j]
         # an equal number of other shingles makes a difference of at least two
         apart = np.where(self.sums[rows[i]] != self.sums[others[j]], np.where(off == 0, 2, off), 0).sum(axis=1)
