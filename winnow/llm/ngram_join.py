@@ -600,13 +600,11 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     supers = written(supers.join(sizes, "node"), "supers")
     links = _super_links(docs, supers, rule)
 
-    # weak signatures: blocks with members that no strong one has brought together; those of the same sets are one block
-    live = met.where(F.col("kind") == LIVE).select("sig", "node").distinct()
+    # weak signatures: blocks with members that no strong one has brought together
+    live = met.where(F.col("kind") == LIVE).select("sig", "node")
     live = live.join(supers.select("node", F.col("label").alias("super")), "node", "left").withColumn("seen", F.coalesce("super", "node"))
-    mark = (F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(1 << 31))).alias(f"mark{i}") for i in (0, 1))
-    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), *mark, F.min("seen").alias("x"), F.max("seen").alias("y"))
+    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.min("seen").alias("x"), F.max("seen").alias("y"))
     blocks = blocks.where("x <> y").withColumn("band", F.expr(f"cast(sig & {(1 << BAND_BITS) - 1} as int)"))
-    blocks = blocks.groupBy("size", "low", "mark0", "mark1", "band").agg(F.min("sig").alias("sig"))
     members = written(live.drop("super").join(blocks.select("sig", "size", "low", "band"), "sig"), "members")
     points = met.where(F.col("kind") == POINT).select("node", "band", "n", "counts", "sums")
     points = points.join(members.select("node", "band").distinct(), ["node", "band"], "left_semi").dropDuplicates(["node", "band"])
