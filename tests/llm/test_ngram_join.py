@@ -88,5 +88,7 @@ def test_block_tree_finds_what_all_pairs_find():
 
 def test_components_of_a_long_path(spark):
     links = spark.range(60).selectExpr("(id * 7) % 60 as a", "((id + 1) * 7) % 60 as b").where("a <> 21").unionAll(spark.createDataFrame([(100, 101), (5, 5)], "a long, b long"))
-    got = dict(components(links).collect())
-    assert set(got.values()) == {0, 100} and got[101] == 100 and len(got) == 62
+    for task_links in (10**6, 7):
+        got = dict(components(links.repartition(6), task_links=task_links).collect())
+        assert set(got.values()) == {0, 100} and got[101] == 100 and len(got) == 62
+    assert components(links.limit(0)).count() == 0
