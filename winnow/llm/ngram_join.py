@@ -34,6 +34,7 @@ WIDENING = 1.8  # ratio of the sizes that share a number of groups
 FILTER_BITS = 1 << 23
 CHUNK_SHINGLES = 2_000_000
 BAND_BITS = 5
+MOST_COUNT = 31  # larger counts of a group are taken for this, which never enlarges a difference
 STRONG = 4  # shingles of a group that sets do not share by chance
 
 DOC, SIGNED, POINT, LIVE, EDGE = 0, 1, 2, 3, 4
@@ -115,13 +116,18 @@ def grouped(hashes: np.ndarray, bounds: np.ndarray, rows: np.ndarray, groups: in
     return np.bincount(cell, minlength=len(sums)).reshape(-1, groups), sums.reshape(-1, groups)
 
 
+def packed_point(counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """A byte per group: five bits of the count (up to MOST_COUNT) and three of the checksum."""
+    return (np.minimum(counts, MOST_COUNT) << 3).astype(np.uint8) | (sums >> np.uint64(61)).astype(np.uint8)
+
+
 _ROW = pa.schema(
     [("bucket", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32())]
     + [("x", pa.binary()), ("y", pa.binary()), ("z", pa.binary())]
 )
 _ROW_DDL = "bucket int, kind int, id long, node long, n long, band int, x binary, y binary, z binary"
-_OUT = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("sig", pa.int64()), ("counts", pa.binary()), ("sums", pa.binary())])
-_OUT_DDL = "kind int, id long, node long, n long, band int, sig long, counts binary, sums binary"
+_OUT = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("sig", pa.int64()), ("point", pa.binary())])
+_OUT_DDL = "kind int, id long, node long, n long, band int, sig long, point binary"
 
 
 def _rows(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
@@ -198,7 +204,7 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 held += len(signatures[-1])
                 yield _rows(
                     _ROW, len(rows), bucket=np.abs(key[rows]) % buckets, kind=np.full(len(rows), POINT), node=key[rows], n=size[rows], band=np.full(len(rows), band),
-                    x=[r.tobytes() for r in np.minimum(counts, 255).astype(np.uint8)], y=[r.tobytes() for r in (sums >> np.uint64(48)).astype(np.uint16)],
+                    x=[r.tobytes() for r in packed_point(counts, sums)],
                 )
             if held >= FLUSH:
                 yield from hand_on(signatures, nodes)
@@ -242,7 +248,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
-_PASSED = {"counts": "x", "sums": "y"}
+_PASSED = {"point": "x"}
 
 
 class Forest:
@@ -330,7 +336,7 @@ class Block:
         while waiting:
             a, b = waiting.pop()
             (rows, high, least, inner), (others, top, fewest, within) = nodes[a], nodes[b]
-            if rule.num * (least + fewest) > (rule.num + rule.den) * int(np.minimum(high, top).sum()) and not (high.max() >= 255 and top.max() >= 255):
+            if rule.num * (least + fewest) > (rule.num + rule.den) * int(np.minimum(high, top).sum()) and not (high.max() >= MOST_COUNT and top.max() >= MOST_COUNT):
                 continue
             label = self.label[rows[0]]
             if (self.label[rows] == label).all() and (self.label[others] == label).all():
@@ -424,7 +430,7 @@ def _link(rule: Rule, by: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]
                 # any number of groups will do here; few shingles a group keep the bounds sharp
                 groups = max(4, int(np.median(n)) // 5)
                 counts, sums = grouped(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), np.arange(len(n)), groups)
-                block = Block(rule, node, n, np.minimum(counts, 255).astype(np.int16), (sums >> np.uint64(48)).astype(np.uint16), label, np.full(len(n), -1))
+                block = Block(rule, node, n, np.minimum(counts, MOST_COUNT).astype(np.int16), (sums >> np.uint64(48)).astype(np.uint16), label, np.full(len(n), -1))
 
                 def links(i: int, j: int, sets=sets) -> bool:
                     common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -444,14 +450,13 @@ def _compare(rule: Rule, everything: bool) -> Callable[[Iterator[pa.RecordBatch]
         for pieces in _blocks(batches, by):
             table = pa.Table.from_batches(pieces)
             node, n, label, seen = (table[c].to_numpy() for c in ("node", "n", "label", "seen"))
-            counts, sums = (table[c].to_pylist() for c in ("counts", "sums"))
+            points = table["point"].to_pylist()
             found: list[tuple[int, int]] = []
             for a, b in _cuts(table, by):
                 if b - a < 2 or (label[a:b] == label[a]).all():
                     continue
-                point = np.frombuffer(b"".join(counts[a:b]), dtype=np.uint8).reshape(b - a, -1).astype(np.int16)
-                check = np.frombuffer(b"".join(sums[a:b]), dtype=np.uint16).reshape(b - a, -1)
-                block = Block(rule, node[a:b], n[a:b], point, check, label[a:b], seen[a:b])
+                point = np.frombuffer(b"".join(points[a:b]), dtype=np.uint8).reshape(b - a, -1)
+                block = Block(rule, node[a:b], n[a:b], (point >> 3).astype(np.int16), point & 7, label[a:b], seen[a:b])
                 if everything:
                     i, j = block.left()
                     found += zip(block.node[i].tolist(), block.node[j].tolist(), strict=True)
@@ -515,7 +520,7 @@ def _candidates(members: DataFrame, points: DataFrame, rule: Rule, labels: DataF
         members = members.join(again, "sig")
         cells = _pair_cells(own, chunks)
     rows = members.withColumn("cell", F.explode(cells)).join(points, ["node", "band"])
-    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "counts", "sums")
+    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "point")
     rows = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node")
     pairs = rows.mapInArrow(_compare(rule, labels is not None), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -600,13 +605,15 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     supers = written(supers.join(sizes, "node"), "supers")
     links = _super_links(docs, supers, rule)
 
-    # weak signatures: blocks with members that no strong one has brought together
+    # weak signatures: blocks with members that no strong one has brought together; those of the same sets are one block
     live = met.where(F.col("kind") == LIVE).select("sig", "node")
     live = live.join(supers.select("node", F.col("label").alias("super")), "node", "left").withColumn("seen", F.coalesce("super", "node"))
-    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.min("seen").alias("x"), F.max("seen").alias("y"))
+    mark = (F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(1 << 31))).alias(f"mark{i}") for i in (0, 1))
+    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), *mark, F.min("seen").alias("x"), F.max("seen").alias("y"))
     blocks = blocks.where("x <> y").withColumn("band", F.expr(f"cast(sig & {(1 << BAND_BITS) - 1} as int)"))
+    blocks = blocks.groupBy("size", "low", "mark0", "mark1", "band").agg(F.min("sig").alias("sig"))
     members = written(live.drop("super").join(blocks.select("sig", "size", "low", "band"), "sig"), "members")
-    points = met.where(F.col("kind") == POINT).select("node", "band", "n", "counts", "sums")
+    points = met.where(F.col("kind") == POINT).select("node", "band", "n", "point")
     points = points.join(members.select("node", "band").distinct(), ["node", "band"], "left_semi").dropDuplicates(["node", "band"])
 
     def verified(pairs: DataFrame) -> DataFrame:
