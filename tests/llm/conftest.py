@@ -1,7 +1,6 @@
 import pytest
+from llm_cases import SF
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SF = "/root/testdata/sf0.001"
 # texts with every awkward case: null, empty, blank, short, repeated, very long, no letters, other scripts
 TEXTS = [
     None, "", "   \n\t ", "one", "One", "ONE ", "a b", "the quick brown fox jumps over the lazy dog and runs away from it",

@@ -4,7 +4,6 @@ import pytest
 
 from winnow.llm import language, quality
 
-from .conftest import SF
 
 BIG = "/root/testdata/sf0.01"
 

@@ -8,9 +8,9 @@ import corpus_pipeline as pipeline
 from winnow.llm.storage import written
 from winnow.llm.vocabulary import encoding_of
 
-from .conftest import SF
-from .test_exact_dedup import LOWER
-from .test_ngram_join import brute
+from llm_cases import SF
+from test_exact_dedup import LOWER
+from test_ngram_join import brute
 
 
 def test_stages(spark, documents):

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from tools.check import rows_of, same_type
 from winnow.llm.catalog import QUERIES, SQL
 
-from .conftest import SF, TABLES
+from llm_cases import SF, TABLES
 
 COLUMNS = {
     "op1_ngram_join": {"doc_id", "n_shingles", "component_id"},
