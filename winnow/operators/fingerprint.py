@@ -88,17 +88,25 @@ def _size_classes(t: float, largest: int) -> list[int]:
     return lows
 
 
-def similar_pairs(df: DataFrame, row_id: str, bits: str, threshold: float, n_bits: int) -> DataFrame:
+def similar_pairs(
+    df: DataFrame, row_id: str, bits: str, threshold: float, n_bits: int, method: str = "signatures", block_rows: int = 2048
+) -> DataFrame:
     """All pairs of distinct bit sets with Tanimoto >= threshold: (id_a, id_b, similarity, copies_a, copies_b).
 
-    Exact.  Sets of size up to u that are t-similar differ in at most h = (1-t)/(1+t) * 2u bits, so
+    Exact by either method.  ``blocks`` is for short or dense bit sets, most of which are similar to many others: sets
+    are dealt to blocks of bounded size and every pair is compared once, in even tasks.  ``signatures`` is for wide,
+    sparse ones.  Sets of size up to u that are t-similar differ in at most h = (1-t)/(1+t) * 2u bits, so
     if the bit positions are dealt into h + 1 parts, at least one part is identical in both sets
     (partition signatures, Arasu et al., VLDB 2006).  That turns the similarity join into an equi-join
     on (size class, part, content of the part).  Every candidate is verified on its bits.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
+    if method not in ("signatures", "blocks"):
+        raise ValueError(f"unknown method: {method}")
     reps, _ = fingerprint_groups(df, row_id, bits)
+    if method == "blocks":
+        return _similar_in_blocks(written(reps.filter(F.size("bits") > 0), "sets"), threshold, n_bits, block_rows)
     sized = reps.withColumn("size", F.size("bits")).filter("size > 0")
     lows = _size_classes(threshold, n_bits)
     spread = (1 - threshold) / (1 + threshold)
@@ -179,6 +187,26 @@ def block_pairs(df: DataFrame, group: str, row_id: str, bits: str, block_rows: i
     )
 
 
+def _similar_in_blocks(reps: DataFrame, threshold: float, n_bits: int, block_rows: int) -> DataFrame:
+    kind = dict(reps.dtypes)["rep"]
+
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, same = _sides(pdf)
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": pdf["rep"][:0], "b": pdf["rep"][:0], "similarity": []})
+        sim = _tanimoto(_bit_matrix(left["bits"], n_bits), _bit_matrix(right["bits"], n_bits))
+        i, j = np.nonzero(np.triu(sim, 1) >= threshold if same else sim >= threshold)
+        return pd.DataFrame({"a": left["rep"].to_numpy()[i], "b": right["rep"].to_numpy()[j], "similarity": sim[i, j]})
+
+    cells = block_pairs(reps.withColumn("__all", F.lit(0)), "__all", "rep", "bits", block_rows)
+    pairs = cells.groupBy("__i", "__j").applyInPandas(find, f"a {kind}, b {kind}, similarity double")
+    copies = reps.select("rep", "copies")
+    pairs = pairs.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"), "similarity")
+    for side in "ab":
+        pairs = pairs.join(copies.withColumnsRenamed({"rep": f"id_{side}", "copies": f"copies_{side}"}), f"id_{side}")
+    return pairs.select("id_a", "id_b", "similarity", "copies_a", "copies_b")
+
+
 def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
     """The two blocks of a pair, and whether they are one and the same."""
     i, j = pdf["__i"].iloc[0], pdf["__j"].iloc[0]
@@ -275,8 +303,8 @@ def sphere_exclusion(
         if r < (last or 0):
             later = left.filter(F.col("block") > r)
             # the picks of a group go to each of its later blocks
-            own = later.select(F.col(group).alias("__g"), "block").distinct()
-            sent = now.join(own, now[group].eqNullSafe(own["__g"])).select(group, "block", "bits")
+            own = later.select(F.col(group).alias("__g"), F.col("block").alias("__to")).distinct()
+            sent = now.join(own, now[group].eqNullSafe(own["__g"])).select(group, F.col("__to").alias("block"), "bits")
             left = later.groupBy(group, "block").cogroup(sent.groupBy(group, "block")).applyInPandas(
                 exclude, f"`{group}` {kind}, bits array<int>, __rn long, block int"
             )

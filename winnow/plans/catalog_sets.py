@@ -63,7 +63,7 @@ def q_sediv(t: Tables) -> DataFrame:
        from r x join r y on x.rep < y.rep where bit_count(x.m & y.m)::double / bit_count(x.m | y.m) >= 0.5""",
 )
 def q_tanimoto_join(t: Tables) -> DataFrame:
-    out = fp.similar_pairs(signed(t), "vec_id", "bits", 0.5, BITS)
+    out = fp.similar_pairs(signed(t), "vec_id", "bits", 0.5, BITS, method="blocks")
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
