@@ -2,26 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names.
-
-    A local session without that setting (tests) gets a folder of its own; a cluster without it is refused,
-    because a machine-local folder cannot be read by the other executors.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+from winnow.session import shared_folder
 
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
