@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from winnow.session import shared_folder
 
-
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -16,7 +15,8 @@ def written(df: DataFrame, name: str, by: str | None = None, batch_rows: int | N
     """``df`` as a Parquet table in the shared folder: computed once, read by any executor, safe if one is lost.
 
     ``by`` gives each value of that column a folder of its own; ``batch_rows`` bounds the rows of an Arrow batch while
-    the table is computed, for rows that hold long values. Tables lie below ``<shared>/<application id>``; that folder can go once the application's results are written.
+    the table is computed, for rows that hold long values. Tables lie below ``<shared>/<application id>``; that folder
+    can go once the application's results are written (``winnow.session.drop_written``).
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
