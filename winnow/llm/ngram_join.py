@@ -513,10 +513,13 @@ def _candidates(members: DataFrame, points: DataFrame, rule: Rule, labels: DataF
         members = members.withColumn("label", F.col("node"))
         cells = F.when(F.col("node") == F.col("low"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(own))
     else:
-        lost = failed.select(F.col("a").alias("node")).unionByName(failed.select(F.col("b").alias("node"))).distinct().withColumn("failed", F.lit(1))
-        members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(lost, "node", "left")
-        again = members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("s"), F.count("failed").alias("f"))
-        again = again.where((F.col("x") != F.col("y")) & ((F.col("s") > CHUNK) | (F.col("f") > 1))).select("sig")
+        members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        # blocks that hold both ends of a failed pair, and cut ones
+        ends = [members.select("sig", F.col("node").alias(c)) for c in "ab"]
+        again = failed.join(ends[0], "a").join(ends[1], ["sig", "b"]).select("sig")
+        again = again.unionByName(members.where(F.col("size") > CHUNK).select("sig")).distinct()
+        apart = members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("sig")
+        again = again.join(apart, "sig")
         members = members.join(again, "sig")
         cells = _pair_cells(own, chunks)
     rows = members.withColumn("cell", F.explode(cells)).join(points, ["node", "band"])
