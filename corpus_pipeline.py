@@ -1,8 +1,8 @@
 """Corpus pipeline over ``documents``: each stage works on all rows its predecessor kept.
 
-Rows without an id pass the dedup stages unchanged and are not mixed in; null and empty texts have no language and go in
-the first stage. Repeated rows are dropped by exact dedup, which keeps the largest id of equal texts. Columns beyond
-those of ``documents`` are carried along. Empty tables give empty results.
+Rows without an id pass the dedup stages unchanged and are mixed like others; null and empty texts have no language and go
+in the first stage. Repeated rows are dropped by exact dedup, which keeps the largest id of equal texts; an id with several
+texts is several documents. Columns beyond those of ``documents`` are carried along. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the target weights of their domains, languages and sources."""
-    return mixed(docs, MIX)
+    return mixed(docs, MIX, tie="md5(text)")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

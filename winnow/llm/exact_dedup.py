@@ -50,7 +50,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows without an id all stay."""
-    groups = exact_groups(docs, id_col, text_col, support)
-    gone = groups.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The rows of ``docs`` that stay, with all their columns; rows without an id all stay.
+
+    Rows are told apart by id and text: an id with two texts loses only the one that is a copy. Of several rows with
+    the id and text that stay, one does, by the order of the digests of all their columns.
+    """
+    groups = exact_groups(docs, id_col, text_col, support).where(F.col(id_col).isNotNull())
+    marks = groups.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest")).agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
+    marks = written(marks.where(~F.col("_kept") | (F.col("_n") > 1)), "marks")
+    same = (docs[id_col] == marks["_id"]) & (F.sha2(normalised(docs[text_col]), 256) == marks["_digest"])
+    stay = docs.join(marks, same, "left_anti")
+    if marks.where("_kept").isEmpty():
+        return stay
+    repeats = docs.join(marks.where("_kept"), same)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    one = repeats.groupBy("_id", "_digest").agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("_row"))
+    return stay.unionByName(one.select("_row.*"))

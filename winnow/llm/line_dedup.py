@@ -73,30 +73,34 @@ def pairs_of(text: Column) -> Column:
     return bound(lines_of(text), pairs)
 
 
-def repeated_places(docs: DataFrame, id_col: str, chunks: Column, least_lines: int) -> DataFrame:
-    """id, places: of each document, the chunks that occur at an earlier place of the table."""
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), chunks.alias("chunks"))
-    parts = rows.select("id", F.explode("chunks").alias("c")).select("id", "c.*").where(F.col("n_lines") >= least_lines)
+def digest_of(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def repeated_places(docs: DataFrame, id_col: str, text_col: str, chunks: Column, least_lines: int) -> DataFrame:
+    """id, digest, places: of each id and text, the chunks that occur at an earlier place of the table."""
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), digest_of(F.col(text_col)).alias("digest"), chunks.alias("chunks"))
+    parts = rows.select("id", "digest", F.explode("chunks").alias("c")).select("id", "digest", "c.*").where(F.col("n_lines") >= least_lines)
     key = (F.xxhash64("chunk").alias("k1"), F.xxhash64(F.lit(1), "chunk").alias("k2"))
     place = F.col("id").cast("decimal(20,0)") * PLACES + F.col("place")
     # counted map-side by the bytes, so a chunk that a third of the documents have is one row of each task
     by_bytes = parts.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min(place.cast("decimal(32,0)")).alias("first"))
     seen = by_bytes.where(F.col("n") > 1).select(*key, "first").groupBy("k1", "k2").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts"))
     seen = written(seen.where(F.col("texts") == 1).drop("texts"), "repeated-chunks")
-    occurrences = parts.select("id", F.col("place"), place.cast("decimal(32,0)").alias("at"), *key)
+    occurrences = parts.select("id", "digest", F.col("place"), place.cast("decimal(32,0)").alias("at"), *key)
     gone = occurrences.join(seen, ["k1", "k2"]).where(F.col("at") != F.col("first"))
-    return gone.groupBy("id").agg(F.collect_set("place").alias("places"))
+    return gone.groupBy("id", "digest").agg(F.collect_set("place").alias("places"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean_lines: int = MEAN_LINES, least_lines: int = LEAST_LINES) -> DataFrame:
     """One row per input row: id, text without the repeated chunks, n_lines, n_removed (lines).
 
-    Lines end at a line feed; null and empty texts are one empty line. Rows that share an id count as one document;
-    rows without an id are neither counted nor changed. Ties of place cannot occur otherwise. Other columns are left
+    Lines end at a line feed; null and empty texts are one empty line. Equal rows are at the same place, so none of them
+    loses what is first there; of several texts of one id each loses its own repeats. Rows without an id are neither counted nor changed. Ties of place cannot occur otherwise. Other columns are left
     out; an empty table gives an empty result.
     """
-    places = repeated_places(docs, id_col, chunks_of(F.col(text_col), mean_lines), least_lines)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(places, "id", "left")
+    places = repeated_places(docs, id_col, text_col, chunks_of(F.col(text_col), mean_lines), least_lines)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), digest_of(F.col(text_col)).alias("digest")).join(places, ["id", "digest"], "left")
 
     def kept(chunks: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.coalesce("places", F.array().cast("array<int>")))
@@ -118,8 +122,8 @@ def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     earlier place of the table, by document id and line; whatever the lines around it, no run that occurred before is
     missed, and of every line that goes an equal one stays. Otherwise like ``without_repeats``.
     """
-    places = repeated_places(docs, id_col, pairs_of(F.col(text_col)), 2)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), lines_of(F.col(text_col)).alias("lines")).join(places, "id", "left")
+    places = repeated_places(docs, id_col, text_col, pairs_of(F.col(text_col)), 2)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), lines_of(F.col(text_col)).alias("lines"), digest_of(F.col(text_col)).alias("digest")).join(places, ["id", "digest"], "left")
     gone = F.coalesce(F.array_union("places", F.transform("places", lambda i: i + 1)), F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
     rows = rows.select("id", "lines", left.alias("left"))

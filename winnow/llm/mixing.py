@@ -70,22 +70,27 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return leaves.select(*names, "tokens").join(given, names)
 
 
-def copies(docs: DataFrame, mix: Mix, id_col: str = "doc_id") -> DataFrame:
-    """One row per input row: id, the level columns, tokens, budget (of its leaf) and copies, the times it is taken.
+def _levels(mix: Mix) -> list[Column]:
+    return [F.coalesce(F.expr(e).cast("string"), F.lit("")) for _, e in mix.levels]
 
-    A null text has no tokens; a null level value counts as an empty string. Rows without an id are ordered like the
-    empty id; ties (repeated ids) enter a pass together, last ones out together. Rows without tokens go with the pass
-    their place is in. An empty table gives an empty result.
-    """
+
+def _order(mix: Mix, passes: str, id_: Column, tie: Column | None) -> Column:
+    order = F.md5(F.concat(F.lit(f"{mix.seed}:"), passes, F.lit(":"), F.coalesce(id_.cast("string"), F.lit(""))))
+    return order if tie is None else F.concat(order, F.coalesce(tie, F.lit("")))
+
+
+def _placed(docs: DataFrame, mix: Mix, id_col: str, tie: str | None) -> DataFrame:
+    """One row per input row: id, the level columns, tokens, budget and passes of its leaf, order, extra (1: in the prefix)."""
     names = mix.names
-    levels = [F.coalesce(F.expr(e).cast("string"), F.lit("")).alias(n) for n, e in mix.levels]
-    rows = written(docs.select(F.col(id_col).alias("id"), F.coalesce(F.expr(mix.tokens), F.lit(0)).cast("long").alias("tokens"), *levels), "sized")
+    levels = [e.alias(n) for n, e in zip(names, _levels(mix), strict=True)]
+    ties = [F.expr(tie).cast("string").alias("tie")] if tie else []
+    rows = written(docs.select(F.col(id_col).alias("id"), F.coalesce(F.expr(mix.tokens), F.lit(0)).cast("long").alias("tokens"), *levels, *ties), "sized")
     leaves = budgets(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), mix)
     passes = F.when(F.col("leaf_tokens") > 0, F.expr("budget div leaf_tokens")).otherwise(0)
     plan = leaves.withColumnRenamed("tokens", "leaf_tokens").withColumn("passes", passes.cast("long"))
     plan = plan.withColumn("left", F.col("budget") - F.col("passes") * F.col("leaf_tokens"))
     rows = rows.join(plan, names)
-    rows = rows.withColumn("order", F.md5(F.concat(F.lit(f"{mix.seed}:"), "passes", F.lit(":"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
+    rows = rows.withColumn("order", _order(mix, "passes", F.col("id"), F.col("tie") if tie else None))
     rows = rows.withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS))
     # first where each bucket of a leaf's pass begins, then the order within the one bucket the prefix ends in
     held = rows.groupBy(*names, "bucket").agg(F.sum("tokens").alias("bucket_tokens"))
@@ -96,17 +101,39 @@ def copies(docs: DataFrame, mix: Mix, id_col: str = "doc_id") -> DataFrame:
     upto = Window.partitionBy(*names, "bucket").orderBy("order").rangeBetween(Window.unboundedPreceding, 0)
     inside = rows.where(cut).withColumn("extra", (F.col("before") + F.sum("tokens").over(upto) <= F.col("left")).cast("long"))
     whole = rows.where(~cut).withColumn("extra", (F.col("before") + F.col("bucket_tokens") <= F.col("left")).cast("long"))
+    return inside.unionByName(whole)
+
+
+def copies(docs: DataFrame, mix: Mix, id_col: str = "doc_id", tie: str | None = None) -> DataFrame:
+    """One row per input row: id, the level columns, tokens, budget (of its leaf) and copies, the times it is taken.
+
+    A null text has no tokens; a null level value counts as an empty string. Rows without an id are ordered like the
+    empty id; ties (repeated ids, within which ``tie``, an expression, may give an order) enter a pass together, last
+    ones out together. Rows without tokens go with the pass their place is in. An empty table gives an empty result.
+    """
     taken = F.when(F.col("budget") > 0, F.col("passes") + F.col("extra")).otherwise(0).cast("long")
-    return inside.unionByName(whole).select(F.col("id").alias(id_col), *names, "tokens", "budget", taken.alias("copies"))
+    return _placed(docs, mix, id_col, tie).select(F.col("id").alias(id_col), *mix.names, "tokens", "budget", taken.alias("copies"))
 
 
-def mixed(docs: DataFrame, mix: Mix, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, each as often as it is taken. Ids must be unique and not null."""
-    taken = copies(docs, mix, id_col).where("copies > 0").select(F.col(id_col).alias("_id"), F.col("copies").alias("_copies"))
-    chosen = docs.join(taken, docs[id_col] == taken["_id"]).drop("_id")
+def mixed(docs: DataFrame, mix: Mix, id_col: str = "doc_id", tie: str | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as ``copies`` says, at most ``max_epochs`` times.
+
+    Ids may repeat or be null: no row is looked up by its id. Per leaf, the order of the last row that is taken once
+    more decides about each row where it lies.
+    """
+    names = mix.names
+    leaf = [F.col(n).alias(f"_mix_{i}") for i, n in enumerate(names)]
+    cuts = _placed(docs, mix, id_col, tie).where("budget > 0").groupBy(*names).agg(F.max("passes").alias("_mix_passes"), F.max(F.when(F.col("extra") == 1, F.col("order"))).alias("_mix_last"))
+    cuts = written(cuts.where("_mix_passes > 0 or _mix_last is not null").select(*leaf, "_mix_passes", "_mix_last"), "cuts")
+    at = [e.alias(f"_mix_{i}") for i, e in enumerate(_levels(mix))]
+    ties = [F.expr(tie).cast("string").alias("_mix_tie")] if tie else []
+    rows = docs.select("*", *at, *ties).join(cuts, [f"_mix_{i}" for i in range(len(names))])
+    order = _order(mix, "_mix_passes", F.col(id_col), F.col("_mix_tie") if tie else None)
+    taken = F.col("_mix_passes") + F.coalesce((order <= F.col("_mix_last")).cast("long"), F.lit(0))
+    rows = rows.withColumn("_mix_copies", F.least(taken, F.lit(mix.max_epochs)).cast("int")).where("_mix_copies > 0")
     if mix.max_epochs > 1:
-        chosen = chosen.withColumn("_copies", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
-    return chosen.drop("_copies")
+        rows = rows.withColumn("_mix_copies", F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies"))))
+    return rows.select(*docs.columns)
 
 
 def copies_sql(mix: Mix, table: str = "documents", id_col: str = "doc_id", levels: tuple[str, ...] = (), tokens: str = "") -> str:

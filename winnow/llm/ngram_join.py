@@ -644,7 +644,23 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row whose id is its name, and all rows without an id."""
+    """The rows of ``docs`` that stay: of each component the row whose id is its name, and all rows without an id.
+
+    If an id occurs more than once, its rows are told apart: each is linked by its own text, and of those that share
+    a component's least id one stays, by the digest of the text.
+    """
+    if not docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        return _keep_one_row(docs, k, num, den, id_col, text_col)
     found = linked_components(docs, k, num, den, id_col, text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+
+
+def _keep_one_row(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """``keep_one`` on rows that are numbered once, as the names of components do not tell rows of one id apart."""
+    rows = written(docs.withColumn("_row", F.when(F.col(id_col).isNotNull(), F.monotonically_increasing_id())), "numbered", batch_rows=BATCH_ROWS)
+    found = linked_components(rows, k, num, den, "_row", text_col).where(F.col("_row").isNotNull()).select("_row", "component_id")
+    keys = rows.select("_row", F.struct(F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))), F.col("_row").alias("row")).alias("key"))
+    stays = found.join(keys, "_row").groupBy("component_id").agg(F.min("key")["row"].alias("_row")).select("_row")
+    kept = rows.where(F.col("_row").isNotNull()).join(stays, "_row", "left_semi")
+    return kept.unionByName(rows.where(F.col("_row").isNull())).drop("_row")
