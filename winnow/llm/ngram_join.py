@@ -304,8 +304,9 @@ class Block:
         if not len(i):
             return rows[i], others[j], i
         off = off[i, j]
-        # an equal number of other shingles makes a difference of at least two
-        apart = np.where(self.sums[rows[i]] != self.sums[others[j]], np.where(off == 0, 2, off), 0).sum(axis=1)
+        # an equal number of other shingles makes a difference of at least two; clamped counts may differ by one
+        least = np.where(self.counts[rows[i]] < MOST_COUNT, 2, 1)
+        apart = np.where(self.sums[rows[i]] != self.sums[others[j]], np.where(off == 0, least, off), 0).sum(axis=1)
         near = apart <= most[i, j]
         return rows[i[near]], others[j[near]], apart[near]
 
