@@ -78,17 +78,17 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     )
 
 
-def discrete_histogram(df: DataFrame, col: str, beyond: int = 5, longest: int = 100_000) -> DataFrame:
+def discrete_histogram(df: DataFrame, col: str, beyond: int = 5) -> DataFrame:
     """Counts of the whole numbers that occur; from 0 to max + ``beyond`` the others are listed with 0.
 
-    Fractions, NaN and missing values are left out. Zeros are filled in up to ``longest`` values; beyond that, and
-    below 0, only values that occur are listed, so one huge value does not blow up the result.
+    Fractions, NaN and missing values are left out; below 0 only values that occur are listed. The values are made in
+    parallel, as many as the largest one says.
     """
     x = number(col)
     whole = df.filter((x == F.floor(x)) & (F.abs(x) < 2.0**62)).groupBy(x.cast("long").alias("value"))
     counts = whole.agg(F.count(F.lit(1)).alias("count"))
-    top = counts.agg(F.least(F.max("value") + beyond, F.lit(longest)).alias("top")).filter("top >= 0")
-    domain = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("top"))).alias("value"))
+    top = counts.agg(F.max("value")).first()[0]
+    domain = df.sparkSession.range(0 if top is None else max(0, top + beyond + 1)).withColumnRenamed("id", "value")
     return domain.join(counts, "value", "full_outer").select("value", F.coalesce("count", F.lit(0)).alias("count"))
 
 
