@@ -152,15 +152,33 @@ def family_of(lang: str) -> str:
     return FAMILY_OF.get(lang, lang)
 
 
+def quota_of(counts: list[int], total: int) -> float:
+    """The most rows of each language, so that all together are at most ``total``."""
+    left = total
+    for taken, n in enumerate(sorted(counts)):
+        if n * (len(counts) - taken) > left:
+            return left / (len(counts) - taken)
+        left -= n
+    return float(total)
+
+
 def fit(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, order_col: str = "doc_id") -> Model | None:
     """Learn from about ``sample_rows`` of the ``usable`` rows with text and language, chosen by a hash of their id.
 
+    Languages are counted first and share the rows equally; what a rare one cannot use goes to the others, so none is
+    left out. Of more than ``sample_rows`` languages the most frequent ones are taken.
     Tasks turn the texts of the sample into trigram counts; only these reach the driver. None if there is nothing to
     learn from.
     """
     rows = docs.where(usable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    share = min(1.0, sample_rows / max(1, rows.count()))
-    rows = rows.where(F.pmod(F.xxhash64(order_col, F.lit(5)), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
+    name = F.col(lang_col).cast("string")
+    counts = rows.groupBy(name.alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample_rows).collect()
+    if not counts:
+        return None
+    quota = quota_of([r.n for r in counts], sample_rows)
+    # a language's share in 2^31 parts; at least one row in expectation
+    parts = [F.lit(x) for r in counts for x in (r.lang, int(np.ceil(min(1.0, quota / r.n) * (1 << 31))))]
+    rows = rows.where(F.pmod(F.xxhash64(order_col, F.lit(5)), F.lit(1 << 31)) < F.element_at(F.create_map(*parts), name))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
