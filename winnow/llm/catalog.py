@@ -16,6 +16,7 @@ from winnow.llm.ngram_join import linked_components
 from winnow.llm.secret_scan import find_secrets
 from winnow.llm.token_counts import histogram, lengths, suffix_sums
 from winnow.llm.topk_search import top_k
+from winnow.llm.whitening import fit as fit_whitening, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +127,12 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from n window w as (partition by t)
 """
 
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors, fit_whitening(vectors))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_topk": op2_exact_topk,
@@ -137,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
+    "op12_whitening": op12_whitening,
 }
 SQL: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
