@@ -14,6 +14,7 @@ from winnow.llm.line_dedup import without_repeats
 from winnow.llm.mixing import Mix, copies, copies_sql
 from winnow.llm.ngram_join import linked_components
 from winnow.llm.secret_scan import find_secrets
+from winnow.llm.suffix_dedup import without_repeated_strings
 from winnow.llm.token_counts import histogram, lengths, suffix_sums
 from winnow.llm.topk_search import top_k
 from winnow.llm.whitening import fit as fit_whitening, whiten
@@ -133,6 +134,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(vectors, fit_whitening(vectors))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_topk": op2_exact_topk,
@@ -145,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
     "op12_whitening": op12_whitening,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 SQL: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
