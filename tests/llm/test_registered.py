@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_exact_dedup": {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
     "op9_secret_scan": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
     "op10_quality": {"doc_id", "held_out", "score", "predicted"},
+    "op11_token_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
+    "op12_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
+    "op13_suffix_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
 }
 
 
@@ -29,7 +32,7 @@ def duck():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 

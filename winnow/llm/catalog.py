@@ -15,6 +15,7 @@ from winnow.llm.mixing import Mix, copies, copies_sql
 from winnow.llm.ngram_join import linked_components
 from winnow.llm.secret_scan import find_secrets
 from winnow.llm.suffix_dedup import without_repeated_strings
+from winnow.llm.token_alignment import alignment_counts
 from winnow.llm.token_counts import histogram, lengths, suffix_sums
 from winnow.llm.topk_search import top_k
 from winnow.llm.whitening import fit as fit_whitening, whiten
@@ -129,6 +130,11 @@ from n window w as (partition by t)
 """
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whiten(vectors, fit_whitening(vectors))
@@ -151,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
+    "op11_token_alignment": op11_token_alignment,
     "op12_whitening": op12_whitening,
     "op13_suffix_dedup": op13_suffix_dedup,
 }
