@@ -3,12 +3,13 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from hypothesis import given, settings, strategies as st
 from llm_cases import SF
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from winnow.llm.catalog import op11_token_alignment
-from winnow.llm.token_alignment import align, alignment_counts, squeezed, texts_in_batches, unsqueezed
+from winnow.llm.token_alignment import Side, align, alignment_counts, same_as_ranks, squeezed, texts_in_batches, unsqueezed
 
 A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 CASES = [
@@ -73,12 +74,32 @@ def taken(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("block", [16 << 20, 300])
-def test_counts_against_brute_force(spark, awkward, sides, block):
+QUICK, WHOLE = Side(A_PATH, public_tokenizers.PATTERN), Side(A_PATH)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("ab'sévß \n\t\r.,<|>_17ÿ\xa0\x1c­½é漢"), max_size=30))
+def test_words_are_cut_as_the_tokenizer_cuts_them(text):
+    assert QUICK.encode([text]) == WHOLE.encode([text])
+
+
+def test_every_settled_character():
+    assert same_as_ranks(A_PATH) and QUICK.encode is not WHOLE.encode
+    texts = [f"{c}{c} a{c}b {c}'s 1{c}{c}  {c}\n{c}" for c in map(chr, range(1, 0x180))] + ["", " ", "  ", "a ", " a  b ", "\n", " \n \n", *CASES]
+    assert QUICK.encode(texts) == WHOLE.encode(texts)
+
+
+def test_every_document(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text]
+    assert QUICK.encode(texts) == WHOLE.encode(texts)
+
+
+@pytest.mark.parametrize(("block", "pattern"), [(8 << 20, None), (300, public_tokenizers.PATTERN)])
+def test_counts_against_brute_force(spark, awkward, sides, block, pattern):
     rows = [(r.doc_id, r.text) for r in awkward.collect()] + [(100 + i, t) for i, t in enumerate(CASES)]
     rows += [(500 + i, "one very common text, many times") for i in range(60)]
     df = spark.createDataFrame([(i, t, "x", 3) for i, t in rows], "doc_id long, text string, id string, code int").repartition(4)
-    assert taken(alignment_counts(df, A_PATH, B_PATH, block_bytes=block)) == brute(sides, rows)[0]
+    assert taken(alignment_counts(df, A_PATH, B_PATH, pattern, block_bytes=block)) == brute(sides, rows)[0]
 
 
 def test_the_alignment_itself(spark, sides):
@@ -95,7 +116,7 @@ def test_the_alignment_itself(spark, sides):
 def test_very_long_texts(spark, sides):
     rows = [(1, "and" * 60_000), (2, "some words of prose, " * 20_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for r in align(df, A_PATH, B_PATH).collect():
+    for r in align(df, A_PATH, B_PATH, public_tokenizers.PATTERN).collect():
         x, y = sides[0].encode(" " + rows[r.doc_id - 1][1], add_special_tokens=False).ids, sides[1].encode(rows[r.doc_id - 1][1])
         assert r.tokens_a == x and r.tokens_b == y
         n = r.groups.count(";") + 1

@@ -132,7 +132,7 @@ from n window w as (partition by t)
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return alignment_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,46 +9,77 @@ counts come from an ordinary aggregation, and each block gets the counts of just
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from winnow.llm.storage import written
 
-BATCH_BYTES = 1 << 20
-BLOCK_BYTES = 16 << 20
+BATCH_BYTES = 1 << 19
+BLOCK_BYTES = 8 << 20
 BATCH_ROWS = 2000
 
 
+# Characters whose classes no Unicode version changes: on these alone both libraries cut words alike.
+SETTLED = regex.compile(r"[\t\n\x20-\x7e\u00a1-\u00ac\u00ae-\u017f]*")
+
+
+def same_as_ranks(path: str) -> bool:
+    """Whether a byte-level vocabulary is one of plain ranks: merges in the order of the ids they give, nothing before."""
+    with open(path, encoding="utf-8") as file:
+        read = json.load(file)
+    vocab, merges = read["model"]["vocab"], read["model"]["merges"]
+    given = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    cut = read["pre_tokenizer"] or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and read["normalizer"] is None
+    return bool(plain) and all(a < b for a, b in zip(given[:-1], given[1:], strict=True))
+
+
 class Side:
     """One tokenizer in a Python worker: ids per text and the bytes of every id."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, pattern: str | None = None):
         if path.endswith(".json"):
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             model = Tokenizer.from_file(path)
             model.encode_special_tokens = True
-            self.encode = lambda texts: [e.ids for e in model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
             byte = byte_of_letter()
             specials = {i: t.content.encode() for i, t in model.get_added_tokens_decoder().items()}
-            size = model.get_vocab_size()
-            self.bytes = [specials[i] if i in specials else bytes(byte[c] for c in model.id_to_token(i) or "") for i in range(size)]
+            self.bytes = [specials[i] if i in specials else bytes(byte[c] for c in model.id_to_token(i) or "") for i in range(model.get_vocab_size())]
+
+            def whole(texts: list[str]) -> list[list[int]]:
+                return [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+            if pattern and same_as_ranks(path):  # four times as fast, for texts of settled characters
+                ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={b: i for i, b in enumerate(self.bytes) if i not in specials}, special_tokens={})
+
+                def spaced(texts: list[str]) -> list[list[int]]:
+                    plain = [SETTLED.fullmatch(t) is not None for t in texts]
+                    rest = iter(whole([" " + t for t, p in zip(texts, plain, strict=True) if not p]))
+                    return [ranks.encode_ordinary(" " + t) if p else next(rest) for t, p in zip(texts, plain, strict=True)]
+
+                self.encode = spaced
+            else:
+                self.encode = lambda texts: whole([" " + t for t in texts])
         else:
             from sentencepiece import SentencePieceProcessor
 
             model = SentencePieceProcessor(model_file=path)
-            self.encode = lambda texts: model.encode(texts, num_threads=1)
-            pieces = ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))
-            self.bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+            pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+            self.bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+            self.encode = lambda texts: model.encode(texts, num_threads=1)  # it adds the space itself
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
         self.digits = np.array([str(i).encode() for i in range(len(self.bytes))])
 
@@ -62,8 +93,8 @@ def byte_of_letter() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def side_of(path: str) -> Side:
-    return Side(path)
+def side_of(path: str, pattern: str | None = None) -> Side:
+    return Side(path, pattern)
 
 
 class Aligned:
@@ -120,7 +151,7 @@ class Aligned:
 def laid_out(ids: list[list[int]], side: Side) -> tuple[np.ndarray, ...]:
     """All ids, tokens per text, byte offsets (texts one after the other) and the text of each token."""
     n = np.array([len(x) for x in ids], np.int64)
-    flat = np.array([t for x in ids for t in x], np.int64)
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
     ends = np.cumsum(side.sizes[flat])
     return flat, n, ends - side.sizes[flat], ends, np.repeat(np.arange(len(ids)), n)
 
@@ -137,9 +168,9 @@ def texts_in_batches(texts: list[str | None], most: int = BATCH_BYTES) -> Iterat
         yield slice(lo, len(texts))
 
 
-def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(docs: DataFrame, byte_path: str, piece_path: str, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The alignment itself, per row: id, tokens_a, tokens_b (ids), links (places of an A and a B token whose bytes
-    overlap), groups (`a1,a2|b1;a3|b2,b3`).
+    overlap), groups (`a1,a2|b1;a3|b2,b3`). ``pattern`` is how the byte-level side cuts words; it only saves time.
 
     Null and empty texts, and texts that one side doesn't spell out byte by byte, have no tokens. Repeated rows come
     out as they come in; other columns are not looked at. An empty table gives an empty result.
@@ -147,7 +178,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = side_of(byte_path), side_of(piece_path)
+        a, b = side_of(byte_path, pattern), side_of(piece_path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for s in texts_in_batches(texts):
@@ -178,13 +209,13 @@ class BlockOfTexts:
         self.ids += ids
         self.digests += [hashlib.sha256(g).hexdigest() if g else "" for g in found.groups()]
         self.counted.append(np.array([found.n_a, found.n_b, found.n_groups, found.n_links]))
-        codes = found.pairs()
-        order = np.lexsort((codes, found.link_doc))
-        codes, doc = codes[order], found.link_doc[order]
-        first = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (doc[1:] != doc[:-1]))) if codes.size else np.zeros(0, np.int64)
-        self.codes.append(codes[first])
-        self.times.append(np.diff(np.append(first, codes.size)))
-        self.distinct.append(np.bincount(doc[first], minlength=len(ids)))
+        a, b = found.sides
+        space = len(a.bytes) * len(b.bytes)  # a batch has few texts, so text and pair fit one number
+        pairs = np.sort(found.link_doc * space + found.pairs())
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if pairs.size else np.zeros(0, np.int64)
+        self.codes.append(pairs[first] % space)
+        self.times.append(np.diff(np.append(first, pairs.size)))
+        self.distinct.append(np.bincount(pairs[first] // space, minlength=len(ids)))
 
     def row(self, block: int) -> pa.RecordBatch:
         """Pairs of the block by falling count; texts hold places in that list, so that frequent pairs are short."""
@@ -220,7 +251,9 @@ def unsqueezed(held: bytes) -> list[np.ndarray]:
     return out
 
 
-def alignment_counts(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def alignment_counts(
+    docs: DataFrame, byte_path: str, piece_path: str, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Per row: id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 ('' without tokens).
 
     A pair's count is the number of links of all texts that hold it; n_best counts the links whose pair has the
@@ -228,7 +261,7 @@ def alignment_counts(docs: DataFrame, byte_path: str, piece_path: str, id_col: s
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = side_of(byte_path), side_of(piece_path)
+        a, b = side_of(byte_path, pattern), side_of(piece_path)
         task = TaskContext.get()
         block, number = BlockOfTexts(), (task.partitionId() if task else 0) << 32
         for batch in batches:
