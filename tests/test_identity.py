@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from winnow.operators import identity, ranks
@@ -84,3 +86,32 @@ def test_columns(spark):
     wide = named.withColumn("a", F.lit(1)).withColumn("z_pass", F.lit(True))
     assert identity.order_columns(wide, ["smiles", "model_name"]).columns == ["smiles", "model_name", "a", "b", "b_pass", "z_pass"]
     assert not identity.has_many_groups(named, "model_name")
+
+
+@pytest.mark.parametrize("margins", [(3.0, 12.0), (-4.0, -2.0), ()])
+def test_sample_is_cut_below_a_threshold(spark, rows, margins, monkeypatch):
+    import hashlib
+
+    data = [(g, i, "x") for g, n in (("a", 900), ("b", 40), (None, 300), ("c", 3)) for i in range(n)]
+    data = [(g, 10_000 * k + i, x) for k, (g, i, x) in enumerate(data)]
+    df = spark.createDataFrame(data, "g string, id long, available string").repartition(4)
+    sample, short = identity.sample_per_group(df, ["g"], "id", 30, seed=5, margins=margins)
+    want = []
+    for g in ("a", "b", None, "c"):
+        own = sorted((hashlib.md5(f"5:{i}".encode()).hexdigest(), i) for h, i, _ in data if h == g)
+        want += [(g, i, "x") for _, i in own[:30]]
+    assert rows(sample) == sorted(want, key=repr)
+    assert rows(short) == [("c", 30, 3)]
+    everywhere, _ = identity.sample_per_group(df, [], "id", 100, seed=5, margins=margins)
+    own = sorted((hashlib.md5(f"5:{i}".encode()).hexdigest(), i, g) for g, i, _ in data)
+    assert rows(everywhere) == sorted(((g, i, "x") for _, i, g in own[:100]), key=repr)
+
+
+def test_sample_shuffles_little_more_than_it_takes(spark, monkeypatch):
+    taken = []
+    plain = identity.written
+    monkeypatch.setattr(identity, "written", lambda d, name: taken.append((name, t := plain(d, name))) or t)
+    df = spark.range(200_000).selectExpr("id", "id % 3 as g")
+    sample, _ = identity.sample_per_group(df, ["g"], "id", 2_000)
+    assert sample.count() == 6_000
+    assert sum(t.count() for name, t in taken if name == "sample") < 1.2 * 6_000

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from winnow.operators.ranks import IN_TASK_ROWS, row_numbers
-from winnow.session import small_or_same
+from winnow.session import small_or_same, written
 
 # The index format and the group name used when none is given.
 INDEX_PREFIX = "LP"
@@ -15,6 +16,9 @@ GROUP_WIDTH = 4
 COUNTER_WIDTH = 5
 DEFAULT_GROUP = "single"
 
+# Of sampling: standard deviations by which the first and the second cut lie above the expected one.
+MARGINS = (3.0, 12.0)
+
 # Up to this many rows per group Spark trims each input partition before the shuffle.
 SMALL_N = 1000
 
@@ -132,11 +136,15 @@ def head_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n:
 
 
 def sample_per_group(
-    df: DataFrame, group: Sequence[str], row_id: str, n: int | None, seed: int = 42
+    df: DataFrame, group: Sequence[str], row_id: str, n: int | None, seed: int = 42, margins: Sequence[float] = MARGINS
 ) -> tuple[DataFrame, DataFrame]:
     """Exactly n rows per group, the same ones for the same seed, and the groups that have fewer.
 
-    The shortage table is (group..., requested, available); n None keeps everything.
+    The n rows of a group are those with the smallest tags, a hash of the row id. The groups are counted first; as tags
+    are spread evenly, the n smallest of N lie below n / N of the range plus a margin of so many standard deviations, so
+    only rows below that are shuffled, and the exact n are cut from these. A group that comes out short is taken again
+    with the next margin, and as a whole after the last. The shortage table is (group..., requested, available); n None
+    keeps everything. Missing group keys are a group.
     """
     keys = [F.col(c) for c in group]
     wanted = F.lit(n).cast("long")
@@ -147,4 +155,23 @@ def sample_per_group(
         return df, short
     tag = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
     tagged = df.withColumn("__tag", tag)
-    return head_per_group(tagged, group, ["__tag", row_id], n).drop("__tag"), short
+    # a structure is never null itself, so missing keys match each other
+    tagged = df.withColumns({"__tag": tag, "__group": F.struct(*keys) if group else F.struct(F.lit(0))})
+    left = small_or_same(tagged.groupBy(F.col("__group").alias("__key")).agg(F.count(F.lit(1)).alias("__available")), "group-counts")
+    parts = []
+    for margin in (*margins, None):
+        share = F.lit(1.0) if margin is None else (n + margin * n**0.5 + margin) / F.col("__available")
+        # the first eight of a tag's digits, as a number
+        below = F.conv(F.substring("__tag", 1, 8), 16, 10).cast("long") < share * 2.0**32
+        near = tagged.join(left, F.col("__group") == F.col("__key")).filter(below).select(*df.columns, "__tag", "__group")
+        near = written(near, "sample")
+        got = near.groupBy("__group").agg(F.count(F.lit(1)).alias("got"))
+        lacking = left.join(got, F.col("__group") == F.col("__key"), "left").filter(F.coalesce("got", F.lit(0)) < F.least(wanted, "__available"))
+        lacking = written(lacking.select("__key", "__available"), "lacking")
+        if lacking.isEmpty():
+            parts.append(near)
+            break
+        parts.append(near.join(lacking, F.col("__group") == F.col("__key"), "left_anti"))
+        left = small_or_same(lacking, "lacking-groups")
+    found = reduce(DataFrame.unionByName, parts).drop("__group")
+    return row_numbers(found, group, ["__tag", row_id], "__rn").filter(F.col("__rn") <= n).drop("__rn", "__tag"), short
