@@ -7,7 +7,8 @@ from winnow.operators import best, fragments, stats
 from winnow.operators.plugins import filter_named, register, with_calculator, with_model_score
 from winnow.plans import report
 from winnow.plans.cascade import Cascade, Stage
-from winnow.sources.stages import existing, latest_stage, read_runs
+from winnow.sources import stages
+from winnow.sources.stages import existing, latest_stage, manifest, read_runs, read_stage
 
 
 def test_best_pose(spark, rows):
@@ -129,6 +130,56 @@ def test_cascade_through_the_stage_table(spark, rows, tmp_path):
     assert existing(spark, path, "r3", order) is None
 
 
+def test_an_interrupted_run_is_taken_up_again(spark, rows, tmp_path, monkeypatch):
+    path, made = str(tmp_path / "stages"), []
+
+    def second(df):
+        made.append("second")
+        return df.filter("x > 1")
+
+    def chain(limit=0):
+        return Cascade([Stage("first", F.col("x") > limit), Stage("second", apply=second), Stage("third", F.col("x") < 9)])
+
+    df = spark.createDataFrame([(i, i % 10) for i in range(40)], "id int, x int")
+    plain = stages.commit_stage
+
+    def dies(spark, path, run_id, stage, rank, digest):
+        if stage == "second":
+            raise KeyboardInterrupt  # after the rows of the stage, before its commit
+        plain(spark, path, run_id, stage, rank, digest)
+
+    monkeypatch.setattr("winnow.plans.cascade.commit_stage", dies)
+    with pytest.raises(KeyboardInterrupt):
+        chain().run_to_table(df, path, "r", ["id"])
+    order = ["input", "first", "second", "third"]
+    # rows of the second stage lie there, but no reader sees them
+    assert read_stage(spark, path, "r", "second").count() == 32
+    assert existing(spark, path, "r", order).count() == 36
+    assert rows(read_runs(spark, path).select("stage").distinct()) == [("first",), ("input",)]
+    monkeypatch.setattr("winnow.plans.cascade.commit_stage", plain)
+    written = []
+    keep = stages.write_stage
+    monkeypatch.setattr("winnow.plans.cascade.write_stage", lambda d, p, r, s, k, o: written.append((s, o)) or keep(d, p, r, s, k, o))
+    out = chain().run_to_table(df, path, "r", ["id"], resume=True)
+    assert written == [("second", "survivor"), ("second", "failed"), ("third", "survivor"), ("third", "failed")]
+    assert rows(out, "id") == rows(chain().survivors(df), "id")
+    done = manifest(spark, path)
+    assert rows(done, "stage", "stage_rank", "rows", "failed_rows") == [("first", 1, 36, 4), ("input", 0, 40, 0), ("second", 2, 32, 4), ("third", 3, 28, 4)]
+    written.clear()
+    chain().run_to_table(df, path, "r", ["id"], resume=True)
+    assert written == []
+    # another condition makes its stage and all later ones anew; another input everything
+    chain(limit=2).run_to_table(df, path, "r", ["id"], resume=True)
+    assert [s for s, o in written if o == "survivor"] == ["first", "second", "third"]
+    written.clear()
+    chain(limit=2).run_to_table(df, path, "r", ["id"], resume=True, input_version="2")
+    assert [s for s, o in written if o == "survivor"] == ["input", "first", "second", "third"]
+    # a stage that is written again is not seen until it is committed
+    keep(df, path, "r", "third", 3, "survivor")
+    assert existing(spark, path, "r", order).count() == read_stage(spark, path, "r", "second").count()
+    assert manifest(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_plugins(spark, rows):
     def fragile(state, batch):
         if (batch["x"] == 3).any():

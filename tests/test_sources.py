@@ -31,6 +31,9 @@ def test_atom_tokens(spark):
     assert "Na" in salt[0].symbols and salt[0].heavy_atoms == 5
     assert (salt[1].n_aromatic, salt[1].n_nitrogen) == (5, 1)
     assert (salt[2].heavy_atoms, salt[2].n_fragments) == (0, 0)
+    text = "F[C@@H](Cl)C(Br)(F)[C@](I)([F])N[35Cl]"
+    r = token_profile(spark.createDataFrame([(text,), ("CCO",)], "s string"), "s").collect()
+    assert [(x.n_F, x.n_Cl, x.n_Br, x.n_I, x.n_stereo, x.n_halogen) for x in r] == [(3, 2, 1, 1, 2, 7), (0, 0, 0, 0, 0, 0)]
 
 
 def test_text_preparation(spark, rows):

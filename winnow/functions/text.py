@@ -76,11 +76,17 @@ def _n(arr: Column, pred) -> Column:
     return F.size(F.filter(arr, pred)).cast("long")
 
 
+def _of(elements: Column, symbol: str) -> Column:
+    return _n(elements, lambda s: s == symbol)
+
+
 def token_profile(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
     """Counts that can be read off a line-notation string without interpreting it.
 
-    Adds tokens' element symbols, atom counts, charge and isotope flags, fragments, ring closures
-    and bonds (atoms - fragments + rings).  Bracketed hydrogens are not heavy atoms.
+    Adds tokens' element symbols, atom counts (of each halogen as well), marked stereo centres (atoms
+    with "@"), charge and isotope flags, fragments, ring closures and bonds (atoms - fragments +
+    rings).  Bracketed hydrogens are not heavy atoms.  Centres without a mark can't be told from the
+    text, so ``n_stereo_undefined`` has to come with the table.
     """
     text, p = F.coalesce(F.col(col), F.lit("")), prefix
     parts = df.withColumn("__atoms", atom_tokens(text)).withColumn(
@@ -98,6 +104,8 @@ def token_profile(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
             p + "n_nitrogen": _n(element, lambda s: s == "N"),
             p + "n_sulfur": _n(element, lambda s: s == "S"),
             p + "n_halogen": _n(element, lambda s: s.isin(*HALOGENS)),
+            **{f"{p}n_{e}": _of(element, e) for e in HALOGENS},
+            p + "n_stereo": _n(atoms, lambda a: a.contains("@")),
             p + "n_aromatic": _n(sym, lambda s: s.isin(*AROMATIC)),
             p + "has_charge": F.exists(atoms, lambda a: a.rlike(BRACKET_CHARGE)),
             p + "has_isotope": F.exists(atoms, lambda a: a.rlike(BRACKET_ISOTOPE)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from winnow.functions.numbers import ratio
@@ -13,8 +15,9 @@ from winnow.operators import combine, flags, identity, prep
 from winnow.plans import report
 from winnow.plans.cascade import Cascade, Stage, snapshot
 from winnow.plans.registry import Tables, query
+from winnow.session import shared_folder
 from winnow.sources import records
-from winnow.sources.stages import latest_stage
+from winnow.sources.stages import latest_stage, manifest
 
 PART_BOUNDS = {"p_size": (5, 40), "p_retailprice": (905, None)}
 
@@ -460,6 +463,25 @@ def q_count_gate(t: Tables) -> DataFrame:
     return counts.select("l_orderkey", flags.count_gate({"n_F": 3, "n_Br": 2, "n_Cl": 2}).alias("pass"))
 
 
+@query(
+    "q_element_gate",
+    f"""with a as (select doc_id, list_filter(regexp_extract_all(text, '{TOKEN}'),
+         lambda x: not regexp_matches(x, '^\\[[0-9]*H[0-9+\\-]*\\]$')) as t from documents),
+       s as (select *, list_transform(t, lambda x: case when x[1] <> '[' then x
+         when lower(regexp_extract(x, '^\\[[0-9]*([A-Za-z][a-z]?)', 1)) in ('br','cl','si','se','as','na','li','mg','al',
+           'ca','fe','zn','cu','sn','pt','pd','te','ge') then regexp_extract(x, '^\\[[0-9]*([A-Za-z][a-z]?)', 1)
+         else left(regexp_extract(x, '^\\[[0-9]*([A-Za-z][a-z]?)', 1), 1) end) as y from a),
+       c as (select doc_id, len(list_filter(y, lambda x: lower(x) = 'f'))::bigint as "n_F", len(list_filter(y, lambda x: lower(x) = 'cl'))::bigint as "n_Cl",
+         len(list_filter(y, lambda x: lower(x) = 'br'))::bigint as "n_Br", len(list_filter(t, lambda x: contains(x, '@')))::bigint as n_stereo from s)
+       select *, "n_F" <= 6 and "n_Br" <= 3 and "n_Cl" <= 3 and n_stereo <= 4 as pass from c""",
+)
+def q_element_gate(t: Tables) -> DataFrame:
+    """Halogens and marked stereo centres of a text against the default limits."""
+    limits = flags.HALOGEN_LIMITS | {"n_stereo": flags.STEREO_LIMITS["n_stereo"]}
+    counts = token_profile(t.documents.select("doc_id", "text"), "text").select("doc_id", "n_F", "n_Cl", "n_Br", "n_stereo")
+    return counts.withColumn("pass", flags.count_gate(limits))
+
+
 # --- cascade ------------------------------------------------------------------------------------
 
 STAGES = ("size", "price", "kind")
@@ -566,6 +588,23 @@ def stage_table(t: Tables) -> DataFrame:
     return ranks.withColumn("stage", F.element_at(F.array(*[F.lit(s) for s in ("input", *STAGES)]), F.col("stage_rank") + 1))
 
 
+@query(
+    "q_stage_manifest",
+    f"""with s as ({STAGED_SQL}), n as (select count(*) as n0, count(*) filter (failed_stage = 'size') as f1,
+         count(*) filter (failed_stage = 'price') as f2, count(*) filter (failed_stage = 'kind') as f3 from s)
+       select 'input' as stage, 0 as stage_rank, n0 as rows, 0::bigint as failed_rows from n union all
+       select 'size', 1, n0 - f1, f1 from n union all select 'price', 2, n0 - f1 - f2, f2 from n union all
+       select 'kind', 3, n0 - f1 - f2 - f3, f3 from n""",
+)
+def q_stage_manifest(t: Tables) -> DataFrame:
+    """A run is written stage by stage, taken up again, and its manifest read."""
+    spark = t.part.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/stages-{uuid.uuid4().hex}"
+    cascade().run_to_table(t.part, path, "run-1", ["p_partkey"])
+    cascade().run_to_table(t.part, path, "run-1", ["p_partkey"], resume=True)
+    return manifest(spark, path).select("stage", "stage_rank", "rows", "failed_rows")
+
+
 @query(
     "q_latest_stage",
     f"select p_partkey, 'price' as stage from ({STAGED_SQL}) where failed_stage is null or failed_stage = 'kind'",
