@@ -29,7 +29,7 @@ BLOCK_BYTES = 8 << 20
 HOT_DOCS = 100_000
 STEP = 1 << 17
 MOST_WINDOWS = 64
-PARTS = 64
+PARTS = 16
 NO_ID = np.iinfo(np.int64).max
 UNSET = np.iinfo(np.uint16).max
 
@@ -233,21 +233,28 @@ def send_pieces(block: int, b: Block, length: int, answers: pa.Table) -> pa.Tabl
 
 
 def rotations(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places of the text ordered by the ``depth`` bytes (or more) that follow, read around the end."""
+    """Places of the text ordered by the ``depth`` bytes (or more) that follow, read around the end.
+
+    Eight bytes first, then twice as many in each turn, by the ranks of what follows; only ties are sorted again.
+    """
     n, size = text.size, 8
     around = np.resize(text, n + size)
     key = np.zeros(n, np.uint64)
     for k in range(size):
         key = (key << np.uint64(8)) | around[k : k + n]
+    order, at = np.argsort(key), np.arange(n)  # at: the places in the order that are sorted in this turn
+    rank, key = np.empty(n, np.int64), key[order]
     while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        rank_of = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
-        if size >= depth or rank_of[-1] == n - 1:
+        new = np.append(True, key[1:] != key[:-1])
+        rank[order[at]] = at[np.maximum.accumulate(np.where(new, np.arange(at.size), 0))]
+        tied = ~new | ~np.append(new[1:], True)
+        at = at[tied]
+        if size >= depth or not at.size:
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = rank_of
-        key = rank * n + np.roll(rank, -size)
+        mine = order[at]
+        key = rank[mine] * n + rank[(mine + size) % n]
+        turn = np.argsort(key)
+        order[at], key = mine[turn], key[turn]
         size *= 2
 
 
@@ -261,19 +268,19 @@ def common_prefixes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarra
     n = text.size
     order = rotations(text, least)
     before = text[order - 1]  # the transform; place 0 reads around the end
-    to = np.empty(n, np.int64)
-    to[np.argsort(before, kind="stable")] = np.arange(n)  # where a place stands after one step to the left
+    to = np.empty(n, np.int32)
+    to[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)  # where a place stands after one step to the left
     starts_byte = np.zeros(n + 1, bool)
     starts_byte[np.cumsum(np.bincount(before, minlength=256))] = True
     starts_byte[0] = True
     shared = np.full(n + 1, UNSET, np.uint16)
     shared[0] = shared[n] = 0
-    owner = np.full(n + 2, -1, np.int64)  # of a place, the last interval that was extended to it
-    lo, hi, named = np.array([0]), np.array([n]), 0
+    owner = np.full(n + 2, -1, np.int32)  # of a place, the last interval that was extended to it
+    lo, hi, named = np.array([0], np.int32), np.array([n], np.int32), 0
     for level in range(least):
         sizes = hi - lo
-        who = np.repeat(np.arange(named, named + lo.size), sizes)
-        places = np.arange(who.size) + np.repeat(lo - (np.cumsum(sizes) - sizes), sizes)
+        who = np.repeat(np.arange(named, named + lo.size, dtype=np.int32), sizes)
+        places = np.arange(who.size, dtype=np.int32) + np.repeat(lo - (np.cumsum(sizes, dtype=np.int32) - sizes), sizes)
         named += lo.size
         reached = to[places]
         owner[reached] = who
