@@ -24,7 +24,7 @@ WORD = 64
 # pairs that are compared at once.
 LIST_ROWS = 4096
 MOST_SHARED = 3
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 20_000
 PAIRS_AT_ONCE = 100_000
 # Of greedy coverage: sets of a group that one task decides at once. Rows of a stripe of a comparison.
 FIRST_ROWS = 8192
@@ -59,12 +59,12 @@ def fingerprint_groups(df: DataFrame, row_id: str, bits: str) -> tuple[DataFrame
     representative of every row.  Pairs are computed between representatives only, so a bit set
     with many copies costs as much as one."""
     keyed = df.select(row_id, F.array_sort(F.array_distinct(bits)).alias("bits"))
-    # the digest stands for the bits wherever rows are grouped or joined
-    digests = keyed.select(row_id, F.sha2(F.array_join(F.col("bits").cast("array<string>"), ","), 256).alias("digest"))
-    digests = written(digests, "digests")
-    reps = digests.groupBy("digest").agg(F.min(row_id).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # the digest stands for the bits wherever rows are grouped or joined; bits may be dear, so they are made once
+    digest = F.sha2(F.array_join(F.col("bits").cast("array<string>"), ","), 256)
+    keyed = written(keyed.withColumn("digest", digest), "digests")
+    reps = keyed.groupBy("digest").agg(F.min(row_id).alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = keyed.join(reps.select("rep", "copies"), keyed[row_id] == F.col("rep")).select("rep", "bits", "copies")
-    return sets, digests.join(reps, "digest").select(row_id, "rep")
+    return sets, keyed.select(row_id, "digest").join(reps, "digest").select(row_id, "rep")
 
 
 def similar_pairs(
@@ -386,7 +386,7 @@ def sphere_exclusion(
         return 1.0 - _tanimoto(a, b) <= limit
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__rn")
+        pdf = pdf.sort_values("first")
         words = _stacked(pdf["words"])
         picked, rest = [], np.arange(len(pdf))
         while rest.size:
@@ -404,6 +404,10 @@ def sphere_exclusion(
         return later[[group, "set", "words", "first"]]
 
     while before:
+        if left.groupBy(group).count().agg(F.max("count")).first()[0] <= first_rows:
+            picks.append(left.groupBy(group).applyInPandas(decide, schema).select(group, "set"))
+            before = 0
+            break
         numbered = written(row_numbers(left, [group], ["first"], "__rn"), "numbered")
         now = written(numbered.filter(F.col("__rn") <= first_rows).groupBy(group).applyInPandas(decide, schema), "picks")
         picks.append(now.select(group, "set"))

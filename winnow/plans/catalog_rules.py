@@ -129,19 +129,20 @@ def q_token_rules(t: Tables) -> DataFrame:
 @query(
     "q_rules_large_catalogue",
     """with w as (select item_id, regexp_extract_all(text, '[A-Za-z]+') as w from benchmark),
-       r as (select distinct 'set' || (item_id % 3) as rule_set_name, w[i] || ' ' || w[i + 1] as description, w[i] || '[ ,.]+' || w[i + 1] as pattern
-         from w, unnest(generate_series(1, len(w) - 1)) t(i))
+       r as (select distinct 'set' || (item_id % 3) as rule_set_name, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as description,
+         w[i] || ' ' || w[i + 1] || '[ ,.]+' || w[i + 2] as pattern from w, unnest(generate_series(1, len(w) - 2, 3)) t(i))
        select rule_set_name, description, count(*) as docs from documents d join r on regexp_matches(d.text, r.pattern) group by 1, 2""",
 )
 def q_rules_large_catalogue(t: Tables) -> DataFrame:
-    """Every two words that follow each other in a benchmark item are a regular expression: thousands of rules."""
+    """Benchmark items cut into three words each, every three a regular expression: thousands of rules."""
     w = t.benchmark.select("item_id", F.regexp_extract_all("text", F.lit("([A-Za-z]+)")).alias("w"))
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.struct(F.get("w", i - 1).alias("a"), F.get("w", i).alias("b")))
-    pairs = w.select("item_id", F.explode(pairs).alias("p")).filter("p.b is not null")
-    rules = pairs.select(
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - 3, F.lit(0)), F.lit(3))
+    three = w.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i + 1, 3))).alias("p")).filter(F.size("p") == 3)
+    a, b, c = (F.get("p", F.lit(i)) for i in range(3))
+    rules = three.select(
         F.concat(F.lit("set"), (F.col("item_id") % 3).cast("string")).alias("rule_set_name"),
-        F.concat("p.a", F.lit(" "), "p.b").alias("description"),
-        F.concat("p.a", F.lit("[ ,.]+"), "p.b").alias("smarts"),
+        F.concat_ws(" ", a, b, c).alias("description"),
+        F.concat(a, F.lit(" "), b, F.lit("[ ,.]+"), c).alias("smarts"),
     )
     return match_rule_table(t.documents, "doc_id", "text", rules).groupBy("rule_set_name", "description").agg(F.count(F.lit(1)).alias("docs"))
 

@@ -43,6 +43,18 @@ def q_intdiv(t: Tables) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("int_div1", "int_div2")})
 
 
+@query(
+    "q_intdiv_estimate",
+    f"""with {MASK_SQL}, {PAIR_SQL} select label, count(distinct vec_id) as n, count(distinct vec_id) as pairs, true as holds, true as narrow from p group by 1""",
+)
+def q_intdiv_estimate(t: Tables) -> DataFrame:
+    """The estimate's interval holds the exact value, and is narrow: a pair per row, as no group has 100,000 rows."""
+    exact = fp.int_div(signed(t), "label", "vec_id", "bits", BITS).select(F.col("label").alias("own"), F.col("int_div1").alias("d1"), F.col("int_div2").alias("d2"))
+    found = fp.int_div_estimate(signed(t), "label", "vec_id", "bits", BITS).join(exact, F.col("label") == F.col("own"))
+    holds = (F.abs(F.col("int_div1") - F.col("d1")) <= F.col("error1")) & (F.abs(F.col("int_div2") - F.col("d2")) <= F.col("error2"))
+    return found.select("label", "n", "pairs", holds.alias("holds"), ((F.col("error1") < 0.15) & (F.col("error2") < 0.15)).alias("narrow"))
+
+
 @query(
     "q_sediv",
     f"""with recursive {MASK_SQL}, o as (select label, m, row_number() over (partition by label order by vec_id) as i, count(*) over (partition by label) as n from b),
