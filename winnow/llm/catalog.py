@@ -14,6 +14,7 @@ from winnow.llm.line_dedup import without_repeats
 from winnow.llm.mixing import Mix, copies, copies_sql
 from winnow.llm.ngram_join import linked_components
 from winnow.llm.secret_scan import find_secrets
+from winnow.llm.storage import written
 from winnow.llm.suffix_dedup import without_repeated_strings
 from winnow.llm.token_alignment import alignment_counts
 from winnow.llm.token_counts import histogram, lengths, suffix_sums
@@ -50,7 +51,8 @@ from s qualify rank <= 5
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("text")
-    return suffix_sums(histogram(lengths(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)))
+    counted = histogram(lengths(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    return suffix_sums(written(counted, "histogram"))  # read several times, encoded once
 
 
 # Four domains by the number in the source's name; half of all tokens, at most two passes of any source.
