@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from winnow.llm.storage import written
+from winnow.llm.storage import without, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SUPPORT = 0.002
@@ -59,7 +59,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     marks = groups.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest")).agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
     marks = written(marks.where(~F.col("_kept") | (F.col("_n") > 1)), "marks")
     same = (docs[id_col] == marks["_id"]) & (F.sha2(normalised(docs[text_col]), 256) == marks["_digest"])
-    stay = docs.join(marks, same, "left_anti")
+    stay = without(docs, marks.select("_id", "_digest"), {"_id": docs[id_col], "_digest": F.sha2(normalised(docs[text_col]), 256)}, "_id")
     if marks.where("_kept").isEmpty():
         return stay
     repeats = docs.join(marks.where("_kept"), same)

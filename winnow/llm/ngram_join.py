@@ -15,14 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.llm.components import components
-from winnow.llm.storage import written
+from winnow.llm.storage import scratch, without, written
 from winnow.llm.textkernel import LOWER, flat, mix, shingles, slices, word_hashes, words
 
 FLUSH = 1_000_000  # signatures a task holds before it hands them on
@@ -122,12 +122,12 @@ def packed_point(counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
 
 
 _ROW = pa.schema(
-    [("bucket", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32())]
+    [("bucket", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("need", pa.int32())]
     + [("x", pa.binary()), ("y", pa.binary()), ("z", pa.binary())]
 )
-_ROW_DDL = "bucket int, kind int, id long, node long, n long, band int, x binary, y binary, z binary"
-_OUT = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("sig", pa.int64()), ("point", pa.binary())])
-_OUT_DDL = "kind int, id long, node long, n long, band int, sig long, point binary"
+_ROW_DDL = "bucket int, kind int, id long, node long, n long, band int, need int, x binary, y binary, z binary"
+_OUT = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("need", pa.int32()), ("sig", pa.int64()), ("point", pa.binary())])
+_OUT_DDL = "kind int, id long, node long, n long, band int, need int, sig long, point binary"
 
 
 def _rows(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
@@ -195,7 +195,9 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 rows = np.array(rows)
                 counts, sums = grouped(hashes, bounds, rows, groups)
                 empty = counts == 0
-                used = ~empty | (empty.sum(axis=1) > spare)[:, None]
+                none = empty.sum(axis=1)
+                used = ~empty | (none > spare)[:, None]
+                need = 1 + spare - np.where(none > spare, 0, none)
                 full = mix(sums + mix(np.arange(groups, dtype=np.uint64) + np.uint64(band << 40)))
                 strong = (counts >= STRONG).astype(np.uint64) << np.uint64(BAND_BITS)
                 sig = (full >> np.uint64(BAND_BITS + 1) << np.uint64(BAND_BITS + 1) | strong | np.uint64(band)).view(np.int64)
@@ -203,7 +205,7 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 nodes.append(np.repeat(key[rows], used.sum(axis=1)))
                 held += len(signatures[-1])
                 yield _rows(
-                    _ROW, len(rows), bucket=np.abs(key[rows]) % buckets, kind=np.full(len(rows), POINT), node=key[rows], n=size[rows], band=np.full(len(rows), band),
+                    _ROW, len(rows), bucket=np.abs(key[rows]) % buckets, kind=np.full(len(rows), POINT), node=key[rows], n=size[rows], band=np.full(len(rows), band), need=need,
                     x=[r.tobytes() for r in packed_point(counts, sums)],
                 )
             if held >= FLUSH:
@@ -414,7 +416,7 @@ def _edges(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
 
 
 def _link(rule: Rule, by: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Blocks of (node, label, items) -> verified links that connect what links inside each block."""
+    """Blocks of (node, label, seen, items) -> verified links that connect what links inside each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pieces in _blocks(batches, by):
@@ -422,7 +424,7 @@ def _link(rule: Rule, by: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]
             found: list[tuple[int, int]] = []
             for a, b in _cuts(table, by):
                 node, first = np.unique(table["node"].slice(a, b - a).to_numpy(), return_index=True)
-                label = table["label"].slice(a, b - a).to_numpy()[first]
+                label, seen = (table[c].slice(a, b - a).to_numpy()[first] for c in ("label", "seen"))
                 if len(node) < 2 or (label == label[0]).all():
                     continue
                 items = table["items"].slice(a, b - a).take(pa.array(first)).to_pylist()
@@ -431,7 +433,7 @@ def _link(rule: Rule, by: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]
                 # any number of groups will do here; few shingles a group keep the bounds sharp
                 groups = max(4, int(np.median(n)) // 5)
                 counts, sums = grouped(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), np.arange(len(n)), groups)
-                block = Block(rule, node, n, np.minimum(counts, MOST_COUNT).astype(np.int16), (sums >> np.uint64(48)).astype(np.uint16), label, np.full(len(n), -1))
+                block = Block(rule, node, n, np.minimum(counts, MOST_COUNT).astype(np.int16), (sums >> np.uint64(48)).astype(np.uint16), label, seen)
 
                 def links(i: int, j: int, sets=sets) -> bool:
                     common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -473,11 +475,47 @@ def _pair_cells(own: Column, chunks: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), chunks - 1), lambda other: F.least(own, other) * chunks + F.greatest(own, other))
 
 
+def _first_cells(members: DataFrame, block: str) -> DataFrame:
+    """Members (block, node) with a cell: a block is cut into chunks of bounded size, each with its least member."""
+    size = members.groupBy(block).agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"))
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    own = F.pmod(F.xxhash64("node", block), chunks).cast("int")
+    cells = F.when(F.col("node") == F.col("low"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(own))
+    return members.join(size, block).withColumn("cell", F.explode(cells)).drop("size", "low")
+
+
+def _last_cells(members: DataFrame, block: str) -> DataFrame:
+    """Members (block, node, label, seen) with cells in which all of different labels meet, each pair of them once.
+
+    Members of a large block that have its most common label are connected: they meet the rest only, chunk by chunk, and
+    the rest meets itself. Nothing is sent twice for pairs that are connected already.
+    """
+    major = members.groupBy(block, "label").agg(F.count(F.lit(1)).alias("n_label"))
+    major = major.groupBy(block).agg(F.max_by("label", F.struct("n_label", "label")).alias("major"), F.max("n_label").alias("n_major"), F.sum("n_label").alias("size"))
+    major = major.withColumn("c", F.ceil(F.col("n_major") / CHUNK).cast("int")).withColumn("r", F.ceil((F.col("size") - F.col("n_major")) / CHUNK).cast("int"))
+    own = lambda of: F.pmod(F.xxhash64("node", block), F.greatest(F.lit(1), F.col(of))).cast("int")
+    c, r = F.col("c"), F.col("r")
+    entry = lambda cell, seen: F.struct(cell.cast("int").alias("cell"), seen.cast("long").alias("seen"))
+    whole = F.array(entry(F.lit(0), F.col("seen")))
+    connected = F.transform(F.sequence(F.lit(0), r - 1), lambda x: entry(own("c") * r + x, F.lit(0)))
+    others = F.concat(
+        F.transform(F.sequence(F.lit(0), c - 1), lambda x: entry(x * r + own("r"), F.lit(1))),
+        F.transform(_pair_cells(own("r"), r), lambda x: entry(c * r + x, F.col("seen"))),
+    )
+    cells = F.when(F.col("size") <= CHUNK, whole).when(r < 1, F.array().cast("array<struct<cell:int,seen:bigint>>")).when(F.col("label") == F.col("major"), connected).otherwise(others)
+    out = members.join(major, block).withColumn("met", F.explode(cells))
+    return out.withColumn("cell", F.col("met.cell")).withColumn("seen", F.col("met.seen")).drop("met", "major", "n_major", "size", "c", "r")
+
+
+def _apart(members: DataFrame, block: str) -> DataFrame:
+    """Blocks whose members are not all connected yet."""
+    return members.groupBy(block).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(block)
+
+
 def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
     """Verified links inside the blocks of strong signatures (node, label: the block).
 
-    A large block is cut into chunks of bounded size, each with the block's first member, and what is still apart then
-    meets chunk by chunk.
+    A large block is cut into chunks of bounded size, each with the block's first member; what is still apart then meets.
     """
     size = supers.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int")
@@ -486,50 +524,84 @@ def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
     sized = written(sized, "supers")
     sets = _sets(docs, _node_filter(sized.select("node")), rule.k)
 
-    def compared(rows: DataFrame, cells: Column) -> DataFrame:
-        rows = rows.select("node", "super", "label", F.explode(cells).alias("cell"))
+    def compared(rows: DataFrame) -> DataFrame:
         by = ("super", "cell")
-        rows = sets.join(rows, "node").select(*by, "node", "label", "items").repartition(*by).sortWithinPartitions(*by)
+        rows = sets.join(rows, "node").select(*by, "node", "label", "seen", "items").repartition(*by).sortWithinPartitions(*by)
         return written(rows.mapInArrow(_link(rule, by), "a long, b long"), "links", batch_rows=BATCH_ROWS)
 
     first = F.when(F.col("node") == F.col("super"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))
-    links = compared(sized.withColumn("label", F.col("node")), first)
+    links = compared(sized.select("node", "super", F.col("node").alias("label"), F.lit(-1).cast("long").alias("seen"), F.explode(first).alias("cell")))
     large = sized.where("chunks > 1")
     if large.isEmpty():
         return links
-    large = large.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    apart = large.groupBy("super").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("super")
-    return links.unionByName(compared(large.join(apart, "super"), _pair_cells(F.col("own"), F.col("chunks"))))
+    large = large.join(components(links), "node", "left").select("node", "super", F.coalesce("label", "node").alias("label"), F.lit(-1).cast("long").alias("seen"))
+    large = written(large.join(_apart(large, "super"), "super"), "apart")
+    return links.unionByName(compared(_last_cells(large, "super")))
 
 
-def _candidates(members: DataFrame, points: DataFrame, rule: Rule, labels: DataFrame | None = None, failed: DataFrame | None = None) -> DataFrame:
-    """Pairs (a < b) to verify from the blocks of weak signatures.
+def _weak_members(live: DataFrame, needs: DataFrame) -> DataFrame:
+    """sig, node, seen, band of the sets that can have a partner in the blocks of weak signatures.
 
-    First a forest of each block, large blocks being cut into chunks that share their first member. Then, given what is
-    connected and which pairs failed, all that is left in blocks whose forest failed somewhere or that were cut.
+    Two sets that link without a strong signature in common share at least as many weak ones as the lesser of what both
+    need, so a set that has fewer in blocks of different sets has no partner there. What goes makes other blocks smaller.
     """
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK)).cast("int")
-    own = F.pmod(F.xxhash64("node", "sig"), chunks).cast("int")
-    if labels is None:
-        members = members.withColumn("label", F.col("node"))
-        cells = F.when(F.col("node") == F.col("low"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(own))
-    else:
-        members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # blocks that hold both ends of a failed pair, and cut ones
-        ends = [members.select("sig", F.col("node").alias(c)) for c in "ab"]
-        again = failed.join(ends[0], "a").join(ends[1], ["sig", "b"]).select("sig")
-        again = again.unionByName(members.where(F.col("size") > CHUNK).select("sig")).distinct()
-        apart = members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("sig")
-        again = again.join(apart, "sig")
-        members = members.join(again, "sig")
-        cells = _pair_cells(own, chunks)
-    rows = members.withColumn("cell", F.explode(cells)).join(points, ["node", "band"])
-    rows = rows.select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "point")
+    for _ in range(2):
+        mixed = live.groupBy("sig").agg(F.min("seen").alias("x"), F.max("seen").alias("y")).where("x <> y").select("sig")
+        live = written(live.join(mixed, "sig", "left_semi"), "live")
+        enough = live.groupBy("node", "band").agg(F.count(F.lit(1)).alias("held")).join(needs, ["node", "band"]).where("held >= need")
+        live = written(live.join(enough.select("node", "band"), ["node", "band"], "left_semi"), "live")
+    return live
+
+
+def _compared(members: DataFrame, points: DataFrame, rule: Rule, everything: bool) -> DataFrame:
+    """Pairs (a < b) to verify from members with cells: a forest of each cell, or all that is left in it."""
+    rows = members.join(points, ["node", "band"]).select("sig", F.col("cell").cast("int").alias("cell"), "node", "n", "label", "seen", "point")
     rows = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "node")
-    pairs = rows.mapInArrow(_compare(rule, labels is not None), "a long, b long")
+    pairs = rows.mapInArrow(_compare(rule, everything), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _weak_links(docs: DataFrame, members: DataFrame, points: DataFrame, rule: Rule, links: DataFrame) -> DataFrame:
+    """Verified links that connect what links in the blocks of weak signatures, given the links found before.
+
+    First each set looks only into its largest block, which connects most copies by a pair a set. Then come forests of
+    all blocks that are still apart, cut ones in chunks with one member in common, and last, in blocks that hold a pair
+    that failed or were cut, all that is left.
+    """
+    found: list[DataFrame] = []
+    failed: list[DataFrame] = []
+
+    def verify(pairs: DataFrame) -> None:
+        if failed:
+            pairs = pairs.join(reduce(DataFrame.unionByName, failed), ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        if pairs.isEmpty():
+            return
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        sets = _sets(docs, _node_filter(ends), rule.k).dropDuplicates(["node"])
+        checked = written(_verified(pairs, sets, rule), "checked", batch_rows=BATCH_ROWS)
+        found.append(checked.where("links").select("a", "b"))
+        failed.append(checked.where("not links").select("a", "b"))
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        labels = components(reduce(DataFrame.unionByName, found, links))
+        rows = written(rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+        return written(rows.join(_apart(rows, "sig"), "sig"), "apart")
+
+    largest = members.groupBy("node").agg(F.max(F.struct("size", "sig"))["sig"].alias("sig"))
+    first = labelled(members).join(largest, ["node", "sig"]).drop("size")
+    verify(_compared(_first_cells(first, "sig"), points, rule, False))
+    verify(_compared(_first_cells(labelled(members.drop("size")), "sig"), points, rule, False))
+    again = members.where(F.col("size") > CHUNK).select("sig")
+    if failed:
+        pairs = reduce(DataFrame.unionByName, failed)
+        ends = [members.select("sig", F.col("node").alias(c)) for c in "ab"]
+        again = again.unionByName(pairs.join(ends[0], "a").join(ends[1], ["sig", "b"]).select("sig"))
+    rest = labelled(members.drop("size").join(again.distinct(), "sig"))
+    verify(_compared(_last_cells(rest, "sig"), points, rule, True))
+    return reduce(DataFrame.unionByName, found, links)
+
+
 def _node_filter(nodes: DataFrame) -> np.ndarray:
     """A bitmap of fixed size in which every node is marked; other nodes may be, too."""
     bit = F.pmod(F.col("node"), F.lit(FILTER_BITS))
@@ -550,7 +622,7 @@ def _sets(docs: DataFrame, marked: np.ndarray, k: int) -> DataFrame:
             hashes, bounds = sets_of(part.column(1), k)
             key = keys_of(hashes, bounds)
             rows = [r for r in np.flatnonzero(marked[key % FILTER_BITS] & (bounds[1:] > bounds[:-1])).tolist() if int(key[r]) not in seen]
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             first = {int(key[r]): r for r in reversed(rows)}
             seen.update(first)
@@ -594,7 +666,11 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     and blank texts have no shingles and are their own component; rows without an id take no part and get a null
     component. Repeated ids are rows like others. Other columns are not looked at. Empty tables give empty results.
     """
-    rule = Rule(k, num, den)
+    with scratch(docs.sparkSession):
+        return written(_components(docs, Rule(k, num, den), id_col, text_col), "components", lasting=True)
+
+
+def _components(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -610,30 +686,17 @@ def linked_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     links = _super_links(docs, supers, rule)
 
     # weak signatures: blocks with members that no strong one has brought together; those of the same sets are one block
-    live = met.where(F.col("kind") == LIVE).select("sig", "node")
-    live = live.join(supers.select("node", F.col("label").alias("super")), "node", "left").withColumn("seen", F.coalesce("super", "node"))
+    live = met.where(F.col("kind") == LIVE).select("sig", "node").dropDuplicates(["sig", "node"]).withColumn("band", F.expr(f"cast(sig & {(1 << BAND_BITS) - 1} as int)"))
+    live = live.join(supers.select("node", F.col("label").alias("super")), "node", "left").withColumn("seen", F.coalesce("super", "node")).drop("super")
+    points = met.where(F.col("kind") == POINT)
+    live = _weak_members(live, points.select("node", "band", "need").distinct())
     mark = (F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(1 << 31))).alias(f"mark{i}") for i in (0, 1))
-    blocks = live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), *mark, F.min("seen").alias("x"), F.max("seen").alias("y"))
-    blocks = blocks.where("x <> y").withColumn("band", F.expr(f"cast(sig & {(1 << BAND_BITS) - 1} as int)"))
-    blocks = blocks.groupBy("size", "low", "mark0", "mark1", "band").agg(F.min("sig").alias("sig"))
-    members = written(live.drop("super").join(blocks.select("sig", "size", "low", "band"), "sig"), "members")
-    points = met.where(F.col("kind") == POINT).select("node", "band", "n", "point")
-    points = points.join(members.select("node", "band").distinct(), ["node", "band"], "left_semi").dropDuplicates(["node", "band"])
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        sets = _sets(docs, _node_filter(ends), k).dropDuplicates(["node"])
-        return written(_verified(pairs, sets, rule), "checked", batch_rows=BATCH_ROWS)
-
-    pairs = written(_candidates(members, points, rule), "pairs")
-    if not pairs.isEmpty():
-        checked = verified(pairs)
-        links = links.unionByName(checked.where("links").select("a", "b"))
-        failed = checked.where("not links").select("a", "b")
-        if not failed.isEmpty() or not members.where(F.col("size") > CHUNK).isEmpty():
-            rest = written(_candidates(members, points, rule, written(components(links), "labels"), failed), "pairs")
-            if not rest.isEmpty():
-                links = links.unionByName(verified(rest.join(failed, ["a", "b"], "left_anti")).where("links").select("a", "b"))
+    blocks = live.groupBy("sig", "band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), *mark, F.min("seen").alias("x"), F.max("seen").alias("y"))
+    blocks = blocks.where("x <> y").groupBy("size", "low", "mark0", "mark1", "band").agg(F.min("sig").alias("sig"))
+    members = written(live.join(blocks.select("sig", "size"), "sig"), "members")
+    points = points.select("node", "band", "n", "point").join(members.select("node", "band").distinct(), ["node", "band"], "left_semi")
+    points = written(points.dropDuplicates(["node", "band"]), "points")
+    links = _weak_links(docs, members, points, rule, links)
     labels = components(links)
 
     own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -654,7 +717,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: st
         return _keep_one_row(docs, k, num, den, id_col, text_col)
     found = linked_components(docs, k, num, den, id_col, text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return without(docs, gone, {"_gone": docs[id_col]}, "_gone")
 
 
 def _keep_one_row(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
