@@ -1,10 +1,11 @@
 import random
+import time
 
 import public_tokenizers as tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from winnow.llm.bpe import Encoder, Pairs, encode, encode_digests, merge_all
+from winnow.llm.bpe import Encoder, Pairs, encode, encode_digests, merge_all, merge_long
 from winnow.llm.vocabulary import encoding_of
 
 RANKS = tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,6 +45,26 @@ def test_merges_that_bring_up_a_lower_rank():
     random.seed(5)
     pieces = ["".join(random.choice("abc") for _ in range(random.randint(1, 14))).encode() for _ in range(400)]
     assert merge_all(pieces, ranks, pairs) == [plain(p) for p in pieces]
+    assert [merge_long(p, ranks) for p in pieces] == [plain(p) for p in pieces]
+
+
+@pytest.mark.parametrize("word", ["and", "band", "a", "thequick"])
+def test_time_grows_with_the_length_of_a_repeated_word(word):
+    def seconds(size):
+        text = (word * size)[:size]
+        assert same(text)
+        start = time.process_time()
+        OWN.ids([text])
+        return time.process_time() - start
+
+    assert seconds(64_000) < 4.5 * max(0.05, min(seconds(16_000) for _ in range(3)))
+
+
+def test_texts_of_megabytes():
+    random.seed(9)
+    assert same("".join(random.choice("abcdefgh-_0123456789") for _ in range(1_000_000)))
+    assert same("word and " * 250_000)
+    assert same(" " * 300_000 + "\n" * 300_000)
 
 
 def test_table(awkward, nothing):

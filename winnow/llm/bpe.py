@@ -4,12 +4,14 @@ Within a pre-token the pair of neighbours with the lowest rank merges first, the
 wait in one bucket per rank, which holds the positions of their left parts in a linked list of parts. Three levels of
 bitmaps say which buckets are in use, so the next rank is found by three find-first-set steps however long the
 pre-token is. A merge leaves its neighbours' old entries where they are; they are recognised as stale when popped.
-Pre-tokens are independent, so all new ones of a slice of texts share one queue.
+Pre-tokens are independent, so all new short ones of a slice of texts share one queue. A long one has a queue of its own,
+whose buckets give one position at a time: its work grows with its length, whatever repeats in it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -21,9 +23,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from winnow.llm.vocabulary import load_ranks
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 CACHE_CHARS = 64
-SLICE_CHARS = 6_000_000
+LONG_BYTES = 256  # longer pre-tokens are merged place by place
+SLICE_CHARS = 1_500_000
 
 # The Latin-1 members of the Unicode classes L, N and White_Space.
 L1_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -32,10 +35,13 @@ L1_SPACE = "\t-\r \x85\xa0"
 
 
 class RankQueue:
-    """Buckets of positions by rank: ``push`` in any order, ``pop`` takes the whole bucket of the lowest rank."""
+    """Buckets by rank: ``push`` in any order, ``pop`` takes the whole bucket of the lowest rank.
+
+    A bucket holds arrays of positions (``push``, ``pop``) or single ones (``push_one``, ``pop_one``, the least first).
+    """
 
     def __init__(self) -> None:
-        self.buckets: dict[int, list[np.ndarray]] = {}
+        self.buckets: dict[int, list] = {}
         self.leaf: dict[int, int] = {}
         self.middle: dict[int, int] = {}
         self.top = 0
@@ -46,6 +52,17 @@ class RankQueue:
             bucket.append(positions)
             return
         self.buckets[rank] = [positions]
+        self._mark(rank)
+
+    def push_one(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket is not None:
+            heapq.heappush(bucket, position)
+            return
+        self.buckets[rank] = [position]
+        self._mark(rank)
+
+    def _mark(self, rank: int) -> None:
         word, block = rank >> 6, rank >> 12
         self.leaf[word] = self.leaf.get(word, 0) | 1 << (rank & 63)
         self.middle[block] = self.middle.get(block, 0) | 1 << (word & 63)
@@ -64,18 +81,34 @@ class RankQueue:
         for rank, start, stop in zip(ranks[bounds[:-1]].tolist(), bounds, bounds[1:], strict=False):
             self.push(rank, positions[start:stop])
 
-    def pop(self) -> tuple[int, np.ndarray]:
+    def lowest(self) -> int:
         block = (self.top & -self.top).bit_length() - 1
         held = self.middle[block]
         word = block << 6 | (held & -held).bit_length() - 1
         bits = self.leaf[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
+        return word << 6 | (bits & -bits).bit_length() - 1
+
+    def _clear(self, rank: int) -> list:
+        word, block = rank >> 6, rank >> 12
+        bits, held = self.leaf[word], self.middle[block]
         self.leaf[word] = bits = bits & (bits - 1)
         if not bits:
             self.middle[block] = held = held & (held - 1)
             if not held:
                 self.top &= self.top - 1
-        bucket = self.buckets.pop(rank)
+        return self.buckets.pop(rank)
+
+    def pop_one(self) -> tuple[int, int]:
+        rank = self.lowest()
+        bucket = self.buckets[rank]
+        position = heapq.heappop(bucket)
+        if not bucket:
+            self._clear(rank)
+        return rank, position
+
+    def pop(self) -> tuple[int, np.ndarray]:
+        rank = self.lowest()
+        bucket = self._clear(rank)
         return rank, np.unique(np.concatenate(bucket) if len(bucket) > 1 else bucket[0])
 
 
@@ -158,6 +191,38 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pairs: Pairs) -> lis
     return [out[a:b] for a, b in zip([0, *bounds], bounds, strict=False)]
 
 
+def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one long pre-token, merged place by place; as ``merge_all``, in time that grows with its length."""
+    n = len(piece)
+    part = [piece[i : i + 1] for i in range(n)] + [b""]
+    after, before = list(range(1, n + 1)) + [n], list(range(-1, n))
+    rank_of = ranks.get
+    pair = [rank_of(part[i] + part[i + 1], -1) for i in range(n - 1)] + [-1, -1]
+    queue = RankQueue()
+    push, pop = queue.push_one, queue.pop_one
+    for i, rank in enumerate(pair):
+        if rank >= 0:
+            push(rank, i)
+    while queue.top:
+        rank, i = pop()
+        if pair[i] != rank:
+            continue  # stale
+        j = after[i]
+        beyond = after[j]
+        part[i] += part[j]
+        part[j], pair[j] = b"", -1
+        after[i], before[beyond] = beyond, i
+        pair[i] = new = rank_of(part[i] + part[beyond], -1) if beyond < n else -1
+        if new >= 0:
+            push(new, i)
+        ahead = before[i]
+        if ahead >= 0:
+            pair[ahead] = new = rank_of(part[ahead] + part[i], -1)
+            if new >= 0:
+                push(new, ahead)
+    return [ranks[x] for x in part if x]
+
+
 class Encoder:
     """One vocabulary and its pattern; keeps the ids of recent pre-tokens, up to a fixed number."""
 
@@ -193,7 +258,9 @@ class Encoder:
             rest = [i for i, piece in enumerate(as_bytes) if piece not in ranks]
             found = dict.fromkeys(new, "")
             found.update((new[i], str(ranks[piece])) for i, piece in enumerate(as_bytes) if piece in ranks)
-            found.update((new[i], " ".join(map(str, ids))) for i, ids in zip(rest, merge_all([as_bytes[i] for i in rest], ranks, self.pairs), strict=True))
+            short = [i for i in rest if len(as_bytes[i]) <= LONG_BYTES]
+            found.update((new[i], " ".join(map(str, ids))) for i, ids in zip(short, merge_all([as_bytes[i] for i in short], ranks, self.pairs), strict=True))
+            found.update((new[i], " ".join(map(str, merge_long(as_bytes[i], ranks)))) for i in rest if len(as_bytes[i]) > LONG_BYTES)
             if len(known) + len(found) > CACHE_ENTRIES:
                 used = set().union(*split)
                 self.known = known = {piece: known[piece] for piece in used if piece in known}
