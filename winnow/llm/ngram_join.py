@@ -512,7 +512,7 @@ def _apart(members: DataFrame, block: str) -> DataFrame:
     return members.groupBy(block).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(block)
 
 
-def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
+def _super_links(docs: DataFrame, own: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
     """Verified links inside the blocks of strong signatures (node, label: the block).
 
     A large block is cut into chunks of bounded size, each with the block's first member; what is still apart then meets.
@@ -522,7 +522,7 @@ def _super_links(docs: DataFrame, supers: DataFrame, rule: Rule) -> DataFrame:
     sized = supers.join(size.select("label", chunks.alias("chunks")), "label")
     sized = sized.select("node", F.col("label").alias("super"), "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("own"))
     sized = written(sized, "supers")
-    sets = _sets(docs, _node_filter(sized.select("node")), rule.k)
+    sets = _sets(docs, own, sized, rule.k)
 
     def compared(rows: DataFrame) -> DataFrame:
         by = ("super", "cell")
@@ -561,7 +561,7 @@ def _compared(members: DataFrame, points: DataFrame, rule: Rule, everything: boo
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _weak_links(docs: DataFrame, members: DataFrame, points: DataFrame, rule: Rule, links: DataFrame) -> DataFrame:
+def _weak_links(docs: DataFrame, own: DataFrame, members: DataFrame, points: DataFrame, rule: Rule, links: DataFrame) -> DataFrame:
     """Verified links that connect what links in the blocks of weak signatures, given the links found before.
 
     First each set looks only into its largest block, which connects most copies by a pair a set. Then come forests of
@@ -578,7 +578,7 @@ def _weak_links(docs: DataFrame, members: DataFrame, points: DataFrame, rule: Ru
         if pairs.isEmpty():
             return
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        sets = _sets(docs, _node_filter(ends), rule.k).dropDuplicates(["node"])
+        sets = _sets(docs, own, ends, rule.k).dropDuplicates(["node"])
         checked = written(_verified(pairs, sets, rule), "checked", batch_rows=BATCH_ROWS)
         found.append(checked.where("links").select("a", "b"))
         failed.append(checked.where("not links").select("a", "b"))
@@ -612,16 +612,25 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _sets(docs: DataFrame, marked: np.ndarray, k: int) -> DataFrame:
-    """node, items (its sorted shingle hashes) of the marked nodes; a node may come more than once, always the same."""
+def _sets(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """node, items (its sorted shingle hashes) of the nodes and of some others; a node may come more than once, always
+    the same. Of each node only the text with its least id is cut into shingles again (``own``: id, node)."""
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
+    least = own.where(F.col("id").isNotNull()).join(nodes.select("node").distinct(), "node").groupBy("node").agg(F.min("id").alias("id"))
+    marked = _node_filter(least.select(F.col("id").alias("node")))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = marked[batch.column(0).to_numpy() % FILTER_BITS]
+            if held.any():
+                yield batch.filter(pa.array(held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for part in slices(batches):
+        for part in slices(chosen(batches)):
             hashes, bounds = sets_of(part.column(1), k)
             key = keys_of(hashes, bounds)
-            rows = [r for r in np.flatnonzero(marked[key % FILTER_BITS] & (bounds[1:] > bounds[:-1])).tolist() if int(key[r]) not in seen]
+            rows = [r for r in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist() if int(key[r]) not in seen]
             if len(seen) > 200_000:
                 seen.clear()
             first = {int(key[r]): r for r in reversed(rows)}
@@ -683,7 +692,7 @@ def _components(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> Data
     supers = components(edges)
     sizes = own.select("node", "n").distinct()
     supers = written(supers.join(sizes, "node"), "supers")
-    links = _super_links(docs, supers, rule)
+    links = _super_links(docs, own, supers, rule)
 
     # weak signatures: blocks with members that no strong one has brought together; those of the same sets are one block
     live = met.where(F.col("kind") == LIVE).select("sig", "node").dropDuplicates(["sig", "node"]).withColumn("band", F.expr(f"cast(sig & {(1 << BAND_BITS) - 1} as int)"))
@@ -696,7 +705,7 @@ def _components(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> Data
     members = written(live.join(blocks.select("sig", "size"), "sig"), "members")
     points = points.select("node", "band", "n", "point").join(members.select("node", "band").distinct(), ["node", "band"], "left_semi")
     points = written(points.dropDuplicates(["node", "band"]), "points")
-    links = _weak_links(docs, members, points, rule, links)
+    links = _weak_links(docs, own, members, points, rule, links)
     labels = components(links)
 
     own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
