@@ -114,3 +114,35 @@ def test_estimate_holds_the_exact_value(spark):
     for g, r in got.items():
         assert abs(r.int_div1 - exact[g].int_div1) <= r.error1 + 1e-12 and abs(r.int_div2 - exact[g].int_div2) <= r.error2 + 1e-12
         assert r.error1 < 0.2
+
+
+@pytest.mark.parametrize("block_rows", [65_536, 7])
+@pytest.mark.parametrize("threshold", [0.05, 0.3, 0.5, 0.8, 1.0])
+def test_groups_find_every_pair(spark, threshold, block_rows):
+    data = sets_of(220, 256, seed=int(threshold * 10) + 50)
+    df = spark.createDataFrame([(f"r{i:03d}", sorted(s)) for i, s in enumerate(data)], "id string, bits array<int>")
+    firsts = {}
+    for i, s in enumerate(data):
+        firsts.setdefault(frozenset(s), []).append(f"r{i:03d}")
+    kept = [(k, v) for k, v in firsts.items() if k]
+    want = sorted(
+        (x[0], y[0], round(tanimoto(a, b), 9), len(x), len(y)) for (a, x), (b, y) in itertools.combinations(kept, 2) if tanimoto(a, b) >= threshold
+    )
+    got = fp.similar_pairs(df, "id", "bits", threshold, 256, method="groups", size_block_rows=block_rows).collect()
+    assert sorted((r.id_a, r.id_b, round(r.similarity, 9), r.copies_a, r.copies_b) for r in got) == want
+    assert fp.similar_pairs(df.filter("id = 'none'"), "id", "bits", threshold, 256, method="groups").count() == 0
+
+
+def test_texts_without_rare_words_are_sent_a_few_times(spark, monkeypatch):
+    """Every bit is in a tenth of the sets, so that lists by bits would hold a set hundreds of times."""
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, sorted(rng.sample(range(1000), 100))) for i in range(2000)], "id int, bits array<int>")
+    monkeypatch.setattr(fp, "LIST_ROWS", 50)
+    made = []
+    real = fp._size_blocks
+    monkeypatch.setattr(fp, "_size_blocks", lambda *a: made.append(real(*a)) or made[-1])
+    from winnow.plans import catalog_sets
+
+    monkeypatch.setattr(catalog_sets, "document_bits", lambda t: df.withColumnRenamed("id", "doc_id"))
+    assert catalog_sets.q_similar_texts(None).count() == 0
+    assert made[0].count() <= 2000 * fp.LEAST_BLOCKS

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -26,6 +26,15 @@ LIST_ROWS = 4096
 MOST_SHARED = 3
 BUCKET_ROWS = 20_000
 PAIRS_AT_ONCE = 100_000
+# Of the comparison by groups: blocks at least, rows of a block at most, widening of the sizes that share a number of
+# groups, rows unpacked at once.
+LEAST_BLOCKS = 16
+SIZE_BLOCK_ROWS = 65_536
+SIZE_STEP = 1.15
+UNPACKED_ROWS = 4096
+# Groups that are tried, and meetings in all groups, as a share of the pairs, beyond which every pair is compared.
+TRIED_GROUPS = 8
+MOST_MEETINGS = 0.3
 # Of greedy coverage: sets of a group that one task decides at once. Rows of a stripe of a comparison.
 FIRST_ROWS = 8192
 STRIPE = 128
@@ -69,25 +78,31 @@ def fingerprint_groups(df: DataFrame, row_id: str, bits: str) -> tuple[DataFrame
 
 def similar_pairs(
     df: DataFrame, row_id: str, bits: str, threshold: float, n_bits: int, method: str = "index", block_rows: int = BLOCK_ROWS,
-    list_rows: int = LIST_ROWS,
+    list_rows: int = LIST_ROWS, size_block_rows: int = SIZE_BLOCK_ROWS,
 ) -> DataFrame:
     """All pairs of distinct bit sets with Tanimoto >= threshold: (id_a, id_b, similarity, copies_a, copies_b).
 
-    Exact by either method.  ``blocks`` is for short or dense bit sets, most of which are similar to many others: sets
-    are dealt to blocks of bounded size and every pair is compared once, in even tasks.  ``index`` is for the others: the
-    bits of a set are ordered from the rarest to the commonest of the table, and two sets that are t-similar share one
+    Exact by any method.  ``blocks`` is for short or dense bit sets, most of which are similar to many others: sets
+    are dealt to blocks of bounded size and every pair is compared once, in even tasks.  ``index`` is for sets with rare bits:
+    the bits of a set are ordered from the rarest to the commonest of the table, and two sets that are t-similar share one
     of their first (1 - t) n + 1 bits, so only sets in a common list of an inverted index over these meet.  A list of
     more than ``list_rows`` sets is keyed again by the next shared bit (similar sets share two of their first
     (1 - t) n + 2 bits, and so on, ``MOST_SHARED`` at most); what is still longer is cut into chunks that meet in pairs.
     Pairs are held against bounds by size and place in the list and then compared on all their bits.
+    ``groups`` is for sets without rare bits, whose lists would be nearly as long as the table: sets of near sizes meet in
+    blocks, as packed words, and in a task only pairs that agree in a whole group of bits are compared (see
+    ``_similar_by_groups``). A set is sent a few times, whatever its bits; the work in the tasks grows with the pairs of
+    blocks.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    if method not in ("index", "blocks"):
+    if method not in ("index", "blocks", "groups"):
         raise ValueError(f"unknown method: {method}")
     reps, _ = fingerprint_groups(df, row_id, bits)
     if method == "blocks":
         return _similar_in_blocks(written(reps.filter(F.size("bits") > 0), "sets"), threshold, n_bits, block_rows)
+    if method == "groups":
+        return _similar_by_groups(written(reps.filter(F.size("bits") > 0), "sets"), threshold, n_bits, size_block_rows)
     sets = written(_by_rarity(reps.filter(F.size("bits") > 0), n_bits), "ranked")
     lists = _index_lists(sets, threshold, list_rows)
     rows = lists.agg(F.count(F.lit(1))).first()[0]
@@ -188,6 +203,161 @@ def _similar_in_lists(table: pa.Table, threshold: float, n_words: int) -> tuple[
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
+def _size_blocks(sets: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Sets once for each pair of blocks that theirs is in: (..., block, i, j), i <= j.
+
+    Blocks are even ranges of the sets in the order of their sizes, sets of one size dealt by hash; only blocks that hold
+    sizes near enough for the threshold meet. What decides is one number per size.
+    """
+    counted = sorted((r["size"], r["n"]) for r in sets.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect())
+    sizes, counts = np.array([s for s, _ in counted], int), np.array([n for _, n in counted], int)
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    blocks = max(LEAST_BLOCKS, -(-total // block_rows))
+    rows = max(1, -(-total // blocks))
+    starts = np.arange(0, max(total, 1), rows)
+    if total:
+        low = sizes[np.searchsorted(ends, starts, "right")]
+        high = sizes[np.searchsorted(ends, np.minimum(starts + rows, total) - 1, "right")]
+    else:
+        low = high = np.zeros(1, int)
+    # a is near b if a >= t * b, rounded so that no pair is missed
+    first = np.searchsorted(high, threshold * low - 1e-9, "left")
+    last = np.searchsorted(threshold * low - 1e-9, high, "right") - 1
+    by_size = {int(s): [int(e - n), int(n)] for s, n, e in zip(sizes, counts, ends, strict=True)}
+    places = F.from_json(F.lit(json.dumps([by_size.get(s, [0, 1]) for s in range(int(sizes.max(initial=0)) + 1)])), "array<array<long>>")
+    reach = F.from_json(F.lit(json.dumps([[int(min(f, k)), int(max(n, k))] for k, (f, n) in enumerate(zip(first, last, strict=True))])), "array<array<int>>")
+    own = places[F.col("size")]
+    placed = sets.withColumn("block", F.floor((own[0] + F.pmod(F.xxhash64("rep"), own[1])) / F.lit(rows)).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(reach[F.col("block")][0], reach[F.col("block")][1])))
+    return met.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+
+
+def _similar_by_groups(reps: DataFrame, threshold: float, n_bits: int, block_rows: int) -> DataFrame:
+    """Two sets of at most D different bits agree in one whole group of bits, if the bits are cut into D + 1 groups.
+
+    Bits are dealt to groups by rarity, so that groups are alike. Sets meet in blocks of near sizes, every pair in one
+    task; what agrees in a group there is compared on all its bits, and a pair is given at the first group it agrees in.
+    """
+    kind = dict(reps.dtypes)["rep"]
+    n_words = (n_bits + WORD - 1) // WORD
+    ranked = _by_rarity(reps, n_bits)
+    sets = written(ranked.select("rep", "copies", "size", _words("order", F.lit(n_words)).alias("words")), "words")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        size, block = table["size"].to_numpy().astype(np.int64), table["block"].to_numpy()
+        words = table["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, n_words)
+        ids, copies = table["rep"].combine_chunks(), table["copies"].combine_chunks()
+        order = np.argsort(size, kind="stable")
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        left, right = order[block[order] == i], order[block[order] == j]
+        for a, b, similarity in _agreeing(words, size, left, right, i == j, threshold):
+            a, b = pa.array(left[a]), pa.array(right[b])
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(a), ids.take(b), pa.array(similarity), copies.take(a), copies.take(b)], names=["a", "b", "similarity", "ca", "cb"]
+            )
+
+    cells = _size_blocks(sets, threshold, block_rows).select("i", "j", "block", "rep", "copies", "size", "words")
+    pairs = cells.groupBy("i", "j").applyInArrow(compare, f"a {kind}, b {kind}, similarity double, ca long, cb long")
+    swapped = F.col("a") > F.col("b")
+    return pairs.select(
+        F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"), "similarity",
+        F.when(swapped, F.col("cb")).otherwise(F.col("ca")).alias("copies_a"), F.when(swapped, F.col("ca")).otherwise(F.col("cb")).alias("copies_b"),
+    )
+
+
+def _group_sums(words: np.ndarray, groups: int) -> np.ndarray:
+    """A checksum of the bits of every group, for each row."""
+    n_bits = words.shape[1] * WORD
+    # sums of up to 2,048 such numbers are exact as double; equal sums of different bits only cost a comparison
+    values = np.random.default_rng(1).integers(1, 1 << 40, n_bits).astype(float)
+    out = np.empty((len(words), groups), np.uint32)
+    for lo in range(0, len(words), UNPACKED_ROWS):
+        part = words[lo : lo + UNPACKED_ROWS]
+        row, bit = np.nonzero(np.unpackbits(part.view(np.uint8), axis=1, bitorder="little"))
+        sums = np.bincount(row * groups + bit % groups, values[bit], len(part) * groups)
+        out[lo : lo + UNPACKED_ROWS] = (sums.astype(np.int64) & 0xFFFFFFFF).reshape(len(part), groups)
+    return out
+
+
+def _mean_partners(gx: np.ndarray, gy: np.ndarray) -> float:
+    """Pairs that agree in a group, as the mean of a few groups."""
+    some = np.unique(np.linspace(0, gx.shape[1] - 1, TRIED_GROUPS).astype(int))
+    keys = [np.sort(gy[:, g]) for g in some]
+    return float(np.mean([(np.searchsorted(k, gx[:, g], "right") - np.searchsorted(k, gx[:, g], "left")).sum() for g, k in zip(some, keys, strict=True)]))
+
+
+def _all_pairs(
+    x: np.ndarray, y: np.ndarray, sx: np.ndarray, sy: np.ndarray, ahead: int | None, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows that reach the threshold, by stripes. With ``ahead``, x lies that many rows ahead of y in one block."""
+    for lo in range(0, len(x), STRIPE):
+        part = x[lo : lo + STRIPE]
+        end = int(np.searchsorted(sy, sx[lo + len(part) - 1] / threshold + 1e-9, "right"))
+        for at in range(0 if ahead is None else max(0, lo + ahead + 1), end, BLOCK_ROWS):
+            similarity = _tanimoto(part, y[at : min(at + BLOCK_ROWS, end)])
+            i, j = np.nonzero(similarity >= threshold)
+            if ahead is not None:
+                once = i + lo + ahead < j + at
+                i, j = i[once], j[once]
+            if i.size:
+                yield i + lo, j + at, similarity[i, j]
+
+
+def _agreeing(
+    words: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places in left, places in right, similarity) of the pairs that reach the threshold, each once.
+
+    Both sides are in the order of their sizes, and no set of ``left`` is larger than one of ``right``; ``same`` says that
+    they are one block, of which a pair is given once.
+    """
+    far = (1 - threshold) / (1 + threshold)
+    small, large = size[left], size[right]
+    head = max(1, words.shape[1] // 4)
+    at = 0
+    while at < right.size:
+        to = int(np.searchsorted(large, max(large[at] * SIZE_STEP, large[at] + 1), "left"))
+        of = slice(int(np.searchsorted(small, threshold * large[at] - 1e-9, "left")), int(np.searchsorted(small, large[to - 1], "right")))
+        x, y, first_x, first_y = words[left[of]], words[right[at:to]], of.start, at
+        sx, sy = small[of], large[at:to]
+        at = to
+        if not len(x):
+            continue
+        groups = int(2 * far * sy[-1] + 1e-9) + 1
+        gx, gy = (_group_sums(w, groups) if groups <= words.shape[1] * WORD else None for w in (x, y))
+        if gx is None or _mean_partners(gx, gy) * groups > MOST_MEETINGS * len(x) * len(y):
+            for i, j, similarity in _all_pairs(x, y, sx, sy, first_x - first_y if same else None, threshold):
+                yield i + first_x, j + first_y, similarity
+            continue
+        for g in range(groups):
+            order = np.argsort(gy[:, g], kind="stable")
+            keys = gy[order, g]
+            lo = np.searchsorted(keys, gx[:, g], "left")
+            partners = np.searchsorted(keys, gx[:, g], "right") - lo
+            edges = np.append(0, np.cumsum(partners))
+            for part in _slices(edges):
+                i = np.repeat(np.arange(*part), partners[slice(*part)])
+                j = order[lo[i] + np.arange(i.size) - (edges[i] - edges[part[0]])]
+                near = sx[i] >= threshold * sy[j] - 1e-9
+                if same:
+                    near &= i + first_x < j + first_y
+                i, j = i[near], j[near]
+                most = far * (sx[i] + sy[j]) + 1e-9
+                near = np.bitwise_count(x[i, :head] ^ y[j, :head]).sum(axis=1, dtype=np.int64) <= most
+                i, j = i[near], j[near]
+                shared = np.bitwise_count(x[i] & y[j]).sum(axis=1, dtype=np.int64)
+                similarity = shared / (sx[i] + sy[j] - shared)
+                good = similarity >= threshold
+                i, j, similarity = i[good], j[good], similarity[good]
+                if g:
+                    new = ~(gx[i, :g] == gy[j, :g]).any(axis=1)
+                    i, j, similarity = i[new], j[new], similarity[new]
+                if i.size:
+                    yield i + first_x, j + first_y, similarity
+
+
 def _slices(edges: np.ndarray, most: int = PAIRS_AT_ONCE):
     """(first, last) row ranges of about ``most`` pairs; ``edges`` are running totals, a row of more pairs is alone."""
     lo, n = 0, edges.size - 1

@@ -99,7 +99,7 @@ def document_bits(t: Tables) -> DataFrame:
        select id_a, id_b, round(s, 6) as similarity, copies_a, copies_b from p where s >= 0.8""",
 )
 def q_similar_texts(t: Tables) -> DataFrame:
-    out = fp.similar_pairs(document_bits(t), "doc_id", "bits", 0.8, DOC_BITS)
+    out = fp.similar_pairs(document_bits(t), "doc_id", "bits", 0.8, DOC_BITS, method="groups")
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
