@@ -104,3 +104,17 @@ def test_calculator_tells_what_it_raised(spark):
     assert (rows[1].y, rows[1].why, rows[2].y, rows[2].why) == (10.0, None, None, "ValueError: two")
     model = fit_fragments(spark.createDataFrame([(1, ["a"]), (0, ["b"])], "label int, f array<string>"), "f", "label")
     assert model.count() == 2
+
+
+def test_a_calculator_gets_bounded_batches(spark):
+    """300 rows of 100,000 characters are 30 MB; at most 4 MB are handed on, and other columns as they are."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    df = spark.range(300, numPartitions=1).select("id", F.repeat(F.lit("x"), 100_000).alias("text"), F.current_timestamp().alias("at"), F.map_from_arrays(F.array(F.lit("k")), F.array("id")).alias("m"))
+    calculate = lambda _, batch: pd.DataFrame({"n": [len(batch)] * len(batch), "size": batch["text"].str.len()})
+    rows = with_calculator(df, calculate, "n long, size long", inputs=["text"]).select("id", "n", "size", "m", "at").collect()
+    assert sorted(r.id for r in rows) == list(range(300)) and {r.size for r in rows} == {100_000}
+    assert max(r.n for r in rows) <= 40 and all(r.m == {"k": r.id} for r in rows)
+    wide = with_calculator(df, lambda _, b: pd.DataFrame({"k": [m["k"] for m in b["m"]], "zone": [str(x.tz) for x in b["at"]]}), "k long, zone string")
+    assert all(r.k == r.id and r.zone == "None" for r in wide.drop("text").collect())
