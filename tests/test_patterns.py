@@ -93,3 +93,20 @@ def test_rule_tables_of_any_size(spark, sent_chars):
     want = sorted((i, *h) for i, t in rows if t is not None for h in plain([*rules, Rule("set0", "", "zzz")], t))
     assert sorted(map(tuple, match_rule_table(df, "id", "text", table, sent_chars=sent_chars).collect())) == want
     assert match_rule_table(df, "id", "text", table.limit(0), sent_chars=sent_chars).count() == 0
+
+
+def test_texts_are_looked_through_one_at_a_time():
+    """16 MB of texts lie in Arrow's memory; Python's own stays far below."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from winnow.operators.rules import _occurring
+
+    batch = pa.array(["word token " * 1000, None, "plain"] * 1500)
+    tracemalloc.start()
+    (got,) = _occurring(iter([batch]), {"token": [3, 1]}, {"word": [2]}, [0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [[0, 1, 2, 3], None, [0]] * 1500
+    assert peak < 4_000_000

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from winnow.operators.flags import all_flags
@@ -90,28 +91,33 @@ def candidate_rules(text: Column, needs: Sequence[Needed | None]) -> Column:
         for t in sorted(need.texts) if need else ():
             (folded if need.folded else plain).setdefault(t, []).append(i)
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        exact, lower = _automaton(plain), _automaton(folded)
-
-        def of(value: str | None) -> list[int] | None:
-            if value is None:
-                return None
-            found = set(always)
-            # each distinct text's rules once, however often it occurs
-            hits = {id(numbers): numbers for _, numbers in exact.iter(value)} if exact else {}
-            if lower:
-                hits |= {id(numbers): numbers for _, numbers in lower.iter(value.lower())}
-            for numbers in hits.values():
-                found.update(numbers)
-            return sorted(found)
-
-        for batch in batches:
-            yield batch.map(of, na_action=None)
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _occurring(batches, plain, folded, always)
 
     return run(text)
 
 
+def _occurring(batches: Iterator[pa.Array], plain: dict[str, list[int]], folded: dict[str, list[int]], always: list[int]) -> Iterator[pa.Array]:
+    """Numbers of the rules per text. A batch stays in Arrow's memory, and one text at a time becomes a Python text."""
+    exact, lower = _automaton(plain), _automaton(folded)
+
+    def of(value: str | None) -> list[int] | None:
+        if value is None:
+            return None
+        found = set(always)
+        # each distinct text's rules once, however often it occurs
+        hits = {id(numbers): numbers for _, numbers in exact.iter(value)} if exact else {}
+        if lower:
+            hits |= {id(numbers): numbers for _, numbers in lower.iter(value.lower())}
+        for numbers in hits.values():
+            found.update(numbers)
+        return sorted(found)
+
+    for batch in batches:
+        yield pa.array((of(value.as_py()) for value in batch), pa.list_(pa.int32()), size=len(batch))
+
+
 def _hits(text: Column, rules: Sequence[Rule]) -> Column:
     found = [
         F.when(r.test(text), F.struct(F.lit(r.rule_set).alias("rule_set"), F.lit(r.description).alias("description")))
