@@ -196,3 +196,29 @@ def test_plugins(spark, rows):
     assert filter_named("all")(df, {}).count() == 3
     with pytest.raises(ValueError):
         filter_named("unknown")
+
+
+def test_frequent_fragments_are_looked_up_where_rows_lie(spark):
+    """The scores do not depend on how many fragments are sent; only entries of the others are shuffled by fragment."""
+    data = [(i, ["and", "the", f"w{i % 7}", *(["and"] if i % 2 else [])], [1, 0, None][i % 3]) for i in range(60)]
+    df = spark.createDataFrame([*data, (60, [], 1), (61, None, 0), (62, ["none"], None)], "id int, f array<string>, y int")
+    model = fragments.fit_fragments(df, "f", "y")
+    places = df.select("id", F.posexplode("f").alias("p", "t"))
+
+    def close(a, b):
+        return len(a) == len(b) and all(x[:-1] == y[:-1] and math.isclose(x[-1], y[-1], abs_tol=1e-9) for x, y in zip(a, b, strict=True))
+
+    def scored(sent, **how):
+        return sorted((r.id, r.n_known, r.score) for r in fragments.score_fragments(df, "id", "f", model, sent=sent, **how).collect())
+
+    def placed(sent):
+        return sorted((r.id, r.p, r.contribution) for r in fragments.position_scores(places, "id", "p", "t", model, sent=sent).collect())
+
+    for sent in (0, 2, 5):
+        assert close(scored(sent), scored(100)) and close(scored(sent, only_present=True), scored(100, only_present=True)) and close(placed(sent), placed(100))
+    known = {r.fragment: r for r in model.collect()}
+    base = sum(r.prior + r.absent for r in known.values())
+    for i, n, score in scored(2):
+        own = [known[t] for t in set((df.collect()[i].f or [])) if t in known]
+        assert n == len(own) and math.isclose(score, base + sum(r.present - r.absent for r in own), abs_tol=1e-9)
+    assert all(math.isclose(c, known["and"].present) for i, p, c in placed(2) if p == 0 and i < 60)

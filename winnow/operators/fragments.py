@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.operators.best import extremes
-from winnow.session import written
+from winnow.session import SMALL_ROWS, written
 
 
 def fit_fragments(df: DataFrame, fragments: str, label: str) -> DataFrame:
@@ -38,18 +38,27 @@ def score_table(counts: DataFrame, total_pos: int, total_neg: int) -> DataFrame:
     )
 
 
-def score_fragments(df: DataFrame, row_id: str, fragments: str, model: DataFrame, only_present: bool = False) -> DataFrame:
+def _frequent_and_rare(model: DataFrame, sent: int) -> tuple[DataFrame, DataFrame]:
+    """The ``sent`` fragments of a model that most rows hold, small enough for every task, and the others.
+
+    Nearly all occurrences are of the former, so they are looked up where the rows lie; only the others are shuffled.
+    """
+    most = model.orderBy((F.col("n_pos") + F.col("n_neg")).desc(), "fragment").limit(sent)
+    frequent = F.broadcast(written(most, "frequent-fragments"))
+    return frequent, model.join(frequent.select("fragment"), "fragment", "left_anti")
+
+
+def score_fragments(df: DataFrame, row_id: str, fragments: str, model: DataFrame, only_present: bool = False, sent: int = SMALL_ROWS) -> DataFrame:
     """(row_id, score, n_known) for every row.
 
     Full score: sum over the vocabulary of prior + absent, plus present - absent for each distinct
     fragment of the row; unknown fragments do not count.  ``only_present``: sum of prior + present.
     """
     gain = F.col("prior") + F.col("present") if only_present else F.col("present") - F.col("absent")
-    weights = model.select("fragment", gain.alias("__gain"))
     tokens = df.select(row_id, F.explode(F.array_distinct(fragments)).alias("fragment"))
-    # the vocabulary may be large, so the planner decides by size whether it is sent to every task;
-    # a frequent fragment is a skewed key of this join, which adaptive execution splits
-    sums = tokens.join(weights, "fragment").groupBy(row_id).agg(
+    frequent, rare = (m.select("fragment", gain.alias("__gain")) for m in _frequent_and_rare(model, sent))
+    others = tokens.join(frequent.select("fragment"), "fragment", "left_anti").join(rare, "fragment")
+    sums = tokens.join(frequent, "fragment").unionByName(others).groupBy(row_id).agg(
         F.sum("__gain").alias("__sum"), F.count(F.lit(1)).alias("n_known")
     )
     base = 0.0 if only_present else model.agg(F.sum(F.col("prior") + F.col("absent"))).first()[0] or 0.0
@@ -73,17 +82,17 @@ def count_term(count: Column, scores: Mapping[int, tuple[float, float]], with_ab
     return out
 
 
-def position_scores(df: DataFrame, row_id: str, position: str, fragment: str, model: DataFrame) -> DataFrame:
+def position_scores(df: DataFrame, row_id: str, position: str, fragment: str, model: DataFrame, sent: int = SMALL_ROWS) -> DataFrame:
     """Sum of present scores of the fragments covering each position; positions without known ones get 0.
 
-    Equal (row, position, fragment) entries are counted first and looked up once.
+    An entry counts as often as it occurs. Frequent fragments are added up where the rows lie, so that a position is
+    shuffled once; of the rest only entries are.
     """
-    rows = df.groupBy(row_id, position, fragment).agg(F.count(F.lit(1)).alias("__n"))
-    weights = model.select(F.col("fragment").alias(fragment), "present")
-    joined = rows.join(weights, fragment, "left")
-    return joined.groupBy(row_id, position).agg(
-        F.coalesce(F.sum(F.col("present") * F.col("__n")), F.lit(0.0)).alias("contribution")
-    )
+    rows = df.select(row_id, position, F.col(fragment).alias("__fragment"))
+    frequent, rare = (m.select(F.col("fragment").alias("__fragment"), "present") for m in _frequent_and_rare(model, sent))
+    others = rows.join(frequent.select("__fragment"), "__fragment", "left_anti").join(rare, "__fragment")
+    scored = rows.join(frequent, "__fragment", "left").unionByName(others)
+    return scored.groupBy(row_id, position).agg(F.coalesce(F.sum("present"), F.lit(0.0)).alias("contribution"))
 
 
 def extreme_fragments(model: DataFrame, k: int) -> DataFrame:

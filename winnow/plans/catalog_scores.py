@@ -307,8 +307,9 @@ TOKENS_SQL = """tok as (select distinct doc_id, unnest(regexp_extract_all(text,
 
 
 def labelled(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", words(F.col("text")).alias("fragments"))
-    return docs.join(t.labels, "doc_id")
+    # texts are shuffled, not their words, which take several times the space
+    docs = t.documents.select("doc_id", "text").join(t.labels, "doc_id")
+    return docs.select("doc_id", "quality", words(F.col("text")).alias("fragments"))
 
 
 def model(t: Tables) -> DataFrame:
