@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.operators.best import extremes
-from winnow.session import SMALL_ROWS, written
+from winnow.session import written
+
+# Fragments of a model that are sent to every task: some 10 MB. Fewer would leave more of a growing vocabulary to a shuffle.
+SENT_FRAGMENTS = 100_000
 
 
 def fit_fragments(df: DataFrame, fragments: str, label: str) -> DataFrame:
@@ -48,7 +51,7 @@ def _frequent_and_rare(model: DataFrame, sent: int) -> tuple[DataFrame, DataFram
     return frequent, model.join(frequent.select("fragment"), "fragment", "left_anti")
 
 
-def score_fragments(df: DataFrame, row_id: str, fragments: str, model: DataFrame, only_present: bool = False, sent: int = SMALL_ROWS) -> DataFrame:
+def score_fragments(df: DataFrame, row_id: str, fragments: str, model: DataFrame, only_present: bool = False, sent: int = SENT_FRAGMENTS) -> DataFrame:
     """(row_id, score, n_known) for every row.
 
     Full score: sum over the vocabulary of prior + absent, plus present - absent for each distinct
@@ -82,7 +85,7 @@ def count_term(count: Column, scores: Mapping[int, tuple[float, float]], with_ab
     return out
 
 
-def position_scores(df: DataFrame, row_id: str, position: str, fragment: str, model: DataFrame, sent: int = SMALL_ROWS) -> DataFrame:
+def position_scores(df: DataFrame, row_id: str, position: str, fragment: str, model: DataFrame, sent: int = SENT_FRAGMENTS) -> DataFrame:
     """Sum of present scores of the fragments covering each position; positions without known ones get 0.
 
     An entry counts as often as it occurs. Frequent fragments are added up where the rows lie, so that a position is
