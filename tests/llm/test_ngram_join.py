@@ -92,3 +92,51 @@ def test_components_of_a_long_path(spark):
         got = dict(components(links.repartition(6), task_links=task_links).collect())
         assert set(got.values()) == {0, 100} and got[101] == 100 and len(got) == 62
     assert components(links.limit(0)).count() == 0
+
+
+def test_sets_without_common_shingles_share_no_block():
+    import pyarrow as pa
+
+    # sizes from the least of a band on, whose sets have more empty groups than its largest pair leaves to spare
+    random.seed(4)
+    texts = [" ".join(f"w{random.randrange(10**9)}" for _ in range(size)) for size in [*range(20, 600, 4), *range(20, 600, 4)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    met = ngram_join._meet(pa.Table.from_batches(list(ngram_join._sign(Rule(5, 4, 5), 1)(iter([batch])))))
+    kinds = met["kind"].to_pylist()
+    assert kinds.count(ngram_join.DOC) == len(texts) and kinds.count(ngram_join.LIVE) == kinds.count(ngram_join.EDGE) == 0
+
+
+@pytest.mark.parametrize(("num", "den"), [(4, 5), (85, 100), (1, 2)])
+def test_spare_groups_hold_for_every_partner_in_the_band(num, den):
+    import numpy as np
+
+    rule = Rule(5, num, den)
+    for size in range(1, 700):
+        band = rule.band_of(size)
+        groups = rule.bands()[band][1]
+        for other in range(size, size * den // num + 1) if groups else ():
+            assert min(rule.spare(band, np.array([size, other]))) + 1 <= groups - rule.most_apart(size, other)
+            assert rule.spare(band, np.array([size, other])).min() >= rule.bands()[band][2] >= 0
+
+
+def test_pairs_at_the_limit_are_found_among_common_passages(spark):
+    random.seed(11)
+    passages = [" ".join(f"p{i}.{j}" for j in range(12)) for i in range(12)]
+    rows = []
+    for _ in range(160):
+        body = [f"w{random.randrange(10**9)}" for _ in range(random.randint(8, 260))]
+        body = " ".join(body).split() + " ".join(random.sample(passages, 4)).split()
+        rows.append(" ".join(body))
+        near = list(body)
+        while True:
+            nxt = list(near)
+            nxt[random.randrange(len(nxt))] = f"x{random.randrange(10**9)}"
+            a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (body, nxt))
+            if 5 * len(a & b) < 4 * len(a | b):
+                break
+            near = nxt
+        rows.append(" ".join(near))
+    random.shuffle(rows)
+    rows = list(enumerate(rows))
+    got = sorted((tuple(r) for r in linked_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == brute(rows, 5, 4, 5) and len({c for _, _, c in got}) <= 160

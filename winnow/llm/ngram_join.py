@@ -19,7 +19,7 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.llm.components import components
 from winnow.llm.storage import scratch, without, written
@@ -28,7 +28,8 @@ from winnow.llm.textkernel import LOWER, flat, mix, shingles, slices, word_hashe
 FLUSH = 1_000_000  # signatures a task holds before it hands them on
 CHUNK = 1024  # members of a block that one task compares
 LEAF = 32
-CELLS = 4_000_000  # pairs times groups that are compared at once
+CELLS = 1_000_000  # pairs times groups that are compared at once
+PAIRS = 100_000  # pairs of a block that are handed on at once
 BATCH_ROWS = 500  # rows with whole texts or sets of shingles
 WIDENING = 1.8  # ratio of the sizes that share a number of groups
 FILTER_BITS = 1 << 23
@@ -60,23 +61,38 @@ class Rule:
         lows = [low for low, _, _ in self.bands()]
         return int(np.searchsorted(lows, size, side="right")) - 1
 
+    def spare(self, band: int, sizes: np.ndarray) -> np.ndarray:
+        """Groups beyond the first in which sets of these sizes agree with each partner in the band, empty ones included.
+
+        The band's groups are counted for its largest pair; smaller sets differ from their partners in fewer.
+        """
+        low, groups, _ = self.bands()[band]
+        most = _high(low) - 1
+        return groups - 1 - self.most_apart(np.minimum(sizes, most), np.where(sizes > most, sizes, sizes * self.den // self.num))
+
     def bands_for(self, size: int) -> range:
         """Bands in which a set of this size may meet a partner: its own and those of the least smaller partner."""
         return range(self.band_of(-(-size * self.num // self.den)), self.band_of(size) + 1)
 
 
+def _high(low: int) -> int:
+    """Least size of the band after the one from ``low``."""
+    return max(low + 1, int(low * WIDENING))
+
+
 @lru_cache(maxsize=8)
 def _bands(rule: Rule) -> list[tuple[int, int, int]]:
     """(least size, groups, spare groups) per band; a band is named by the smaller set of a pair.
 
     With D the largest difference of a pair there are D + 1 + spare groups. A set with no more empty groups than spare
-    ones shares a group that is not empty with each partner, so its empty groups need no signature.
+    ones shares a group that is not empty with each partner, so its empty groups need no signature. The spare ones grow
+    with D, as the empty ones do: a signed empty group is a block of all sets that lack it.
     """
     out, low = [], 1
     for _ in range(1 << BAND_BITS):
-        high = max(low + 1, int(low * WIDENING))
+        high = _high(low)
         apart = rule.most_apart(high - 1, (high - 1) * rule.den // rule.num)
-        spare = min(4, 1 + apart // 8)
+        spare = min(4, 1 + apart // 8) + apart // 16
         out.append((low, apart + 1 + spare if apart else 0, spare))
         low = high
     return out
@@ -189,15 +205,17 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 for band in rule.bands_for(int(size[row])):
                     of_band.setdefault(band, []).append(row)
             for band, rows in of_band.items():
-                _, groups, spare = rule.bands()[band]
+                groups = rule.bands()[band][1]
                 if not groups:
                     continue  # only equal sets link here
                 rows = np.array(rows)
+                spare = rule.spare(band, size[rows])
                 counts, sums = grouped(hashes, bounds, rows, groups)
                 empty = counts == 0
                 none = empty.sum(axis=1)
                 used = ~empty | (none > spare)[:, None]
-                need = 1 + spare - np.where(none > spare, 0, none)
+                # partners that do not sign the empty groups share but one of these sets' for certain
+                need = np.where(none > spare, 1, 1 + spare - none)
                 full = mix(sums + mix(np.arange(groups, dtype=np.uint64) + np.uint64(band << 40)))
                 strong = (counts >= STRONG).astype(np.uint64) << np.uint64(BAND_BITS)
                 sig = (full >> np.uint64(BAND_BITS + 1) << np.uint64(BAND_BITS + 1) | strong | np.uint64(band)).view(np.int64)
@@ -462,7 +480,8 @@ def _compare(rule: Rule, everything: bool) -> Callable[[Iterator[pa.RecordBatch]
                 block = Block(rule, node[a:b], n[a:b], (point >> 3).astype(np.int16), point & 7, label[a:b], seen[a:b])
                 if everything:
                     i, j = block.left()
-                    found += zip(block.node[i].tolist(), block.node[j].tolist(), strict=True)
+                    for start in range(0, len(i), PAIRS):
+                        yield pa.RecordBatch.from_arrays([pa.array(block.node[x[start : start + PAIRS]]) for x in (i, j)], schema=_PAIR)
                 else:
                     found += block.forest()
             yield from _edges(found)
@@ -542,15 +561,20 @@ def _super_links(docs: DataFrame, own: DataFrame, supers: DataFrame, rule: Rule)
 def _weak_members(live: DataFrame, needs: DataFrame) -> DataFrame:
     """sig, node, seen, band of the sets that can have a partner in the blocks of weak signatures.
 
-    Two sets that link without a strong signature in common share at least as many weak ones as the lesser of what both
-    need, so a set that has fewer in blocks of different sets has no partner there. What goes makes other blocks smaller.
+    Two sets that link without a strong signature in common share at least as many weak ones as either needs, so a set
+    that has fewer in blocks of different sets has no partner there. What goes makes other blocks smaller. Of the shared
+    ones the one in the smallest block has need - 1 others after it in both sets, if each orders its own by the size of
+    their blocks; so a set leaves its need - 1 largest blocks.
     """
     for _ in range(2):
         mixed = live.groupBy("sig").agg(F.min("seen").alias("x"), F.max("seen").alias("y")).where("x <> y").select("sig")
         live = written(live.join(mixed, "sig", "left_semi"), "live")
         enough = live.groupBy("node", "band").agg(F.count(F.lit(1)).alias("held")).join(needs, ["node", "band"]).where("held >= need")
         live = written(live.join(enough.select("node", "band"), ["node", "band"], "left_semi"), "live")
-    return live
+    sized = live.join(live.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig").join(needs, ["node", "band"])
+    own = Window.partitionBy("node", "band")
+    place = F.row_number().over(own.orderBy(F.desc("size"), F.desc("sig")))
+    return written(sized.withColumn("place", place).where("place >= need").select(*live.columns), "live")
 
 
 def _compared(members: DataFrame, points: DataFrame, rule: Rule, everything: bool) -> DataFrame:
