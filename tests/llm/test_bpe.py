@@ -1,5 +1,6 @@
 import random
 import time
+import tracemalloc
 
 import public_tokenizers as tokenizers
 import pytest
@@ -74,3 +75,22 @@ def test_table(awkward, nothing):
     assert sorted(bytes(r.decoded) for r in rows) == sorted(t.encode() for t in texts)
     assert encode_digests(awkward, RANKS, tokenizers.PATTERN).where("doc_id is null").count() == 2
     assert encode(nothing, RANKS, tokenizers.PATTERN).count() == 0
+
+
+def test_slices_measure_texts_without_copies_of_them():
+    import pyarrow as pa
+
+    from winnow.llm import bpe
+
+    texts = ["é" * 400, None, "", "a" * 2500, "b" * 599, "c", "\U0001f600" * 1000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9), pa.int64()), pa.array(["x" * 99, *texts, "y"])], names=["id", "text"]).slice(1, 7)
+    tracemalloc.start()
+    parts = [p.column(1).to_pylist() for p in bpe.slices(batch, 1000)]
+    tracemalloc.stop()
+    assert sum(parts, []) == texts and [len(p) for p in parts] == [3, 1, 2, 1]
+    big = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(["word " * 2000] * 400)], names=["id", "text"])
+    tracemalloc.start()
+    assert sum(p.num_rows for p in bpe.slices(big, 50_000)) == 400
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000

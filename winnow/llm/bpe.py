@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,7 +27,7 @@ from winnow.llm.vocabulary import load_ranks
 CACHE_ENTRIES = 150_000
 CACHE_CHARS = 64
 LONG_BYTES = 256  # longer pre-tokens are merged place by place
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 500_000
 
 # The Latin-1 members of the Unicode classes L, N and White_Space.
 L1_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -284,7 +285,7 @@ def encoder(ranks_path: str, pattern: str) -> Encoder:
 
 def slices(batch: pa.RecordBatch, most_chars: int) -> Iterator[pa.RecordBatch]:
     """Cuts between rows so that the texts of a slice (column 1) have ``most_chars`` characters, or are one text."""
-    sizes = np.cumsum(batch.column(1).fill_null("").to_pandas().str.len().to_numpy(dtype=np.int64))
+    sizes = np.cumsum(pc.utf8_length(batch.column(1).fill_null("")).to_numpy().astype(np.int64))
     start = 0
     while start < batch.num_rows:
         stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most_chars, side="right")))

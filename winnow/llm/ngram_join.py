@@ -25,11 +25,12 @@ from winnow.llm.components import components
 from winnow.llm.storage import scratch, without, written
 from winnow.llm.textkernel import LOWER, flat, mix, shingles, slices, word_hashes, words
 
-FLUSH = 1_000_000  # signatures a task holds before it hands them on
+FLUSH = 400_000  # signatures a task holds before it hands them on
 CHUNK = 1024  # members of a block that one task compares
 LEAF = 32
 CELLS = 1_000_000  # pairs times groups that are compared at once
 PAIRS = 100_000  # pairs of a block that are handed on at once
+SLICE = 500_000  # bytes of texts that are cut into shingles at once
 BATCH_ROWS = 500  # rows with whole texts or sets of shingles
 WIDENING = 1.8  # ratio of the sizes that share a number of groups
 FILTER_BITS = 1 << 23
@@ -191,7 +192,7 @@ def _sign(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures, nodes, held, seen = [], [], 0, set()
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE):
             hashes, bounds = sets_of(part.column(1), rule.k)
             size, key = bounds[1:] - bounds[:-1], keys_of(hashes, bounds)
             yield _rows(_ROW, len(size), bucket=np.abs(key) % buckets, kind=np.full(len(size), DOC), id=part.column(0), node=key, n=size)
@@ -651,7 +652,7 @@ def _sets(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for part in slices(chosen(batches)):
+        for part in slices(chosen(batches), most=SLICE):
             hashes, bounds = sets_of(part.column(1), k)
             key = keys_of(hashes, bounds)
             rows = [r for r in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist() if int(key[r]) not in seen]

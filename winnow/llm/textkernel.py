@@ -80,7 +80,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """64-bit hash of each word, from one running sum over the bytes."""
     n = len(data) + 1
     if not _powers or len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(SLICE_BYTES + 1, n + n // 4))  # slices vary a little
         _powers[:] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, b, dtype=np.uint64))) for b in (_BASE, _INVERSE)]
     running = np.zeros(n, dtype=np.uint64)
     np.cumsum(_BYTE_VALUE[data] * _powers[0][: n - 1], out=running[1:])
