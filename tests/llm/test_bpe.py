@@ -94,3 +94,29 @@ def test_slices_measure_texts_without_copies_of_them():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 1_000_000
+
+
+def test_new_words_of_a_slice_merge_in_few_turns(monkeypatch):
+    random.seed(11)
+    words = {"".join(random.choice("aeiouthndsérl") for _ in range(random.randint(2, 30))) for _ in range(5000)}
+    turns, of = [], Pairs.of
+    monkeypatch.setattr(Pairs, "of", lambda self, left, right: turns.append(len(left)) or of(self, left, right))
+    text = " ".join(sorted(words)) + " " + "ha" * 100 + " " + "=" * 120 + " " + "nana" * 30 + "n"
+    assert Encoder(RANKS, tokenizers.PATTERN).ids([text])[0] == " ".join(map(str, LIBRARY.encode_ordinary(text)))
+    assert len(turns) < 500
+
+
+def test_single_positions_leave_the_queue_by_rank_and_place():
+    from winnow.llm.bpe import RankQueue
+
+    random.seed(12)
+    queue, held, left = RankQueue(), [], []
+    for _ in range(3000):
+        entry = random.choice([3, 70, 4100, 49_000]), random.randint(0, 50)
+        queue.push_one(*entry)
+        held.append(entry)
+        if random.random() < 0.5:
+            left.append(queue.pop_one())
+            assert left[-1] == min(held)
+            held.remove(left[-1])
+    assert [queue.pop_one() for _ in range(len(held))] == sorted(held) and not queue.top

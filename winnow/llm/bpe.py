@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding by ranks, with a hierarchical-bitmap rank queue.
 
 Within a pre-token the pair of neighbours with the lowest rank merges first, the leftmost first among equals. Pairs
-wait in one bucket per rank, which holds the positions of their left parts in a linked list of parts. Three levels of
-bitmaps say which buckets are in use, so the next rank is found by three find-first-set steps however long the
+wait in buckets by rank, which hold the positions of their left parts in a linked list of parts. Three levels of
+bitmaps say which buckets are in use, so the next one is found by three find-first-set steps however long the
 pre-token is. A merge leaves its neighbours' old entries where they are; they are recognised as stale when popped.
-Pre-tokens are independent, so all new short ones of a slice of texts share one queue. A long one has a queue of its own,
-whose buckets give one position at a time: its work grows with its length, whatever repeats in it.
+Pre-tokens are independent, so all new short ones of a slice of texts share one queue, with a bucket for many neighbouring
+ranks: at each turn every pre-token with a pair in the lowest bucket merges its own lowest one. A long one has a queue of
+its own, whose buckets give one position at a time: its work grows with its length, whatever repeats in it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections import deque
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -26,6 +28,7 @@ from winnow.llm.vocabulary import load_ranks
 
 CACHE_ENTRIES = 150_000
 CACHE_CHARS = 64
+WIDTH = 12  # bits of the ranks that share a bucket of the shared queue
 LONG_BYTES = 256  # longer pre-tokens are merged place by place
 SLICE_CHARS = 500_000
 
@@ -36,60 +39,49 @@ L1_SPACE = "\t-\r \x85\xa0"
 
 
 class RankQueue:
-    """Buckets by rank: ``push`` in any order, ``pop`` takes the whole bucket of the lowest rank.
+    """Buckets by rank, of positions: ``push_one`` in any order, ``pop_one`` takes the least of the lowest rank.
 
-    A bucket holds arrays of positions (``push``, ``pop``) or single ones (``push_one``, ``pop_one``, the least first).
+    Positions that come in rising order wait in a queue of their own and need no heap.
     """
 
     def __init__(self) -> None:
-        self.buckets: dict[int, list] = {}
+        self.buckets: dict = {}
         self.leaf: dict[int, int] = {}
         self.middle: dict[int, int] = {}
         self.top = 0
-
-    def push(self, rank: int, positions: np.ndarray) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(positions)
-            return
-        self.buckets[rank] = [positions]
-        self._mark(rank)
+        self.least: int | None = None  # the lowest bucket in use, if it is known
 
     def push_one(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        self._mark(rank)
+        if bucket is None:
+            self.buckets[rank] = bucket = deque(), []
+            self._mark(rank)
+        rising, others = bucket
+        if not rising or position > rising[-1]:
+            rising.append(position)
+        else:
+            heapq.heappush(others, position)
 
     def _mark(self, rank: int) -> None:
         word, block = rank >> 6, rank >> 12
+        if self.least is not None and rank < self.least:
+            self.least = rank
         self.leaf[word] = self.leaf.get(word, 0) | 1 << (rank & 63)
         self.middle[block] = self.middle.get(block, 0) | 1 << (word & 63)
         self.top |= 1 << block
 
-    def push_all(self, ranks: np.ndarray, positions: np.ndarray) -> None:
-        """Entries of many ranks; a rank below 0 stands for no entry."""
-        held = ranks >= 0
-        ranks, positions = ranks[held], positions[held]
-        if not len(ranks):
-            return
-        order = np.argsort(ranks, kind="stable")
-        ranks, positions = ranks[order], positions[order]
-        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
-        bounds = [0, *cuts.tolist(), len(ranks)]
-        for rank, start, stop in zip(ranks[bounds[:-1]].tolist(), bounds, bounds[1:], strict=False):
-            self.push(rank, positions[start:stop])
-
     def lowest(self) -> int:
+        if self.least is not None:
+            return self.least
         block = (self.top & -self.top).bit_length() - 1
         held = self.middle[block]
         word = block << 6 | (held & -held).bit_length() - 1
         bits = self.leaf[word]
-        return word << 6 | (bits & -bits).bit_length() - 1
+        self.least = word << 6 | (bits & -bits).bit_length() - 1
+        return self.least
 
-    def _clear(self, rank: int) -> list:
+    def _clear(self, rank: int):
+        self.least = None
         word, block = rank >> 6, rank >> 12
         bits, held = self.leaf[word], self.middle[block]
         self.leaf[word] = bits = bits & (bits - 1)
@@ -100,17 +92,45 @@ class RankQueue:
         return self.buckets.pop(rank)
 
     def pop_one(self) -> tuple[int, int]:
-        rank = self.lowest()
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
+        rank = self.least
+        if rank is None:
+            rank = self.lowest()
+        rising, others = self.buckets[rank]
+        position = heapq.heappop(others) if others and (not rising or others[0] < rising[0]) else rising.popleft()
+        if not rising and not others:
             self._clear(rank)
         return rank, position
 
+
+class SharedQueue(RankQueue):
+    """As ``RankQueue`` for places of many pre-tokens: a bucket holds arrays of places of ``1 << WIDTH`` neighbouring ranks."""
+
+    def push(self, bucket: int, places: np.ndarray) -> None:
+        held = self.buckets.get(bucket)
+        if held is not None:
+            held.append(places)
+            return
+        self.buckets[bucket] = [places]
+        self._mark(bucket)
+
+    def push_all(self, ranks: np.ndarray, places: np.ndarray) -> None:
+        """Entries of many ranks; a rank below 0 stands for no entry."""
+        held = np.flatnonzero(ranks >= 0)
+        if not len(held):
+            return
+        buckets = ranks[held] >> WIDTH
+        order = np.argsort(buckets, kind="stable")
+        buckets, places = buckets[order], places[held[order]]
+        bounds = [0, *(np.flatnonzero(buckets[1:] != buckets[:-1]) + 1).tolist(), len(buckets)]
+        for start, stop in zip(bounds, bounds[1:], strict=False):
+            self.push(int(buckets[start]), places[start:stop])
+
     def pop(self) -> tuple[int, np.ndarray]:
-        rank = self.lowest()
-        bucket = self._clear(rank)
-        return rank, np.unique(np.concatenate(bucket) if len(bucket) > 1 else bucket[0])
+        """The lowest bucket and its places in order, each once."""
+        bucket = self.lowest()
+        held = self._clear(bucket)
+        places = np.sort(np.concatenate(held) if len(held) > 1 else held[0])
+        return bucket, places[np.append(True, places[1:] != places[:-1])]
 
 
 class Pairs:
@@ -124,7 +144,10 @@ class Pairs:
         order = np.argsort(keys)
         self.keys, self.rank = np.append(keys[order], np.iinfo(np.int64).max), np.append(rank[order], -1)
         # merges after which a pair of a lower rank can come up
-        self.falls = set(left[rank < left].tolist()) | set(right[rank < right].tolist())
+        self.falls = np.zeros(self.width, dtype=bool)
+        self.falls[left[rank < left]] = self.falls[right[rank < right]] = True
+        byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.of_bytes = self.of(byte[:, None], byte[None, :])
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, -1 if there is none or an id is -1."""
@@ -136,8 +159,9 @@ class Pairs:
 def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pairs: Pairs) -> list[list[int]]:
     """Ids of each of many non-empty pre-tokens, which share one queue: nothing merges across their borders.
 
-    All places of a bucket merge together, except overlapping ones (``aaa``), of which every second one is stale.
-    Where a merge may bring up a lower rank, only the leftmost place of each pre-token merges and the rest waits.
+    Of a bucket each pre-token merges the places of its own lowest rank, which is the lowest it has anywhere, and the rest
+    waits. They merge together, except overlapping ones (``aaa``), of which every second one is stale, and where a merge
+    may bring up a lower rank: there only the leftmost one merges.
     """
     if not pieces:
         return []
@@ -154,38 +178,43 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pairs: Pairs) -> lis
     after[stops - 1] = n
     before = np.arange(-1, n)
     before[starts] = n
-    pair = np.append(pairs.of(ids[:-1], ids[after[:-1]]), -1)
-    queue = RankQueue()
+    pair = np.full(n + 1, -1)
+    pair[: n - 1] = pairs.of_bytes[text[:-1], text[1:]]
+    pair[stops - 1] = -1
+    queue = SharedQueue()
     queue.push_all(pair, np.arange(n + 1))
     while queue.top:
-        rank, places = queue.pop()
-        places = places[pair[places] == rank]  # the others are stale
+        bucket, places = queue.pop()
+        places = places[pair[places] >> WIDTH == bucket]  # the others are stale
         if not len(places):
             continue
-        if len(places) > 1:
-            if rank in pairs.falls:
-                first = np.append(True, owner[places[1:]] != owner[places[:-1]])
-                if not first.all():
-                    queue.push(rank, places[~first])
-                    places = places[first]
-            else:
-                chained = np.append(False, after[places[:-1]] == places[1:])
-                if chained.any():
-                    index = np.arange(len(places))
-                    in_chain = index - np.maximum.accumulate(np.where(chained, 0, index))
-                    places = places[in_chain % 2 == 0]
+        rank, own = pair[places], owner[places]
+        first = np.append(True, own[1:] != own[:-1])
+        lowest = np.minimum.reduceat(rank, np.flatnonzero(first))[np.cumsum(first) - 1]
+        now = rank == lowest
+        if not now.all():
+            queue.push(bucket, places[~now])
+        places, rank, own = places[now], rank[now], own[now]
+        again = np.append(False, own[1:] == own[:-1])  # not the leftmost place of its pre-token
+        if again.any():
+            wait = again & pairs.falls[rank]
+            if wait.any():
+                queue.push(bucket, places[wait])
+            chained = again & np.append(False, after[places[:-1]] == places[1:])
+            index = np.arange(len(places))
+            in_chain = index - np.maximum.accumulate(np.where(chained, 0, index))
+            now = ~wait & (in_chain % 2 == 0)
+            places, rank = places[now], rank[now]
         right = after[places]
         beyond = after[right]
         ids[places], ids[right] = rank, -1
         after[places] = beyond
         before[beyond] = places
         pair[right] = -1
-        pair[places] = new = pairs.of(ids[places], ids[beyond])
-        queue.push_all(new, places)
         ahead = before[places]
-        ahead = ahead[ahead < n]
-        pair[ahead] = new = pairs.of(ids[ahead], ids[after[ahead]])
-        queue.push_all(new, ahead)
+        changed = np.concatenate([places, ahead[ahead < n]])
+        pair[changed] = new = pairs.of(ids[changed], ids[after[changed]])
+        queue.push_all(new, changed)
     left = ids[:-1] >= 0
     out = ids[:-1][left].tolist()
     bounds = np.cumsum(np.add.reduceat(left.astype(np.int64), starts)).tolist()
@@ -231,6 +260,7 @@ class Encoder:
         self.ranks = load_ranks(ranks_path)
         self.pairs = Pairs(self.ranks)
         self.bytes_of = {str(i): token for token, i in self.ranks.items()}
+        self.decimal = {int(i): i for i in self.bytes_of}.__getitem__
         # tiktoken's \s is White_Space, without the separators 1C-1F
         self.general = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         latin = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{L1_SPACE}{L1_LETTER}{L1_NUMBER}]").replace(r"\p{L}", f"[{L1_LETTER}]").replace(r"\p{N}", f"[{L1_NUMBER}]")
@@ -254,14 +284,20 @@ class Encoder:
         split = [self.split(text) for text in texts]
         new = list(set().union(*split).difference(known))
         if new:
-            as_bytes = [piece.encode() for piece in new]
-            ranks = self.ranks
-            rest = [i for i, piece in enumerate(as_bytes) if piece not in ranks]
-            found = dict.fromkeys(new, "")
-            found.update((new[i], str(ranks[piece])) for i, piece in enumerate(as_bytes) if piece in ranks)
-            short = [i for i in rest if len(as_bytes[i]) <= LONG_BYTES]
-            found.update((new[i], " ".join(map(str, ids))) for i, ids in zip(short, merge_all([as_bytes[i] for i in short], ranks, self.pairs), strict=True))
-            found.update((new[i], " ".join(map(str, merge_long(as_bytes[i], ranks)))) for i in rest if len(as_bytes[i]) > LONG_BYTES)
+            ranks, decimal = self.ranks, self.decimal
+            found, short = {}, []
+            for piece in new:
+                held = piece.encode()
+                rank = ranks.get(held)
+                if rank is not None:
+                    found[piece] = decimal(rank)
+                elif len(held) <= LONG_BYTES:
+                    short.append(held)
+                    found[piece] = ""
+                else:
+                    found[piece] = " ".join(map(decimal, merge_long(held, ranks)))
+            merged = iter(merge_all(short, ranks, self.pairs))
+            found.update((piece, " ".join(map(decimal, next(merged)))) for piece, ids in found.items() if not ids)
             if len(known) + len(found) > CACHE_ENTRIES:
                 used = set().union(*split)
                 self.known = known = {piece: known[piece] for piece in used if piece in known}
