@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from winnow.llm import exact_dedup, language, ngram_join
 from winnow.llm.bpe import encode_digests
 from winnow.llm.mixing import Mix, mixed
-from winnow.llm.storage import written
+from winnow.llm.storage import bounded_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -23,6 +23,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LEAST_LANGUAGE_SCORE = 0.27
 # Near-duplicates: shingles of five words, similarity of at least 0.8.
 NEAR = {"k": 5, "num": 4, "den": 5}
+# Whole texts that executor and Python worker hold at once.
+BATCH_ROWS = 500
 # Nine tenths of the tokens; one pass, so that no document comes back after dedup.
 MIX = Mix(
     levels=(("domain", "concat('domain', pmod(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 4))"), ("language", "lang"), ("origin", "source")),
@@ -33,6 +35,7 @@ MIX = Mix(
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language."""
+    bounded_batches(spark, BATCH_ROWS)
     model = language.fit(docs, ~language.held_out())
     return language.accepted(docs, model, LEAST_LANGUAGE_SCORE)
 
@@ -54,6 +57,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes."""
+    bounded_batches(spark, BATCH_ROWS)
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

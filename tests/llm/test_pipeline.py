@@ -46,3 +46,45 @@ def test_awkward_and_empty_tables(spark, awkward, nothing):
             docs = stage(spark, docs, SF)
             assert docs.columns == awkward.columns
         assert pipeline.STAGES[-1][1](spark, docs, SF).count() <= awkward.count()
+
+
+def test_stages_with_whole_texts_take_them_in_small_batches(spark, awkward):
+    import pyarrow as pa
+
+    import corpus_pipeline
+    from winnow.llm import language
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    sizes = pa.schema([("n", pa.int64())])
+
+    def sized(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], schema=sizes)
+
+    def largest():
+        return spark.range(3000, numPartitions=1).mapInArrow(sized, "n long").agg({"n": "max"}).first()[0]
+
+    try:
+        for stage in (corpus_pipeline.language_id, corpus_pipeline.byte_bpe):
+            spark.conf.set(key, "10000")
+            stage(spark, awkward, "")
+            assert largest() <= corpus_pipeline.BATCH_ROWS
+        spark.conf.set(key, "100")
+        corpus_pipeline.byte_bpe(spark, awkward, "")
+        assert largest() == 100
+    finally:
+        spark.conf.set(key, before)
+    assert language.SLICE <= 500_000
+
+
+def test_bitmap_of_nodes_marks_each_of_them(spark):
+    import numpy as np
+
+    from winnow.llm import ngram_join
+
+    nodes = [0, 1, 63, 64, -1, -(1 << 63), (1 << 63) - 1, 5 * ngram_join.FILTER_BITS + 17]
+    bitmap = ngram_join._node_filter(spark.createDataFrame([(n,) for n in nodes], "node long"))
+    assert ngram_join._marked(bitmap, np.array(nodes)).all() and bitmap.nbytes * 8 == ngram_join.FILTER_BITS
+    others = np.array([2, 62, 65, 18, 1 << 20])
+    assert not ngram_join._marked(bitmap, others).any()

@@ -628,13 +628,18 @@ def _weak_links(docs: DataFrame, own: DataFrame, members: DataFrame, points: Dat
 
 
 def _node_filter(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size in which every node is marked; other nodes may be, too."""
+    """A bitmap of fixed size, eight nodes a byte, in which every node is marked; other nodes may be, too."""
     bit = F.pmod(F.col("node"), F.lit(FILTER_BITS))
     found = nodes.groupBy((bit / 64).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {FILTER_BITS}) % 64 as int))")).alias("bits"))
     table = found.toArrow()  # at most FILTER_BITS / 64 rows
     out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     out[table["word"].to_numpy()] = table["bits"].to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    return out.view(np.uint8)
+
+
+def _marked(bitmap: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    at = nodes % (8 * len(bitmap))
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def _sets(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -642,11 +647,11 @@ def _sets(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int) -> DataFram
     the same. Of each node only the text with its least id is cut into shingles again (``own``: id, node)."""
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
     least = own.where(F.col("id").isNotNull()).join(nodes.select("node").distinct(), "node").groupBy("node").agg(F.min("id").alias("id"))
-    marked = _node_filter(least.select(F.col("id").alias("node")))
+    bitmap = _node_filter(least.select(F.col("id").alias("node")))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = marked[batch.column(0).to_numpy() % FILTER_BITS]
+            held = _marked(bitmap, batch.column(0).to_numpy())
             if held.any():
                 yield batch.filter(pa.array(held))
 

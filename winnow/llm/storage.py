@@ -32,6 +32,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def bounded_batches(spark: SparkSession, rows: int) -> None:
+    """From now on an Arrow batch has at most ``rows`` rows in this session, for rows that hold long values and are not
+    written here. A smaller number that the session has already stays."""
+    before = int(spark.conf.get(ARROW_ROWS))
+    if not 0 < before <= rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def written(df: DataFrame, name: str, by: str | None = None, batch_rows: int | None = None, lasting: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, read by any executor, safe if one is lost.
 
